@@ -99,3 +99,31 @@ class Mart:
             .select(F.col("n_name").alias("State"), "TotalSales")
             .orderBy(F.col("TotalSales").desc(), F.col("State"))
         )
+
+
+def part_totals(m: Mart) -> DataFrame:
+    """Per part key: Gross, Discount, quantity sum and line count, aggregated
+    on the lineitem side before the join to ``part``."""
+    from salesmart.functions.measures import TOTAL, discount_amount, money
+
+    return m.lineitem.groupBy("l_partkey").agg(
+        F.sum(money("l_extendedprice")).cast(TOTAL).alias("Gross"),
+        F.sum(discount_amount("l_extendedprice", "l_discount")).cast(TOTAL).alias("Discount"),
+        F.sum(money("l_quantity")).cast(TOTAL).alias("Qty"),
+        F.sum("l_quantity").alias("QtyD"),
+        F.count(F.lit(1)).alias("Lines"),
+    )
+
+
+def part_measures(m: Mart) -> DataFrame:
+    """Per part: the totals above plus COGS = Qty * unit cost and the item attributes.
+
+    COGS per line is Qty*Cost with one cost per part, so the exact decimal sum
+    over a part's lines equals Cost * (sum of Qty).
+    """
+    from salesmart.functions.measures import MONEY, TOTAL
+
+    part = m.part.select("p_partkey", "p_brand", "p_type", "p_retailprice")
+    return part_totals(m).join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
+        "COGS", (F.col("Qty") * F.col("p_retailprice").cast(MONEY)).cast(TOTAL)
+    )
