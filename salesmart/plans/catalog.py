@@ -33,6 +33,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from salesmart.plans import (  # noqa: F401
+        ingest_queries,
         join_queries,
         sales_queries,
     )
