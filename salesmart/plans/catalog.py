@@ -35,5 +35,6 @@ def load_all() -> None:
     from salesmart.plans import (  # noqa: F401
         ingest_queries,
         join_queries,
+        profile_queries,
         sales_queries,
     )
