@@ -37,4 +37,5 @@ def load_all() -> None:
         join_queries,
         profile_queries,
         sales_queries,
+        table_queries,
     )
