@@ -37,5 +37,6 @@ def load_all() -> None:
         join_queries,
         profile_queries,
         sales_queries,
+        scd2_queries,
         table_queries,
     )
