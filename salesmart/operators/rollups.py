@@ -50,3 +50,33 @@ def top_k(df: DataFrame, k: int, by: str, tie_break: list[str]) -> DataFrame:
     """
     order = [F.col(by).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_break]
     return df.orderBy(*order).limit(k)
+
+
+def totals_with_dimension(
+    facts: DataFrame,
+    fact_key: str,
+    amount: Column | str,
+    dims: DataFrame,
+    dim_key: str,
+    attrs: dict[str, str],
+    how: str = "left",
+    key_name: str = "CustomerId",
+    total_name: str = "TotalSales",
+    unknown: dict[str, str] | None = None,
+) -> DataFrame:
+    """``SELECT COALESCE(d.key, f.key), d.attrs.., SUM(amount) .. LEFT JOIN .. GROUP BY ..``.
+
+    Facts are summed per fact key first (map-side combined), so the dimension
+    join meets one row per key; grouping by ``COALESCE(d.key, f.key)`` and the
+    dimension attributes is the same grouping because the join is on key
+    equality.  ``unknown`` fills attributes of keys missing from the dimension.
+    """
+    per_key = sum_by(facts, [fact_key], {total_name: amount})
+    d = dims.select(F.col(dim_key).alias("__dk"), *[F.col(src).alias(dst) for dst, src in attrs.items()])
+    joined = per_key.join(d, F.col(fact_key) == F.col("__dk"), how)
+    unknown = unknown or {}
+    cols = [F.coalesce(F.col("__dk"), F.col(fact_key)).alias(key_name)]
+    cols += [
+        (F.coalesce(F.col(a), F.lit(unknown[a])) if a in unknown else F.col(a)).alias(a) for a in attrs
+    ]
+    return joined.select(*cols, total_name)
