@@ -2,7 +2,8 @@
 
 Every write adds log rows ``(data columns..., _version, _ts, _op, _operation)``
 with ``_op`` in I (insert), U (update, the new values) and D (delete, the last
-values).  A table at version ``n`` is the latest log row per key with
+values), plus one commit marker row (``_op`` C, data NULL) so that a commit
+that changes no row still appears in the history.  A table at version ``n`` is the latest log row per key with
 ``_version <= n``, dropping keys whose latest row is a delete.  On storage the
 log is partitioned by ``_version`` so an as-of read prunes whole partitions.
 
@@ -54,7 +55,15 @@ def stamp(df: DataFrame, version: int, ts: dt.datetime, op: str | Column, operat
 
 def initial_log(df: DataFrame, ts: dt.datetime, version: int = 0) -> DataFrame:
     """Version 0: every row inserted (``saveAsTable``)."""
-    return stamp(df, version, ts, "I", "WRITE")
+    return stamp(df, version, ts, "I", "WRITE").unionByName(commit_marker(df, version, ts, "WRITE"))
+
+
+def commit_marker(like: DataFrame, version: int, ts: dt.datetime, operation: str) -> DataFrame:
+    """The one marker row of a commit (data columns NULL)."""
+    data = [c for c in like.columns if c not in META]
+    types = dict(like.dtypes)
+    row = like.sparkSession.range(1).select(*[F.lit(None).cast(types[c]).alias(c) for c in data])
+    return stamp(row, version, ts, "C", operation)
 
 
 # -- plain state transforms ------------------------------------------------
@@ -105,7 +114,7 @@ def delete_log(state, condition, version: int, ts: dt.datetime) -> DataFrame:
 
 def as_of(log: DataFrame, key: list[str], version: int | None = None, ts: dt.datetime | None = None) -> DataFrame:
     """The table as of a version number or a time (latest when both are None)."""
-    sel = log
+    sel = log.filter(F.col("_op") != "C")
     if version is not None:
         sel = sel.filter(F.col("_version") <= version)
     if ts is not None:
@@ -208,8 +217,9 @@ class ChangeLog:
     def create(cls, df: DataFrame, key: list[str], ts: dt.datetime) -> "ChangeLog":
         return cls(initial_log(df, ts), key, 1)
 
-    def _append(self, rows: DataFrame) -> "ChangeLog":
-        return ChangeLog(self.log.unionByName(rows), self.key, self.next_version + 1)
+    def _append(self, rows: DataFrame, ts: dt.datetime, operation: str) -> "ChangeLog":
+        marker = commit_marker(self.log, self.next_version, ts, operation)
+        return ChangeLog(self.log.unionByName(rows).unionByName(marker), self.key, self.next_version + 1)
 
     def current(self) -> DataFrame:
         return as_of(self.log, self.key)
@@ -218,13 +228,13 @@ class ChangeLog:
         return as_of(self.log, self.key, version, ts)
 
     def update(self, condition, assignments, ts: dt.datetime) -> "ChangeLog":
-        return self._append(update_log(self.current(), condition, assignments, self.next_version, ts))
+        return self._append(update_log(self.current(), condition, assignments, self.next_version, ts), ts, "UPDATE")
 
     def delete(self, condition, ts: dt.datetime) -> "ChangeLog":
-        return self._append(delete_log(self.current(), condition, self.next_version, ts))
+        return self._append(delete_log(self.current(), condition, self.next_version, ts), ts, "DELETE")
 
     def restore(self, target_version: int, ts: dt.datetime) -> "ChangeLog":
-        return self._append(restore_log(self.log, self.key, target_version, self.next_version, ts))
+        return self._append(restore_log(self.log, self.key, target_version, self.next_version, ts), ts, "RESTORE")
 
     def history(self) -> DataFrame:
         return history(self.log)
@@ -233,7 +243,8 @@ class ChangeLog:
         return diff(self.log, self.key, v_from, v_to)
 
     def rows_of(self, version: int) -> DataFrame:
-        return self.log.filter(F.col("_version") == version)
+        """The row changes written by one version (without its commit marker)."""
+        return self.log.filter((F.col("_version") == version) & (F.col("_op") != "C"))
 
     def write(self, path: str) -> None:
         """Append the log rows not yet on storage is the caller's choice; this
