@@ -13,10 +13,10 @@ rank ``ceil(p * n)``) without holding a column's values in one task:
    counts them (a grouped aggregate: ``buckets`` rows per window reach the
    driver); the bucket holding the target rank becomes the next window (its
    actual min and max), and a bucket with min == max is the answer;
-3. the remaining windows (at most ``max_window`` values each) are ranked with a
-   window function and the target row is picked.
+3. the remaining windows (at most ``max_window`` values each) send their
+   ``(value, count)`` pairs to the driver, which picks the target rank.
 
-Only counts and bounds travel to the driver.  A value repeated in a third of
+Only counts, bounds and those bounded windows travel to the driver.  A value repeated in a third of
 all rows costs nothing extra: its bucket collapses to min == max at once.
 ``summary_long(..., exact=False)`` uses ``percentile_approx`` (bounded sketch,
 Spark's own ``summary`` behaviour) instead.
@@ -27,9 +27,8 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 STAT_DIGITS = 6  # mean and stddev are reported rounded to this many decimals
 
@@ -79,90 +78,93 @@ def exact_quantiles(
     cols: list[str],
     probs: list[float],
     buckets: int = 4096,
-    max_window: int = 1_000_000,
+    max_window: int = 20_000,
     max_rounds: int = 64,
 ) -> DataFrame:
-    """``(column_name, p, value)``: exact discrete percentiles, distributed."""
+    """``(column_name, p, value)``: exact discrete percentiles, distributed.
+
+    Targets (column, p) whose value windows coincide share one histogram, so
+    the first round costs one grouped pass for all percentiles of a column.
+    Windows of one column are nested buckets of earlier windows, hence equal or
+    disjoint, and every value falls in at most one of them.
+    """
     spark = df.sparkSession
     long = unpivot_values(df, cols)
     stats = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    # open windows: key -> [lo, hi, base (values below lo), m (values in window), rank]
-    windows: dict[tuple[str, float], list] = {}
     answers: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
+    # open targets: (column, p) -> [lo, hi, base (values below lo), m (values in window), rank]
+    targets: dict[tuple[str, float], list] = {}
     for r in stats.collect():
         for p in probs:
             key = (r["column_name"], p)
             if r["lo"] == r["hi"]:
                 answers[key] = r["lo"]
             else:
-                windows[key] = [r["lo"], r["hi"], 0, r["n"], disc_rank(r["n"], p)]
-
-    win_schema = T.StructType(
-        [
-            T.StructField("w_col", T.StringType()),
-            T.StructField("w_p", T.DoubleType()),
-            T.StructField("w_lo", T.DoubleType()),
-            T.StructField("w_hi", T.DoubleType()),
-        ]
-    )
+                targets[key] = [r["lo"], r["hi"], 0, r["n"], disc_rank(r["n"], p)]
+
+    schema = "w_id int, w_col string, w_lo double, w_hi double"
+
+    def windows_of(keys):
+        ids: dict[tuple[str, float, float], int] = {}
+        for c, p in keys:
+            lo, hi = targets[(c, p)][:2]
+            ids.setdefault((c, lo, hi), len(ids))
+        return ids
 
-    def in_windows(keys):
-        # One row per open window: a fixed, tiny table (columns x percentiles).
-        w = spark.createDataFrame([(c, p, windows[(c, p)][0], windows[(c, p)][1]) for c, p in keys], win_schema)
+    def select_windows(ids):
+        # One row per distinct open window: a tiny, bounded table (columns x percentiles).
+        w = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in ids.items()], schema)
         return long.join(F.broadcast(w), F.col("column_name") == F.col("w_col")).where(
             F.col("v").between(F.col("w_lo"), F.col("w_hi"))
         )
 
     for _ in range(max_rounds):
-        wide = [k for k, w in windows.items() if w[3] > max_window]
+        wide = [k for k, t in targets.items() if t[3] > max_window]
         if not wide:
             break
-        sel = in_windows(wide)
+        ids = windows_of(wide)
         width = F.col("w_hi") - F.col("w_lo")
         bucket = F.least(F.floor((F.col("v") - F.col("w_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
         hist = (
-            sel.groupBy("w_col", "w_p", bucket.alias("b"))
+            select_windows(ids)
+            .groupBy("w_id", bucket.alias("b"))
             .agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()
         )
-        by_window: dict[tuple[str, float], list] = {}
+        by_window: dict[int, list] = {}
         for h in hist:
-            by_window.setdefault((h["w_col"], h["w_p"]), []).append(h)
+            by_window.setdefault(h["w_id"], []).append(h)
         for key in wide:
-            lo, hi, base, m, rank = windows[key]
+            lo, hi, base, m, rank = targets[key]
             seen = base
-            for h in sorted(by_window.get(key, []), key=lambda r: r["b"]):
+            for h in sorted(by_window.get(ids[(key[0], lo, hi)], []), key=lambda r: r["b"]):
                 if seen + h["m"] >= rank:
                     if h["lo"] == h["hi"]:
                         answers[key] = h["lo"]
-                        del windows[key]
+                        del targets[key]
                     else:
-                        windows[key] = [h["lo"], h["hi"], seen, h["m"], rank]
+                        targets[key] = [h["lo"], h["hi"], seen, h["m"], rank]
                     break
                 seen += h["m"]
             else:
                 raise RuntimeError(f"rank {rank} not found for {key}")
 
-    if windows:
-        keys = list(windows)
-        sel = in_windows(keys)
-        counts = sel.groupBy("w_col", "w_p", "v").agg(F.count(F.lit(1)).alias("m"))
-        order = Window.partitionBy("w_col", "w_p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        targets = spark.createDataFrame(
-            [(c, p, windows[(c, p)][2], windows[(c, p)][4]) for c, p in keys],
-            "t_col string, t_p double, t_base long, t_rank long",
-        )
-        ranked = (
-            counts.withColumn("upto", F.sum("m").over(order))
-            .join(F.broadcast(targets), (F.col("w_col") == F.col("t_col")) & (F.col("w_p") == F.col("t_p")))
-            .where(F.col("t_base") + F.col("upto") >= F.col("t_rank"))
-            .groupBy("w_col", "w_p")
-            .agg(F.min("v").alias("value"))
-        )
-        for r in ranked.collect():
-            answers[(r["w_col"], r["w_p"])] = r["value"]
+    if targets:
+        # Every open window now holds at most ``max_window`` values: bring the
+        # (value, count) pairs of those windows up and pick the ranks.
+        ids = windows_of(list(targets))
+        pairs: dict[int, list] = {}
+        for r in select_windows(ids).groupBy("w_id", "v").agg(F.count(F.lit(1)).alias("m")).collect():
+            pairs.setdefault(r["w_id"], []).append((r["v"], r["m"]))
+        for key, (lo, hi, base, _, rank) in targets.items():
+            seen = base
+            for v, m in sorted(pairs[ids[(key[0], lo, hi)]]):
+                seen += m
+                if seen >= rank:
+                    answers[key] = v
+                    break
 
     rows = [(c, float(p), answers[(c, p)]) for c in cols for p in probs]
     return spark.createDataFrame(rows, "column_name string, p double, value double")
