@@ -25,12 +25,37 @@ def broadcast_fixed(dim: DataFrame) -> DataFrame:
 
 
 def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join in the using-column form: the key appears once (coalesced for full joins)."""
+    """Join in the using-column form: the key appears once (coalesced for full joins).
+
+    A full outer join is planned as ``facts LEFT JOIN dims`` plus the dimension
+    rows without facts (a left anti join), a right join as ``facts JOIN dims``
+    plus those rows: the same rows, but every part is a join whose skewed fact
+    partitions AQE can split, which it cannot do for the fact side of a full or
+    right outer join.
+    """
     if how not in JOIN_TYPES + ("anti", "leftanti", "semi", "outer", "left_outer", "right_outer"):
         raise ValueError(f"unknown join type {how!r}")
+    if how in ("full", "outer"):
+        return full_join_on(facts, dims, key)
+    if how in ("right", "right_outer"):
+        return right_join_on(facts, dims, key)
     return facts.join(dims, on=key, how=how)
 
 
+def full_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
+    """Full outer join (using form) as a left join plus unmatched dimension rows."""
+    matched = facts.join(dims, on=key, how="left")
+    dims_only = dims.join(facts.select(key), on=key, how="left_anti")
+    return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
+
+
+def right_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
+    """Right outer join (using form) as an inner join plus unmatched dimension rows."""
+    matched = facts.join(dims, on=key, how="inner")
+    dims_only = dims.join(facts.select(key), on=key, how="left_anti")
+    return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
+
+
 @dataclass(frozen=True)
 class Dim:
     """One dimension of a star join.
@@ -103,10 +128,16 @@ def full_join_ordered(
     dim_key_alias: str = "DimKey",
 ) -> DataFrame:
     """Full outer join keeping both keys, ordered: matched and orphan facts
-    first, then dimension members without facts; within that by key and fact id."""
+    first, then dimension members without facts; within that by key and fact id.
+
+    The sort is a range-partitioned (distributed) sort."""
     f = facts.select(F.col(fact_id), F.col(fact_key).alias(fact_key_alias), *fact_cols)
     d = dims.select(F.col(dim_key).alias(dim_key_alias), *dim_cols)
-    joined = f.join(d, F.col(fact_key_alias) == F.col(dim_key_alias), "full")
+    # Full outer join as left join + unmatched dimension rows (skew-splittable parts).
+    on = F.col(fact_key_alias) == F.col(dim_key_alias)
+    matched = f.join(d, on, "left")
+    dims_only = d.join(f.select(F.col(fact_key_alias)), on, "left_anti")
+    joined = matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
     no_fact = F.when(F.col(fact_key_alias).isNull(), 1).otherwise(0)
     return joined.orderBy(
         no_fact.asc(),
