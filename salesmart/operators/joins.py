@@ -45,14 +45,14 @@ def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") ->
 def full_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
     """Full outer join (using form) as a left join plus unmatched dimension rows."""
     matched = facts.join(dims, on=key, how="left")
-    dims_only = dims.join(facts.select(key), on=key, how="left_anti")
+    dims_only = dims.join(facts.select(key).distinct(), on=key, how="left_anti")
     return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
 
 
 def right_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
     """Right outer join (using form) as an inner join plus unmatched dimension rows."""
     matched = facts.join(dims, on=key, how="inner")
-    dims_only = dims.join(facts.select(key), on=key, how="left_anti")
+    dims_only = dims.join(facts.select(key).distinct(), on=key, how="left_anti")
     return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
 
 
@@ -110,9 +110,13 @@ def orphan_facts(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str
 
 
 def unmatched_dims(dims: DataFrame, facts: DataFrame, dim_key: str, fact_key: str | None = None) -> DataFrame:
-    """Dimension members without any fact."""
+    """Dimension members without any fact.
+
+    The fact keys are reduced to distinct keys first (map-side combined), so a
+    key that holds a third of the facts reaches the join as one row.
+    """
     fact_key = fact_key or dim_key
-    keys = facts.select(F.col(fact_key).alias("__k"))
+    keys = facts.select(F.col(fact_key).alias("__k")).distinct()
     return dims.join(keys, F.col(dim_key) == F.col("__k"), "left_anti")
 
 
@@ -136,7 +140,7 @@ def full_join_ordered(
     # Full outer join as left join + unmatched dimension rows (skew-splittable parts).
     on = F.col(fact_key_alias) == F.col(dim_key_alias)
     matched = f.join(d, on, "left")
-    dims_only = d.join(f.select(F.col(fact_key_alias)), on, "left_anti")
+    dims_only = d.join(f.select(F.col(fact_key_alias)).distinct(), on, "left_anti")
     joined = matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
     no_fact = F.when(F.col(fact_key_alias).isNull(), 1).otherwise(0)
     return joined.orderBy(

@@ -24,7 +24,7 @@ are frames and nothing is mutated: the load is one lazy plan, written once.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +45,6 @@ class Scd2Spec:
     start: str = "Valid_Start_Date"
     end: str = "Valid_End_Date"
     surrogate: str = "SurrogateKey"
-    extra: tuple[str, ...] = field(default=())
 
     @property
     def row_columns(self) -> list[str]:
@@ -105,7 +104,8 @@ def new_versions(
     if match not in ("current", "history"):
         raise ValueError("match must be 'current' or 'history'")
     ref = dim_closed if match == "history" else dim_closed.filter(F.col(spec.end).isNull())
-    ref = ref.select(F.col(spec.key).alias("__rk"), *[F.col(a).alias(f"__r_{a}") for a in spec.attrs])
+    # Distinct attribute sets per key: repeated identical versions collapse map-side.
+    ref = ref.select(F.col(spec.key).alias("__rk"), *[F.col(a).alias(f"__r_{a}") for a in spec.attrs]).distinct()
     same = reduce(
         lambda a, b: a & b,
         [F.col(spec.key) == F.col("__rk")] + [F.col(a).eqNullSafe(F.col(f"__r_{a}")) for a in spec.attrs],

@@ -91,7 +91,7 @@ def anti_facts(spark, root):
 def anti_dims(spark, root):
     """Dimension members without facts (anti join, sides swapped)."""
     facts, dims = _sides(spark, root)
-    return join_on(dims, facts.select("CustomerId"), "CustomerId", "left_anti")
+    return join_on(dims, facts.select("CustomerId").distinct(), "CustomerId", "left_anti")
 
 
 @query(
