@@ -7,9 +7,11 @@ that changes no row still appears in the history.  A table at version ``n`` is t
 ``_version <= n``, dropping keys whose latest row is a delete.  On storage the
 log is partitioned by ``_version`` so an as-of read prunes whole partitions.
 
-The latest-row-per-key step is ``max_by(struct, _version)`` in a grouped
-aggregate: it combines map-side, so a key with very many versions is reduced
-in every task before the shuffle and never gathered in one place.
+The latest-row-per-key step is ``row_number() OVER (PARTITION BY key ORDER BY
+_version DESC) = 1``.  Spark plans it with a partial ``WindowGroupLimit``
+before the shuffle (top-1 per key inside every map task) and a final one
+after it, so a key with very many versions is reduced before it moves and is
+never gathered in one place.
 
 Version timestamps must grow with the version number (each commit stamps its
 own time), so "as of time t" is the same as "the latest rows with
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.timebins import ts_literal
@@ -119,12 +121,9 @@ def as_of(log: DataFrame, key: list[str], version: int | None = None, ts: dt.dat
         sel = sel.filter(F.col("_version") <= version)
     if ts is not None:
         sel = sel.filter(F.col("_ts") <= ts_literal(ts))
-    data = data_columns(log)
-    rest = [c for c in data if c not in key]
-    latest = sel.groupBy(*key).agg(F.max_by(F.struct(*rest, "_op"), "_version").alias("r"))
-    return latest.filter(F.col("r._op") != "D").select(
-        *[F.col(c) if c in key else F.col(f"r.{c}").alias(c) for c in data]
-    )
+    newest = Window.partitionBy(*key).orderBy(F.col("_version").desc())
+    latest = sel.withColumn("__rn", F.row_number().over(newest))
+    return latest.filter((F.col("__rn") == 1) & (F.col("_op") != "D")).select(*data_columns(log))
 
 
 def _same(a: str, b: str, cols: list[str]) -> Column:
@@ -206,20 +205,42 @@ class ChangeLog:
     Each operation returns a new ``ChangeLog`` whose log has the new version's
     rows appended; nothing is mutated.  ``write`` lands the log partitioned by
     ``_version`` (append-only: earlier versions are never rewritten).
+
+    With ``path`` set, the log lives in a Parquet table partitioned by
+    ``_version`` (in the shared folder): ``create`` overwrites it with version
+    0 and every commit appends only its own version's files, as a table format
+    writes each commit.  The next commit then reads the stored log instead of
+    recomputing the chain, and lineage stays one step long.
     """
 
-    def __init__(self, log: DataFrame, key: list[str], next_version: int | None = None):
+    def __init__(self, log: DataFrame, key: list[str], next_version: int | None = None, path: str | None = None):
         self.log = log
         self.key = list(key)
+        self.path = path
         self.next_version = latest_version(log) + 1 if next_version is None else next_version
 
     @classmethod
-    def create(cls, df: DataFrame, key: list[str], ts: dt.datetime) -> "ChangeLog":
-        return cls(initial_log(df, ts), key, 1)
+    def create(cls, df: DataFrame, key: list[str], ts: dt.datetime, path: str | None = None) -> "ChangeLog":
+        log = initial_log(df, ts)
+        if path:
+            log.write.mode("overwrite").partitionBy("_version").parquet(path)
+            log = df.sparkSession.read.parquet(path).select(*log.columns)
+        return cls(log, key, 1, path)
+
+    @classmethod
+    def open(cls, spark, key: list[str], path: str) -> "ChangeLog":
+        """A stored log; the next version number comes from the stored versions."""
+        return cls(spark.read.parquet(path), key, None, path)
 
     def _append(self, rows: DataFrame, ts: dt.datetime, operation: str) -> "ChangeLog":
         marker = commit_marker(self.log, self.next_version, ts, operation)
-        return ChangeLog(self.log.unionByName(rows).unionByName(marker), self.key, self.next_version + 1)
+        new = rows.unionByName(marker)
+        if self.path:
+            new.write.mode("append").partitionBy("_version").parquet(self.path)
+            log = self.log.sparkSession.read.parquet(self.path).select(*self.log.columns)
+        else:
+            log = self.log.unionByName(new)
+        return ChangeLog(log, self.key, self.next_version + 1, self.path)
 
     def current(self) -> DataFrame:
         return as_of(self.log, self.key)
@@ -245,13 +266,3 @@ class ChangeLog:
     def rows_of(self, version: int) -> DataFrame:
         """The row changes written by one version (without its commit marker)."""
         return self.log.filter((F.col("_version") == version) & (F.col("_op") != "C"))
-
-    def write(self, path: str) -> None:
-        """Append the log rows not yet on storage is the caller's choice; this
-        writes the whole log, partitioned by version (dynamic overwrite)."""
-        (
-            self.log.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_version")
-            .parquet(path)
-        )

@@ -36,6 +36,8 @@ LINEITEM_COLS = [
 
 
 def orders_history(spark, root) -> ChangeLog:
+    # Built lazily in one plan: four small commits cost less recomputed than
+    # written; a long-lived log uses ``ChangeLog.create(.., path=...)``.
     table = ChangeLog.create(Mart(spark, root).orders, KEY, T0)
     table = table.update(UPDATE_WHEN, UPDATE_SET, T1)
     table = table.delete(DELETE_WHEN, T2)

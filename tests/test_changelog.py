@@ -81,3 +81,21 @@ def test_diff(spark):
     assert d == {1: "changed", 2: "removed"}
     back = {r.k: r.change_type for r in table.diff(2, 0).collect()}
     assert back == {1: "changed", 2: "added"}
+
+
+def test_stored_log_appends_one_partition_per_version(spark, tmp_dir):
+    import os
+
+    path = os.path.join(tmp_dir, "log")
+    base = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA)
+    table = ChangeLog.create(base, ["k"], t(0), path=path)
+    table = table.update("k = 1", {"qty": "5"}, t(1)).delete("k = 2", t(2))
+    assert sorted(d for d in os.listdir(path) if d.startswith("_version=")) == [
+        "_version=0", "_version=1", "_version=2"
+    ]
+    reopened = ChangeLog.open(spark, ["k"], path)
+    assert reopened.next_version == 3
+    assert rows(reopened.current()) == [(1, 5, "a")]
+    assert rows(reopened.as_of(version=0)) == [(1, 1, "a"), (2, 2, "b")]
+    reopened = reopened.restore(0, t(3))
+    assert rows(ChangeLog.open(spark, ["k"], path).current()) == [(1, 1, "a"), (2, 2, "b")]
