@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from salesmart.functions.text import clean_header, date_of_iso, iso_duration_seconds, url_from_template
 from salesmart.sources.csv import combine_folder, read_landed_csv
