@@ -140,14 +140,49 @@ def _valid_on(dim_alias_key: str, spec: Scd2Spec, fact_key: str, fact_ts: str) -
     )
 
 
-def asof_join(facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec) -> DataFrame:
+def _bucketed_versions(dim: DataFrame, facts: DataFrame, fact_ts: str, spec: Scd2Spec, bucket_days: int, cols):
+    """Versions repeated once per ``bucket_days`` bucket they overlap, clipped
+    to the buckets the facts span (two scalars from one aggregate)."""
+    lo, hi = facts.agg(F.min(fact_ts), F.max(fact_ts)).first()
+    if lo is None:
+        return None
+    first, last = _day(lo) // bucket_days, _day(hi) // bucket_days
+    start_b = F.floor(F.unix_date(F.to_date(F.col(spec.start))) / bucket_days)
+    end_b = F.floor(F.unix_date(F.to_date(F.col(spec.end))) / bucket_days)
+    from_b = F.greatest(start_b, F.lit(first)).cast("long")
+    to_b = F.least(F.coalesce(end_b, F.lit(last)), F.lit(last)).cast("long")
+    return dim.select(*cols, F.explode(F.sequence(from_b, F.greatest(from_b, to_b))).alias("__b"))
+
+
+def _day(value) -> int:
+    return (value.date() - dt.date(1970, 1, 1)).days
+
+
+def asof_join(
+    facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec, bucket_days: int | None = None
+) -> DataFrame:
     """Step 3: facts with the surrogate key of the version valid on their date.
 
     Inner join: facts dated before the first version of their key drop out
-    (see ``unmatched_facts``).
+    (see ``unmatched_facts``).  The join is an equi-join on the key with the
+    date range as residual; with ``bucket_days`` the date bucket joins the
+    equi-key too, so a key with a long version history only compares a fact
+    with the versions overlapping its bucket.
     """
-    d = dim.select(F.col(spec.key).alias("__dk"), spec.start, spec.end, spec.surrogate)
-    return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "inner").drop("__dk", spec.start, spec.end)
+    cols = [F.col(spec.key).alias("__dk"), F.col(spec.start), F.col(spec.end), F.col(spec.surrogate)]
+    if bucket_days is None:
+        d = dim.select(*cols)
+        return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "inner").drop("__dk", spec.start, spec.end)
+    d = _bucketed_versions(dim, facts, fact_ts, spec, bucket_days, cols)
+    if d is None:
+        return facts.withColumn(spec.surrogate, F.lit(None).cast("string")).limit(0)
+    fb = F.floor(F.unix_date(F.to_date(F.col(fact_ts))) / bucket_days).cast("long")
+    cond = _valid_on("__dk", spec, fact_key, fact_ts) & (F.col("__fb") == F.col("__b"))
+    return (
+        facts.withColumn("__fb", fb)
+        .join(d, cond, "inner")
+        .drop("__dk", "__b", "__fb", spec.start, spec.end)
+    )
 
 
 def unmatched_facts(facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec) -> DataFrame:

@@ -32,8 +32,8 @@ def scan_limit_q(spark, root):
 @query("scan_full", "SELECT * FROM orders")
 def scan_full(spark, root):
     """Table scan by name through the catalog (``spark.read.table``)."""
-    register_views(spark, root, ["orders"])
-    return spark.read.table("orders")
+    views = register_views(spark, root, ["orders"])
+    return spark.read.table(views["orders"])
 
 
 @query(

@@ -38,12 +38,17 @@ def read_tables(spark: SparkSession, root: str, names=SALES_TABLES) -> dict[str,
     return {name: read_table(spark, root, name) for name in names}
 
 
-def register_views(spark: SparkSession, root: str, names=SALES_TABLES) -> dict[str, DataFrame]:
-    """Expose tables by name so ``spark.table(name)`` and SQL can address them."""
-    tables = read_tables(spark, root, names)
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return tables
+def register_views(
+    spark: SparkSession, root: str, names=SALES_TABLES, prefix: str = "salesmart_"
+) -> dict[str, str]:
+    """Expose tables by name so ``spark.read.table(name)`` and SQL can address
+    them; returns table -> view name (prefixed, so a caller's own views of the
+    same table names are left alone)."""
+    views = {}
+    for name, df in read_tables(spark, root, names).items():
+        views[name] = f"{prefix}{name}"
+        df.createOrReplaceTempView(views[name])
+    return views
 
 
 def table_set_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -106,3 +106,23 @@ def test_intervals_never_overlap_and_one_open_row(spark):
         assert len(opened) <= 1
         for a, b in zip(rows, rows[1:]):
             assert a.Valid_End_Date is not None and a.Valid_End_Date <= b.Valid_Start_Date
+
+
+def test_bucketed_asof_join_equals_plain(spark):
+    import random
+
+    rnd = random.Random(3)
+    dim = dim_from(spark, [(k, "n", "b0") for k in range(6)], start=dt.datetime(2019, 1, 1))
+    for i, t in enumerate([dt.datetime(2020, 3, 1), dt.datetime(2020, 3, 9), dt.datetime(2021, 7, 1), dt.datetime(2023, 1, 1)]):
+        dim = scd2.load(dim, stage(spark, [(k, "n", f"b{i}{rnd.randint(0, 1)}") for k in range(6)]), SPEC, t)
+    dim = spark.createDataFrame(dim.collect(), dim.schema)
+    facts = spark.createDataFrame(
+        [(i, rnd.randint(0, 7), dt.datetime(2018, 6, 1) + dt.timedelta(days=rnd.randint(0, 2200), hours=rnd.randint(0, 23)))
+         for i in range(400)],
+        "Order_No int, Item_ID int, Sales_Date timestamp_ntz",
+    )
+    plain = sorted(tuple(r) for r in scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC).collect())
+    for days in (30, 365):
+        bucketed = scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC, bucket_days=days)
+        assert sorted(tuple(r) for r in bucketed.collect()) == plain
+    assert len(plain) > 0
