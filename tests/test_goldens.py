@@ -119,3 +119,26 @@ def test_delete_and_restore(spark):
     t = t.restore(0, dt.datetime(2025, 8, 15))
     assert t.current().count() == 8
     assert [r.version for r in t.history().collect()] == [0, 1, 2]
+
+
+def test_star_join_case_clash_and_dropped_columns(spark):
+    """sales.ItemID == item.ItemId: names differ only in case, which Spark
+    treats as the same name; the dimension key is renamed and dropped, and the
+    customer's City/State give way to geography's."""
+    from salesmart.operators.joins import Dim, star_join
+
+    sales_ = spark.createDataFrame([(1, 10, 100, 2), (2, 11, 101, 1)], "SaleId int, CustomerId int, ItemID int, Qty int")
+    customer = spark.createDataFrame([(10, 1, "X", "Y"), (11, 2, "X", "Y")], "CustomerId int, CityId int, City string, State string")
+    geo = spark.createDataFrame([(1, "Pune", "MH"), (2, "Delhi", "DL")], "CityId int, City string, State string")
+    item = spark.createDataFrame([(100, "B1", "C1"), (101, "B2", "C2")], "ItemId int, Brand string, Category string")
+    out = star_join(
+        sales_,
+        [
+            Dim(customer.drop("State", "City"), "CustomerId"),
+            Dim(geo, "CityId"),
+            Dim(item, "ItemID", "ItemId"),
+        ],
+    )
+    assert sorted(out.columns) == sorted(["SaleId", "CustomerId", "ItemID", "Qty", "CityId", "City", "State", "Brand", "Category"])
+    rows = {r.SaleId: (r.City, r.Brand) for r in out.select("SaleId", "City", "Brand").collect()}
+    assert rows == {1: ("Pune", "B1"), 2: ("Delhi", "B2")}
