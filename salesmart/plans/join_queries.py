@@ -16,6 +16,9 @@ from salesmart.operators.joins import full_join_ordered, join_on, orphan_facts,
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
 
+# Fixed value: the label the source reports for keys missing from the dimension.
+UNKNOWN_CUSTOMER = "(Unknown Customer)"
+
 YEAR_FROM, YEAR_TO = dt.date(1997, 1, 1), dt.date(1998, 1, 1)
 SEGMENT = "BUILDING"
 HAVING_MIN = 2_500_000
@@ -185,11 +188,11 @@ def sales_per_customer(spark, root):
 @query(
     "having_total",
     _customer_totals_sql(
-        "COALESCE(c.c_name, '(Unknown Customer)')",
+        f"COALESCE(c.c_name, '{UNKNOWN_CUSTOMER}')",
         f"HAVING SUM({LINE_AMOUNT_SQL}) > {HAVING_MIN}",
     ),
 )
 def having_total(spark, root):
     """Group filter after aggregation (HAVING total > threshold)."""
-    totals = _customer_totals(spark, root, "(Unknown Customer)")
+    totals = _customer_totals(spark, root, UNKNOWN_CUSTOMER)
     return totals.filter(F.col("TotalSales") > HAVING_MIN).orderBy(F.col("TotalSales").desc())
