@@ -80,9 +80,13 @@ def exact_quantiles(
     buckets: int = 4096,
     max_window: int = 20_000,
     max_rounds: int = 64,
+    stats: dict[str, tuple[int, float | None, float | None]] | None = None,
 ) -> DataFrame:
     """``(column_name, p, value)``: exact discrete percentiles, distributed.
 
+    ``stats`` (column -> non-null count, min, max) can be passed when already
+    known (from ``describe``) to save the first pass.
+
     Targets (column, p) whose value windows coincide share one histogram, so
     the first round costs one grouped pass for all percentiles of a column.
     Windows of one column are nested buckets of earlier windows, hence equal or
@@ -90,19 +94,22 @@ def exact_quantiles(
     """
     spark = df.sparkSession
     long = unpivot_values(df, cols)
-    stats = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
+    if stats is None:
+        agg = long.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
+        stats = {r["column_name"]: (r["n"], r["lo"], r["hi"]) for r in agg.collect()}
     answers: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
     # open targets: (column, p) -> [lo, hi, base (values below lo), m (values in window), rank]
     targets: dict[tuple[str, float], list] = {}
-    for r in stats.collect():
+    for c, (n, lo, hi) in stats.items():
+        if not n:
+            continue
         for p in probs:
-            key = (r["column_name"], p)
-            if r["lo"] == r["hi"]:
-                answers[key] = r["lo"]
+            if lo == hi:
+                answers[(c, p)] = lo
             else:
-                targets[key] = [r["lo"], r["hi"], 0, r["n"], disc_rank(r["n"], p)]
+                targets[(c, p)] = [lo, hi, 0, n, disc_rank(n, p)]
 
     schema = "w_id int, w_col string, w_lo double, w_hi double"
 
@@ -182,9 +189,17 @@ def summary_long(
     names = [f"p{round(p * 100)}" for p in probs]
     desc = describe_long(df, cols)
     if exact:
-        q = exact_quantiles(df, cols, list(probs), **exact_options)
-        pivot = q.groupBy("column_name").agg(
-            *[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(n) for p, n in zip(probs, names)]
+        # One pass for the describe row (one row per column), reused for the
+        # percentile windows; the result is rebuilt from those few rows.
+        rows = desc.collect()
+        stats = {r["column_name"]: (r["count"], r["min"], r["max"]) for r in rows}
+        q = {(r.column_name, r.p): r.value for r in exact_quantiles(df, cols, list(probs), stats=stats, **exact_options).collect()}
+        out = [tuple(r) + tuple(q[(r["column_name"], float(p))] for p in probs) for r in rows]
+        schema = desc.schema
+        for n in names:
+            schema = schema.add(n, "double")
+        return df.sparkSession.createDataFrame(out, schema).select(
+            "column_name", "count", "mean", "stddev", "min", *names, "max"
         )
     else:
         arr = [

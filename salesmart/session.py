@@ -36,18 +36,38 @@ SQL_CONF = {
 }
 
 
+# Sizing for inputs of tens of terabytes on about a thousand executors: many
+# initial shuffle partitions that AQE merges down to ~256 MB each, scan splits
+# of 256 MB, and a skew threshold that only fires on really large partitions.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(
     master: str | None = None,
     app: str = "salesmart",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
-    """Create (or reuse) a session with the settings above."""
+    """Create (or reuse) a session with the settings above (``profile="cluster"``
+    adds the large-input sizing of ``CLUSTER_CONF``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for key, value in SQL_CONF.items():
+    conf = dict(SQL_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    elif profile != "local":
+        raise ValueError("profile must be 'local' or 'cluster'")
+    for key, value in conf.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
