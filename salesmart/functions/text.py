@@ -29,15 +29,20 @@ def _c(c) -> Column:
 
 
 def _part(text: Column, unit: str) -> Column:
+    # A plain cast guarded by the digit count (up to 9 digits always fits an
+    # int): no cast failure is ever raised and caught per row, which is what
+    # makes ``try_cast`` of non-numbers slow.  Longer digit runs give NULL.
     digits = F.regexp_extract(text, rf"(\d+){unit}", 1)
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
+    n = F.length(digits)
+    return F.when(n == 0, F.lit(0)).when(n <= 9, digits.cast("int")).cast("bigint")
 
 
 def iso_duration_seconds(c) -> Column:
-    """``PT#H#M#S`` to whole seconds (days ignored; NULL / '' give 0)."""
+    """``PT#H#M#S`` to whole seconds (days ignored; NULL / '' give 0; a total
+    beyond the int range gives NULL)."""
     text = F.coalesce(_c(c), F.lit(""))
     seconds = _part(text, "H") * 3600 + _part(text, "M") * 60 + _part(text, "S")
-    return seconds.cast("int")
+    return seconds.try_cast("int")
 
 
 def date_of_iso(c) -> Column:
