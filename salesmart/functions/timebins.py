@@ -45,6 +45,8 @@ def time_bin(ts, days: int) -> Column:
     whole-stage codegen and can feed a partial aggregate.
     """
     if days == 1:
-        return F.date_trunc("day", _c(ts))
+        # date -> timestamp_ntz keeps the bin free of any zone (date_trunc would
+        # pass through the session zone and return a zoned timestamp).
+        return F.to_date(_c(ts)).cast("timestamp_ntz")
     offset = bin_offset_days(days)
     return F.window(_c(ts), f"{days} days", f"{days} days", f"{offset} days").start

@@ -200,4 +200,6 @@ SELECT doc_id, length(clean) AS n_chars_clean, md5(clean) AS clean_md5 FROM c
 def clean_text(spark, root):
     """Value clean-up over whole texts: dash repair, footnote tails, blank runs, trim."""
     docs = Mart(spark, root).t("documents").select("doc_id", clean_value("text").alias("clean"))
-    return docs.select("doc_id", F.length("clean").alias("n_chars_clean"), F.md5("clean").alias("clean_md5"))
+    return docs.select(
+        "doc_id", F.length("clean").cast("bigint").alias("n_chars_clean"), F.md5("clean").alias("clean_md5")
+    )

@@ -40,3 +40,23 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert df.columns == ["State", "TotalSales"] and len(rows) > 0
+
+
+# Spark simple type name -> DuckDB type name of the same values.
+TYPE_NAMES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF_ORACLE)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    for field in df.schema.fields:
+        s = field.dataType.simpleString()
+        assert duck_types[field.name] == TYPE_NAMES.get(s, s.upper()), (name, field.name)
