@@ -57,3 +57,14 @@ def test_append_by_name_and_copy(spark):
     assert sorted((r.id, r.region) for r in out) == [(1, "N"), (2, None)]
     copy = copy_table(spark, target, "copy_test")
     assert [tuple(r) for r in copy.collect()] == [(1, "N")]
+
+
+@pytest.mark.parametrize("name", ["dim_customer", "fact_sales", "sales", "dim_item", "sales_fact"])
+def test_declared_schemas_create(spark, tmp_dir, name):
+    from salesmart.sources.schemas import TABLES
+
+    table = f"sink_{name}"
+    create_if_not_exists(spark, table, TABLES[name], os.path.join(tmp_dir, name))
+    got = spark.table(table).schema
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in TABLES[name].fields]
+    spark.sql(f"DROP TABLE {table}")
