@@ -126,3 +126,31 @@ def test_bucketed_asof_join_equals_plain(spark):
         bucketed = scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC, bucket_days=days)
         assert sorted(tuple(r) for r in bucketed.collect()) == plain
     assert len(plain) > 0
+
+
+def test_csv_items_to_dimension_with_declared_schema(spark, tmp_dir):
+    """Landed item CSV -> normalised columns -> type 2 dimension whose columns
+    and types are the declared item dimension's."""
+    import os
+
+    from salesmart.sources.csv import read_landed_csv
+    from salesmart.sources.schemas import DIM_ITEM
+
+    header = "Item Id,Name,Brand Id,Category Id,Sub Category Id,Brand,Category,Sub Category"
+    lines = [f"{i},Item {i},{i % 3},{i % 2},{i % 4},Brand {i % 3},Category {i % 2},Sub Cat {i % 4}" for i in range(1, 8)]
+    path = os.path.join(tmp_dir, "item.csv")
+    with open(path, "wb") as f:
+        f.write(b"\xef\xbb\xbf" + ("\r\n".join([header] + lines) + "\r\n").encode())
+    items = read_landed_csv(spark, path)
+    spec = scd2.Scd2Spec(
+        key="Item_Id",
+        attrs=("Name", "Brand_Id", "Category_Id", "Sub_Category_Id", "Brand", "Category", "Sub_Category"),
+        default_start=dt.datetime(2018, 1, 1),
+        surrogate="Item_SurrogateKey",
+    )
+    dim = scd2.initial_dimension(items, spec, dt.datetime(2018, 1, 1))
+    assert [(f.name, f.dataType) for f in dim.schema.fields] == [(f.name, f.dataType) for f in DIM_ITEM.fields]
+    changed = items.withColumn("Brand", F.when(F.col("Item_Id") == 3, F.lit("Brand X")).otherwise(F.col("Brand")))
+    after = scd2.load(dim, changed, spec, T1)
+    assert after.count() == 8
+    assert after.filter(F.col("Valid_End_Date").isNull()).count() == 7
