@@ -203,8 +203,7 @@ class ChangeLog:
     """A versioned table: the log plus the key and the next version number.
 
     Each operation returns a new ``ChangeLog`` whose log has the new version's
-    rows appended; nothing is mutated.  ``write`` lands the log partitioned by
-    ``_version`` (append-only: earlier versions are never rewritten).
+    rows appended; nothing is mutated and earlier versions are never rewritten.
 
     With ``path`` set, the log lives in a Parquet table partitioned by
     ``_version`` (in the shared folder): ``create`` overwrites it with version

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.measures import line_amount
+from salesmart.functions.measures import MONEY, TOTAL, discount_amount, line_amount, money
 from salesmart.operators.joins import broadcast_fixed
 from salesmart.operators.rollups import roll_up, sum_by
 from salesmart.sources.tables import read_table
@@ -104,8 +104,6 @@ class Mart:
 def part_totals(m: Mart) -> DataFrame:
     """Per part key: Gross, Discount, quantity sum and line count, aggregated
     on the lineitem side before the join to ``part``."""
-    from salesmart.functions.measures import TOTAL, discount_amount, money
-
     return m.lineitem.groupBy("l_partkey").agg(
         F.sum(money("l_extendedprice")).cast(TOTAL).alias("Gross"),
         F.sum(discount_amount("l_extendedprice", "l_discount")).cast(TOTAL).alias("Discount"),
@@ -121,8 +119,6 @@ def part_measures(m: Mart) -> DataFrame:
     COGS per line is Qty*Cost with one cost per part, so the exact decimal sum
     over a part's lines equals Cost * (sum of Qty).
     """
-    from salesmart.functions.measures import MONEY, TOTAL
-
     part = m.part.select("p_partkey", "p_brand", "p_type", "p_retailprice")
     return part_totals(m).join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "COGS", (F.col("Qty") * F.col("p_retailprice").cast(MONEY)).cast(TOTAL)
