@@ -154,3 +154,25 @@ def test_csv_items_to_dimension_with_declared_schema(spark, tmp_dir):
     after = scd2.load(dim, changed, spec, T1)
     assert after.count() == 8
     assert after.filter(F.col("Valid_End_Date").isNull()).count() == 7
+
+
+def test_rerun_of_a_fact_batch_replaces_it(spark, tmp_dir):
+    """Loading the same staged facts twice leaves them once: the batch is
+    landed with dynamic partition overwrite on its batch id."""
+    import os
+
+    from salesmart.sources.sinks import overwrite_path
+
+    dim = dim_from(spark, [(1, "a", "A"), (2, "b", "B")])
+    facts = spark.createDataFrame(
+        [(10, 1, dt.datetime(2021, 1, 1), "b1"), (11, 2, dt.datetime(2021, 1, 2), "b1")],
+        "Order_No int, Item_ID int, Sales_Date timestamp_ntz, batch string",
+    )
+    other = facts.withColumn("batch", F.lit("b0"))
+    path = os.path.join(tmp_dir, "sales_fact")
+    overwrite_path(scd2.asof_join(other, dim, "Item_ID", "Sales_Date", SPEC), path, partition_by=["batch"])
+    for _ in range(2):
+        overwrite_path(scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC), path, partition_by=["batch"])
+    landed = spark.read.parquet(path)
+    assert landed.count() == 4
+    assert {r.batch: r["count"] for r in landed.groupBy("batch").count().collect()} == {"b0": 2, "b1": 2}
