@@ -17,6 +17,10 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# ISO-8601 duration parts, read wherever they occur in the text,
+# and the seconds each unit is worth (days are not read).
+DURATION_PARTS = ((r"(\d+)H", 3600), (r"(\d+)M", 60), (r"(\d+)S", 1))
+
 # Defect patterns of the landed files.
 FOOTNOTE_TAIL = r"\[[a-z]{1,2}\]"
 MISDECODED_EN_DASH = "â€“"  # UTF-8 bytes of an en dash read as cp1252
@@ -28,11 +32,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _part(text: Column, unit: str) -> Column:
+def _part(text: Column, pattern: str) -> Column:
     # A plain cast guarded by the digit count (up to 9 digits always fits an
     # int): no cast failure is ever raised and caught per row, which is what
     # makes ``try_cast`` of non-numbers slow.  Longer digit runs give NULL.
-    digits = F.regexp_extract(text, rf"(\d+){unit}", 1)
+    digits = F.regexp_extract(text, pattern, 1)
     n = F.length(digits)
     return F.when(n == 0, F.lit(0)).when(n <= 9, digits.cast("int")).cast("bigint")
 
@@ -41,7 +45,7 @@ def iso_duration_seconds(c) -> Column:
     """``PT#H#M#S`` to whole seconds (days ignored; NULL / '' give 0; a total
     beyond the int range gives NULL)."""
     text = F.coalesce(_c(c), F.lit(""))
-    seconds = _part(text, "H") * 3600 + _part(text, "M") * 60 + _part(text, "S")
+    seconds = sum((_part(text, pattern) * unit for pattern, unit in DURATION_PARTS), F.lit(0).cast("bigint"))
     return seconds.try_cast("int")
 
 

@@ -72,12 +72,14 @@ closed AS (
   FROM dim0 d LEFT JOIN stg s ON d.Item_Id = s.Item_Id),
 new_rows AS (
   SELECT s.Item_Id, s.Name, s.Brand, s.Category, s.Size,
-         CASE WHEN (SELECT COUNT(*) FROM closed t1 WHERE t1.Item_Id = s.Item_Id) <= 0
-              THEN TIMESTAMP '1996-01-01 00:00:00' ELSE TIMESTAMP '1998-06-17 00:00:00' END AS Valid_Start_Date,
+         CASE WHEN s.Item_Id IN (SELECT Item_Id FROM closed)
+              THEN TIMESTAMP '1998-06-17 00:00:00' ELSE TIMESTAMP '1996-01-01 00:00:00' END AS Valid_Start_Date,
          CAST(NULL AS TIMESTAMP) AS Valid_End_Date
-  FROM closed t RIGHT JOIN stg s
-    ON t.Item_Id = s.Item_Id AND t.Name = s.Name AND t.Brand = s.Brand AND t.Category = s.Category AND t.Size = s.Size
-  WHERE t.Item_Id IS NULL),
+  FROM stg s
+  WHERE NOT EXISTS (
+    SELECT 1 FROM closed t
+    WHERE t.Item_Id = s.Item_Id AND t.Name = s.Name AND t.Brand = s.Brand
+      AND t.Category = s.Category AND t.Size = s.Size)),
 dim1 AS (
   SELECT {SK_SQL} AS Item_SurrogateKey, * FROM closed
   UNION ALL
