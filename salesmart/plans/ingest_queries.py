@@ -203,3 +203,80 @@ def clean_text(spark, root):
     return docs.select(
         "doc_id", F.length("clean").cast("bigint").alias("n_chars_clean"), F.md5("clean").alias("clean_md5")
     )
+
+
+def _api_pages(spark, root):
+    """Landed API pages derived from the events: one page per 50 consecutive
+    event ids (so a page never holds more than 50 items), each item a nested
+    video document; fields that are NULL are left out of the JSON, as an API
+    omits them (no thumbnail for errors, no statistics for signups)."""
+    ev = Mart(spark, root).events
+    not_error, not_signup = F.col("event_type") != "error", F.col("event_type") != "signup"
+    item = F.struct(
+        F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("id"),
+        F.struct(
+            F.col("event_type").alias("title"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("channelTitle"),
+            F.when(
+                not_error,
+                F.struct(F.struct(F.concat(F.lit("https://img.example/"), F.col("event_id").cast("string"), F.lit(".jpg")).alias("url")).alias("high")),
+            ).alias("thumbnails"),
+        ).alias("snippet"),
+        F.when(
+            not_signup,
+            F.struct(
+                (F.col("user_id") * 3 + F.pmod(F.col("event_id"), F.lit(5))).cast("string").alias("viewCount"),
+                F.pmod(F.col("event_id"), F.lit(7)).cast("string").alias("likeCount"),
+                F.pmod(F.col("event_id"), F.lit(3)).cast("string").alias("commentCount"),
+            ),
+        ).alias("statistics"),
+        F.struct(_duration_text().alias("duration")).alias("contentDetails"),
+        F.struct(
+            F.when(F.col("event_type") == "purchase", F.lit("unlisted")).otherwise(F.lit("public")).alias("privacyStatus")
+        ).alias("status"),
+    )
+    pages = ev.groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(F.collect_list(item).alias("items"))
+    return pages.select(F.to_json(F.struct(F.col("page").cast("string").alias("nextPageToken"), "items")).alias("value"))
+
+
+@query(
+    "video_load",
+    f"""
+WITH e AS (SELECT *, (event_id * 7919) % 20000 AS secs FROM events),
+v AS (
+  SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, event_type AS title,
+         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
+         'user' || CAST(user_id AS VARCHAR) AS channel_title,
+         CASE WHEN event_type = 'signup' THEN 0 ELSE user_id * 3 + event_id % 5 END AS view_count,
+         CASE WHEN event_type = 'signup' THEN 0 ELSE event_id % 7 END AS like_count,
+         CASE WHEN event_type = 'signup' THEN 0 ELSE event_id % 3 END AS comment_count,
+         CASE WHEN event_type = 'error' THEN NULL ELSE
+           (CASE WHEN event_type = 'signup' THEN 'P1D' ELSE 'P' END) || 'T'
+           || (CASE WHEN secs // 3600 > 0 THEN CAST(secs // 3600 AS VARCHAR) || 'H' ELSE '' END)
+           || (CASE WHEN (secs % 3600) // 60 > 0 THEN CAST((secs % 3600) // 60 AS VARCHAR) || 'M' ELSE '' END)
+           || (CASE WHEN secs % 60 > 0 THEN CAST(secs % 60 AS VARCHAR) || 'S' ELSE '' END)
+           || (CASE WHEN secs = 0 THEN '0S' ELSE '' END)
+         END AS duration,
+         CASE WHEN event_type = 'purchase' THEN 'unlisted' ELSE 'public' END AS privacy_status,
+         CASE WHEN event_type = 'error' THEN '' ELSE 'https://img.example/' || CAST(event_id AS VARCHAR) || '.jpg' END
+           AS thumbnail_url,
+         'https://video.example/watch?v=v' || CAST(event_id AS VARCHAR) AS video_url,
+         '{RUN_TS.isoformat()}' AS extracted_at,
+         CAST(CASE WHEN event_type = 'error' THEN 0 ELSE secs END AS INTEGER) AS duration_seconds
+  FROM e)
+SELECT video_id, title, published_at, channel_title, view_count, like_count, comment_count, duration,
+       privacy_status, thumbnail_url, video_url, extracted_at,
+       CAST(substr(published_at, 1, 10) AS DATE) AS published_date, duration_seconds,
+       CASE WHEN view_count > 0 THEN (like_count + comment_count) / view_count * 100 ELSE 0.0 END AS engagement_rate
+FROM v
+""",
+)
+def video_load(spark, root):
+    """API loader: landed JSON pages -> items -> flat video rows with the
+    loader's defaults (missing counters 0, missing thumbnail '') and the
+    derived date, duration seconds and engagement rate."""
+    from salesmart.sources.json import PAGE, flatten_videos, page_items
+
+    pages = _api_pages(spark, root).select(F.from_json("value", PAGE).alias("page"))
+    return flatten_videos(page_items(pages), RUN_TS, URL_TEMPLATE)
