@@ -280,3 +280,27 @@ def video_load(spark, root):
 
     pages = _api_pages(spark, root).select(F.from_json("value", PAGE).alias("page"))
     return flatten_videos(page_items(pages), RUN_TS, URL_TEMPLATE)
+
+
+@query(
+    "csv_combine",
+    "SELECT p_partkey AS Item_Id, p_name AS Name, p_brand AS Brand, p_type AS Category, "
+    "CAST(p_size AS VARCHAR) AS Size FROM part",
+)
+def csv_combine(spark, root):
+    """Landed CSV folder -> one frame: ``part`` is landed as CSV parts with a
+    header of blank-separated names (at most 1,000 rows per file), then the
+    folder is read back with header normalisation, id casts and value cleaning."""
+    from salesmart.session import table_path
+    from salesmart.sources.csv import combine_folder, land_csv
+
+    folder = table_path(spark, "landed_csv/item")
+    items = Mart(spark, root).part.select(
+        F.col("p_partkey").alias("Item Id"),
+        F.col("p_name").alias("Name"),
+        F.col("p_brand").alias("Brand"),
+        F.col("p_type").alias("Category"),
+        F.col("p_size").alias("Size"),
+    )
+    land_csv(items, folder, max_rows_per_file=1000)
+    return combine_folder(spark, folder, id_type="bigint").drop("source_file")

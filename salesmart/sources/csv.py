@@ -19,19 +19,28 @@ def is_id_column(name: str) -> bool:
     return name == "Id" or name.endswith("_Id")
 
 
-def read_landed_csv(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
-    """Read CSV with a header; normalise names, cast ids, clean text values."""
+def read_landed_csv(
+    spark: SparkSession, path: str, with_source: bool = False, id_type: str = "int"
+) -> DataFrame:
+    """Read CSV with a header; normalise names, cast ids (``int`` as declared,
+    ``bigint`` for key ranges beyond it), clean text values."""
     raw = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", False).csv(path)
     names = [clean_header(c) for c in raw.columns]
     df = raw.toDF(*names)
     cols = [
-        F.trim(F.col(n)).try_cast("int").alias(n) if is_id_column(n) else clean_value(n).alias(n) for n in names
+        F.trim(F.col(n)).try_cast(id_type).alias(n) if is_id_column(n) else clean_value(n).alias(n) for n in names
     ]
     if with_source:
         cols.append(F.col("_metadata.file_name").alias("source_file"))
     return df.select(*cols)
 
 
-def combine_folder(spark: SparkSession, folder: str) -> DataFrame:
+def combine_folder(spark: SparkSession, folder: str, id_type: str = "int") -> DataFrame:
     """All same-schema CSV parts of a folder as one frame, with the file of each row."""
-    return read_landed_csv(spark, folder, with_source=True)
+    return read_landed_csv(spark, folder, with_source=True, id_type=id_type)
+
+
+def land_csv(df: DataFrame, folder: str, max_rows_per_file: int = 1_000_000) -> None:
+    """Write ``df`` as a folder of CSV parts with a header line (overwrite);
+    every task writes its own files of at most ``max_rows_per_file`` rows."""
+    df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", max_rows_per_file).csv(folder)
