@@ -160,10 +160,15 @@ def restore_log(log: DataFrame, key: list[str], target_version: int, version: in
 
     History is kept: restore is a new version, as a versioned table does.
     """
-    data = data_columns(log)
+    return restore_rows(as_of(log, key), as_of(log, key, target_version), key, version, ts)
+
+
+def restore_rows(current: DataFrame, target: DataFrame, key: list[str], version: int, ts: dt.datetime) -> DataFrame:
+    """Log rows that turn the ``current`` state into the ``target`` state."""
+    data = [c for c in current.columns if c not in META]
     rest = [c for c in data if c not in key]
-    cur = as_of(log, key).withColumn("__in", F.lit(True)).alias("c")
-    tgt = as_of(log, key, target_version).withColumn("__in", F.lit(True)).alias("t")
+    cur = current.withColumn("__in", F.lit(True)).alias("c")
+    tgt = target.withColumn("__in", F.lit(True)).alias("t")
     on = [F.col(f"c.{k}") == F.col(f"t.{k}") for k in key]
     joined = cur.join(tgt, on, "full")
     op = (
@@ -210,12 +215,26 @@ class ChangeLog:
     0 and every commit appends only its own version's files, as a table format
     writes each commit.  The next commit then reads the stored log instead of
     recomputing the chain, and lineage stays one step long.
+
+    Without ``path`` the table also carries each version's state as a lazy
+    transform of the previous one (an update is a projection, a delete a
+    filter, a restore the target's state), so a commit's log rows come from
+    that state instead of from a latest-row-per-key pass over the whole log.
+    Reads (``as_of``, ``history``, ``diff``) always go through the log.
     """
 
-    def __init__(self, log: DataFrame, key: list[str], next_version: int | None = None, path: str | None = None):
+    def __init__(
+        self,
+        log: DataFrame,
+        key: list[str],
+        next_version: int | None = None,
+        path: str | None = None,
+        states: list[DataFrame] | None = None,
+    ):
         self.log = log
         self.key = list(key)
         self.path = path
+        self.states = states
         self.next_version = latest_version(log) + 1 if next_version is None else next_version
 
     @classmethod
@@ -224,37 +243,49 @@ class ChangeLog:
         if path:
             log.write.mode("overwrite").partitionBy("_version").parquet(path)
             log = df.sparkSession.read.parquet(path).select(*log.columns)
-        return cls(log, key, 1, path)
+            return cls(log, key, 1, path)
+        return cls(log, key, 1, None, [df])
 
     @classmethod
     def open(cls, spark, key: list[str], path: str) -> "ChangeLog":
         """A stored log; the next version number comes from the stored versions."""
         return cls(spark.read.parquet(path), key, None, path)
 
-    def _append(self, rows: DataFrame, ts: dt.datetime, operation: str) -> "ChangeLog":
+    def _append(self, rows: DataFrame, ts: dt.datetime, operation: str, state: DataFrame) -> "ChangeLog":
         marker = commit_marker(self.log, self.next_version, ts, operation)
         new = rows.unionByName(marker)
         if self.path:
             new.write.mode("append").partitionBy("_version").parquet(self.path)
             log = self.log.sparkSession.read.parquet(self.path).select(*self.log.columns)
-        else:
-            log = self.log.unionByName(new)
-        return ChangeLog(log, self.key, self.next_version + 1, self.path)
+            return ChangeLog(log, self.key, self.next_version + 1, self.path)
+        states = None if self.states is None else self.states + [state]
+        return ChangeLog(self.log.unionByName(new), self.key, self.next_version + 1, None, states)
+
+    def state(self, version: int | None = None) -> DataFrame:
+        """The table at a version (the latest when None)."""
+        if self.states is not None:
+            return self.states[-1 if version is None else version]
+        return as_of(self.log, self.key, version)
 
     def current(self) -> DataFrame:
-        return as_of(self.log, self.key)
+        return self.state()
 
     def as_of(self, version: int | None = None, ts: dt.datetime | None = None) -> DataFrame:
         return as_of(self.log, self.key, version, ts)
 
     def update(self, condition, assignments, ts: dt.datetime) -> "ChangeLog":
-        return self._append(update_log(self.current(), condition, assignments, self.next_version, ts), ts, "UPDATE")
+        cur = self.current()
+        rows = update_log(cur, condition, assignments, self.next_version, ts)
+        return self._append(rows, ts, "UPDATE", update_rows(cur, condition, assignments))
 
     def delete(self, condition, ts: dt.datetime) -> "ChangeLog":
-        return self._append(delete_log(self.current(), condition, self.next_version, ts), ts, "DELETE")
+        cur = self.current()
+        return self._append(delete_log(cur, condition, self.next_version, ts), ts, "DELETE", delete_rows(cur, condition))
 
     def restore(self, target_version: int, ts: dt.datetime) -> "ChangeLog":
-        return self._append(restore_log(self.log, self.key, target_version, self.next_version, ts), ts, "RESTORE")
+        target = self.state(target_version)
+        rows = restore_rows(self.current(), target, self.key, self.next_version, ts)
+        return self._append(rows, ts, "RESTORE", target)
 
     def history(self) -> DataFrame:
         return history(self.log)

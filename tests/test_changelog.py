@@ -50,24 +50,30 @@ ops = st.lists(
 def test_versions_replay(spark, ops):
     base = spark.createDataFrame([(k, k % 5, f"n{k}") for k in range(12)], SCHEMA)
     table = ChangeLog.create(base, ["k"], t(0))
+    lazy = ChangeLog.create(base, ["k"], t(0))  # carries its states, never rebuilt
     states = [rows(base)]
     state = base
     for i, (op, a, b) in enumerate(ops, start=1):
         if op == "update":
             table = table.update(F.col("qty") == a, {"qty": F.lit(b)}, t(i))
+            lazy = lazy.update(F.col("qty") == a, {"qty": F.lit(b)}, t(i))
             state = update_rows(state, F.col("qty") == a, {"qty": F.lit(b)})
         elif op == "delete":
             table = table.delete(F.col("qty") == a, t(i))
+            lazy = lazy.delete(F.col("qty") == a, t(i))
             state = delete_rows(state, F.col("qty") == a)
         else:
             target = min(a, len(states) - 1)
             table = table.restore(target, t(i))
+            lazy = lazy.restore(target, t(i))
             state = spark.createDataFrame(states[target], SCHEMA)
         state = spark.createDataFrame(state.collect(), SCHEMA)
         states.append(rows(state))
         table = ChangeLog(spark.createDataFrame(table.log.collect(), table.log.schema), ["k"], table.next_version)
     for n, expected in enumerate(states):
         assert rows(table.as_of(version=n)) == expected
+        assert rows(lazy.as_of(version=n)) == expected
+        assert rows(lazy.state(n)) == expected
     assert rows(table.as_of(ts=t(len(states) - 2))) == states[-2]
     assert rows(table.current()) == states[-1]
     hist = table.history().collect()
