@@ -238,7 +238,15 @@ class ChangeLog:
         self.next_version = latest_version(log) + 1 if next_version is None else next_version
 
     @classmethod
-    def create(cls, df: DataFrame, key: list[str], ts: dt.datetime, path: str | None = None) -> "ChangeLog":
+    def create(
+        cls, df: DataFrame, key: list[str], ts: dt.datetime, path: str | None = None, check_key: bool = True
+    ) -> "ChangeLog":
+        """Version 0 of ``df``; the key is audited first (unique, no NULL part),
+        since as-of reads, restore and diff pick one row per key."""
+        if check_key:
+            from salesmart.operators.audit import assert_unique
+
+            assert_unique(df, key)
         log = initial_log(df, ts)
         if path:
             log.write.mode("overwrite").partitionBy("_version").parquet(path)

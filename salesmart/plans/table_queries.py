@@ -189,3 +189,18 @@ def append_missing_cols(spark, root):
 def copy_table_q(spark, root):
     """``CREATE OR REPLACE TABLE orders_copy AS SELECT * FROM orders``."""
     return copy_table(spark, Mart(spark, root).orders, "orders_copy")
+
+
+@query(
+    "duplicate_keys",
+    """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber
+HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL
+""",
+)
+def duplicate_keys_q(spark, root):
+    """Primary-key audit: (order, line number) pairs held by more than one row."""
+    from salesmart.operators.audit import duplicate_keys
+
+    return duplicate_keys(Mart(spark, root).lineitem, ["l_orderkey", "l_linenumber"])

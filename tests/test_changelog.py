@@ -105,3 +105,15 @@ def test_stored_log_appends_one_partition_per_version(spark, tmp_dir):
     assert rows(reopened.as_of(version=0)) == [(1, 1, "a"), (2, 2, "b")]
     reopened = reopened.restore(0, t(3))
     assert rows(ChangeLog.open(spark, ["k"], path).current()) == [(1, 1, "a"), (2, 2, "b")]
+
+
+def test_create_fails_clearly_on_duplicate_or_null_keys(spark):
+    import pytest
+
+    from salesmart.operators.audit import duplicate_keys
+
+    dup = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 3, "c"), (2, 4, "d")], SCHEMA)
+    assert sorted((r.k, r.n) for r in duplicate_keys(dup, ["k"]).collect() if r.k is not None) == [(1, 2)]
+    assert duplicate_keys(dup, ["k"]).count() == 2
+    with pytest.raises(ValueError, match="not unique"):
+        ChangeLog.create(dup, ["k"], t(0))
