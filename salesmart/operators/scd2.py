@@ -125,9 +125,22 @@ def new_versions(
 
 
 def load(
-    dim: DataFrame, stage: DataFrame, spec: Scd2Spec, run_ts: dt.datetime, match: str = "current"
+    dim: DataFrame,
+    stage: DataFrame,
+    spec: Scd2Spec,
+    run_ts: dt.datetime,
+    match: str = "current",
+    check_stage: bool = True,
 ) -> DataFrame:
-    """Steps 1 and 2: the dimension after one load (closed rows plus new versions)."""
+    """Steps 1 and 2: the dimension after one load (closed rows plus new versions).
+
+    The stage must hold one row per key (a repeated key would close and insert
+    twice); it is audited first unless ``check_stage`` is off.
+    """
+    if check_stage:
+        from salesmart.operators.audit import assert_unique
+
+        assert_unique(stage, [spec.key])
     closed = close_changed(dim, stage, spec, run_ts).select(*spec.dim_columns)
     return closed.unionByName(new_versions(closed, stage, spec, run_ts, match))
 

@@ -176,3 +176,9 @@ def test_rerun_of_a_fact_batch_replaces_it(spark, tmp_dir):
     landed = spark.read.parquet(path)
     assert landed.count() == 4
     assert {r.batch: r["count"] for r in landed.groupBy("batch").count().collect()} == {"b0": 2, "b1": 2}
+
+
+def test_stage_with_a_repeated_key_is_refused(spark):
+    dim = dim_from(spark, [(1, "a", "X")])
+    with pytest.raises(ValueError, match="not unique"):
+        scd2.load(dim, stage(spark, [(1, "a", "Y"), (1, "a", "Z")]), SPEC, T1)
