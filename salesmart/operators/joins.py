@@ -35,10 +35,13 @@ def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") ->
     """
     if how not in JOIN_TYPES + ("anti", "leftanti", "semi", "outer", "left_outer", "right_outer"):
         raise ValueError(f"unknown join type {how!r}")
-    if how in ("full", "outer"):
+    shared = (set(facts.columns) & set(dims.columns)) - {key}
+    if how in ("full", "outer") and not shared:
         return full_join_on(facts, dims, key)
-    if how in ("right", "right_outer"):
+    if how in ("right", "right_outer") and not shared:
         return right_join_on(facts, dims, key)
+    # Sides sharing a non-key column name keep Spark's own join (duplicate
+    # names cannot be matched by name in a union).
     return facts.join(dims, on=key, how=how)
 
 

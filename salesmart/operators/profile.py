@@ -40,7 +40,10 @@ def unpivot_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column: count, mean, stddev, min, max (one pass)."""
+    """One row per column: count, mean, stddev, min, max (one pass).
+
+    Columns are read as doubles, so give numeric columns; text reads as NULL.
+    """
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
