@@ -218,3 +218,24 @@ def summary_long(
     return desc.join(pivot, "column_name").select(
         "column_name", "count", "mean", "stddev", "min", *names, "max"
     )
+
+
+def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per text column: count of non-NULL values, smallest and largest
+    value (binary string order), as ``describe()`` reports text; one pass."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("string")
+        aggs += [F.count(x).alias(f"{c}__n"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.col(f"{c}__n").alias("count"),
+                F.col(f"{c}__min").alias("min"),
+                F.col(f"{c}__max").alias("max"),
+            )
+            for c in cols
+        ]
+    )
+    return df.agg(*aggs).select(F.inline(rows))

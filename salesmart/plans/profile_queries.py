@@ -35,3 +35,20 @@ def describe_table(spark, root):
 def summary_table(spark, root):
     """``describe`` plus exact 25 / 50 / 75 % (discrete) percentiles."""
     return summary_long(Mart(spark, root).lineitem, PROFILE_COLS)
+
+
+TEXT_COLS = ["c_name", "c_mktsegment"]
+
+
+@query(
+    "describe_text",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS count, MIN({c}) AS min, MAX({c}) AS max FROM customer"
+        for c in TEXT_COLS
+    ),
+)
+def describe_text_q(spark, root):
+    """``describe()`` of text columns: count, min, max."""
+    from salesmart.operators.profile import describe_text
+
+    return describe_text(Mart(spark, root).customer, TEXT_COLS)
