@@ -97,13 +97,17 @@ def test_intervals_never_overlap_and_one_open_row(spark):
     rnd = random.Random(7)
     dim = dim_from(spark, [(k, "n", "b0") for k in range(20)])
     times = [dt.datetime(2021 + i, 1, 1) for i in range(4)]
+    staged = set()
     for t in times:
         rows = [(k, "n", f"b{rnd.randint(0, 2)}") for k in range(25) if rnd.random() < 0.8]
+        staged = {r[0] for r in rows}
         dim = scd2.load(dim, stage(spark, rows), SPEC, t, "current")
         dim = spark.createDataFrame(dim.collect(), dim.schema)  # keep the test plan small
     for key, rows in by_key(dim).items():
         opened = [r for r in rows if r.Valid_End_Date is None]
         assert len(opened) <= 1
+        if key in staged:
+            assert len(opened) == 1
         for a, b in zip(rows, rows[1:]):
             assert a.Valid_End_Date is not None and a.Valid_End_Date <= b.Valid_Start_Date
 
