@@ -20,8 +20,7 @@ def query(name: str, sql: str | None = None):
     """Register ``fn`` under ``name``; ``sql`` is its oracle (omit when no SQL form exists)."""
 
     def register(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
-            raise ValueError(f"query {name!r} registered twice")
+        # Re-registration (a module reloaded by its caller) replaces the entry.
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql.strip()
