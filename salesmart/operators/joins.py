@@ -1,10 +1,11 @@
 """Fact-to-dimension joins and key audits.
 
-All joins are equi-joins; Spark picks the strategy.  Dimensions are never
-hinted for broadcast unless their size is fixed by definition (see
-``broadcast_fixed``): everything else goes through the size-checked
-``autoBroadcastJoinThreshold`` at plan time and again in AQE on the real shuffle
-sizes, with a sort-merge join beyond it.  Skewed fact keys are split by AQE's
+All joins are equi-joins; Spark picks the strategy.  A dimension is hinted for
+broadcast only when its size is bounded: fixed by definition
+(``broadcast_fixed``) or proven by a row count (``broadcast_if_small``).
+Everything else is a sort-merge join unless AQE, on measured shuffle sizes,
+turns it into a broadcast (the session turns off broadcasts from static file
+size estimates).  Skewed fact keys are split by AQE's
 skew-join handling for inner, left-outer and anti joins.
 """
 
@@ -24,6 +25,13 @@ def broadcast_fixed(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim)
 
 
+def broadcast_if_small(dim: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Broadcast ``dim`` when a count (one job, a single number to the driver)
+    proves it has at most ``max_rows`` rows; otherwise leave the join to the
+    planner and AQE.  Keep ``dim`` to the few columns the join needs."""
+    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+
 def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join in the using-column form: the key appears once (coalesced for full joins).
 

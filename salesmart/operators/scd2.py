@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.timebins import ts_literal
+from salesmart.operators.joins import broadcast_if_small
 
 # Fixed value: the open end used by the interval test (the largest timestamp
 # with microsecond precision; a 7th fractional digit cannot be stored).
@@ -184,7 +185,9 @@ def asof_join(
     """
     cols = [F.col(spec.key).alias("__dk"), F.col(spec.start), F.col(spec.end), F.col(spec.surrogate)]
     if bucket_days is None:
-        d = dim.select(*cols)
+        # The version table is broadcast only when a count proves it small, so
+        # the planner never picks the fact side as the side to broadcast.
+        d = broadcast_if_small(dim.select(*cols))
         return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "inner").drop("__dk", spec.start, spec.end)
     d = _bucketed_versions(dim, facts, fact_ts, spec, bucket_days, cols)
     if d is None:
@@ -200,5 +203,5 @@ def asof_join(
 
 def unmatched_facts(facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec) -> DataFrame:
     """Facts that no version covers (the rows the inner join drops)."""
-    d = dim.select(F.col(spec.key).alias("__dk"), spec.start, spec.end)
+    d = broadcast_if_small(dim.select(F.col(spec.key).alias("__dk"), spec.start, spec.end))
     return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "left_anti")

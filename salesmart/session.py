@@ -27,9 +27,12 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast only below a checked size; above it the planner falls back to a
-    # sort-merge join.  AQE re-checks the same bound on real shuffle sizes.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # No broadcast from static estimates: they come from compressed file sizes
+    # (a table can be ten times larger in memory) and, without CBO, from
+    # inflated join/union estimates, which can make a fact side look smaller
+    # than its dimension.  AQE converts a join to a broadcast only when the
+    # measured shuffle output of one side is below the bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
@@ -44,7 +47,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 

@@ -61,10 +61,11 @@ def main() -> None:
     lines = [
         "# Physical plans",
         "",
-        "Generated by `tools/plan_report.py` on sf0.01 with size-based broadcast switched off (the plan a",
-        "large cluster gets when no dimension fits a broadcast). Remaining broadcasts are the explicit ones",
-        "of fixed-size relations (region, nation, inline code tables). 'Shuffles' counts hash and range",
-        "exchanges before AQE re-planning; each aggregate's partial step runs map-side before its shuffle.",
+        "Generated by `tools/plan_report.py` on sf0.01. Broadcasts from static size estimates are off (as in",
+        "the session settings); the broadcasts listed are the explicit ones of bounded relations (region,",
+        "nation, inline code tables, the count-checked SCD2 version table). AQE may still turn a sort-merge",
+        "join into a broadcast at runtime when a side's measured shuffle output is small. 'Shuffles' counts",
+        "hash and range exchanges before AQE re-planning; each aggregate's partial step runs map-side.",
         f"Queries with side effects or driver-side steps when called: {', '.join(sorted(SIDE_EFFECTS))}.",
         "",
         head,
