@@ -40,3 +40,15 @@ def test_flagship_aggregates_before_shuffling(spark, capsys):
 def test_semi_joins_for_dimension_predicates(spark, capsys):
     text = plan(QUERIES["filter_multi"](spark, SF_SMALL), capsys)
     assert "LeftSemi" in text
+
+
+def test_broadcast_only_below_a_counted_bound(spark, capsys):
+    from salesmart.operators.joins import broadcast_if_small
+
+    facts = spark.range(10_000).withColumnRenamed("id", "k")
+    dim = spark.range(100).withColumnRenamed("id", "k")
+    facts.join(broadcast_if_small(dim, max_rows=1_000), "k").explain()
+    assert "BroadcastExchange" in capsys.readouterr().out
+    facts.join(broadcast_if_small(dim, max_rows=10), "k").explain()
+    text = capsys.readouterr().out
+    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
