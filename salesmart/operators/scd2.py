@@ -173,7 +173,13 @@ def _day(value) -> int:
 
 
 def asof_join(
-    facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec, bucket_days: int | None = None
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    fact_ts: str,
+    spec: Scd2Spec,
+    bucket_days: int | None = None,
+    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Step 3: facts with the surrogate key of the version valid on their date.
 
@@ -187,7 +193,7 @@ def asof_join(
     if bucket_days is None:
         # The version table is broadcast only when a count proves it small, so
         # the planner never picks the fact side as the side to broadcast.
-        d = broadcast_if_small(dim.select(*cols))
+        d = broadcast_if_small(dim.select(*cols), max_broadcast_rows)
         return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "inner").drop("__dk", spec.start, spec.end)
     d = _bucketed_versions(dim, facts, fact_ts, spec, bucket_days, cols)
     if d is None:
