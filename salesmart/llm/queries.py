@@ -9,8 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, exact_dedup, packing, quality, secret_scan, simhash
+from salesmart.llm import bpe, exact_dedup, langid, packing, quality, secret_scan, simhash
+from salesmart.llm.chat import format_chats
 from salesmart.llm.common import importable, table
+from salesmart.llm.html_main import extract_main
+from salesmart.llm.url_filter import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +73,31 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+)
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main(table(spark, sf_dir, "pages"))
