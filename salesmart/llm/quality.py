@@ -4,8 +4,8 @@ Every line is judged on its own; failing lines are removed, and a document that
 loses too much of its text is rejected.  A line without a word is kept.  A line
 fails when it
 
-- is *unfinished*: does not end in sentence punctuation (closing quotes and
-  brackets may follow);
+- is *unpunctuated*: does not end in sentence punctuation (closing quotes and
+  brackets may follow) and has no sentence end for every ``SENTENCE`` words;
 - is *navigation*: has two or more menu separators, one per four words or more;
 - is *boilerplate*: holds a notice phrase (rights, terms, cookies, licences);
 - is *symbols*: has more of ``#*$%&|<>!`` than words.
@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+SENTENCE = 30
 ENDS = r"""[.!?…。！？]["'”’»)\]]*[\x20\x09-\x0D]*"""
+STOPS = r"""[.!?…。！？]["'”’»)\]]*[\x20\x09-\x0D]"""
 SEPARATORS = "[|»›•]"
 SYMBOLS = "[#*$%&|<>!]"
 NOTICES = (
@@ -42,6 +44,7 @@ class Limits:
 
 
 _ENDS = re.compile(f"(?:{ENDS})\\Z").search
+_STOPS = re.compile(STOPS).findall
 _SEPARATORS = re.compile(SEPARATORS).findall
 _SYMBOLS = re.compile(SYMBOLS).findall
 _NOTICES = re.compile(NOTICES, re.IGNORECASE).search
@@ -49,7 +52,9 @@ _NOTICES = re.compile(NOTICES, re.IGNORECASE).search
 
 def line_fails(line: str, n_words: int) -> bool:
     """Whether a line that has ``n_words`` > 0 words is removed."""
-    if not _ENDS(line) or _NOTICES(line) or len(_SYMBOLS(line)) > n_words:
+    if not _ENDS(line) and SENTENCE * len(_STOPS(line)) < n_words:
+        return True
+    if _NOTICES(line) or len(_SYMBOLS(line)) > n_words:
         return True
     separators = len(_SEPARATORS(line))
     return separators >= 2 and 4 * separators >= n_words
