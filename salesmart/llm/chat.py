@@ -36,7 +36,7 @@ ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "model": "as
 @dataclass(frozen=True)
 class Costs:
     merge: int = 2
-    relabel: int = 5
+    relabel: int = 7
     unknown: int = 1  # giving a role to a turn that has none or an unknown one
     insert: int = 3
 

@@ -230,13 +230,15 @@ class Tagger:
         return self._scores[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
 
     def mean_labels(self, texts: list[str]) -> list[np.ndarray | None]:
-        """The mean label distribution of each text; None where there is no word."""
+        """The mean label distribution of each text; None where there is no word or nothing was learned."""
         out: list[np.ndarray | None] = [None] * len(texts)
+        if not self.crf.languages:
+            return out
         scored = [(i, self._lookup(words)) for i, t in enumerate(texts) if (words := WORDS(t))]
         scored.sort(key=lambda x: len(x[1]))
         at = 0
         while at < len(scored):  # texts of similar length go together, within a bounded number of cells
-            upto, cells = at, 0
+            upto = at
             while upto < len(scored) and (upto == at or len(scored[upto][1]) * (upto - at + 1) <= CELLS):
                 upto += 1
             part = scored[at:upto]
@@ -269,7 +271,7 @@ def predict_udf(spark, crf: Crf):
         labels, scores = [], []
         for at in range(0, len(texts), 256):
             for mean in tagger.mean_labels([t.as_py() or "" for t in texts[at : at + 256]]):
-                if mean is None or not len(mean):
+                if mean is None:
                     labels.append(UNKNOWN)
                     scores.append(0.0)
                 else:
