@@ -1,10 +1,12 @@
 """Money measures as column expressions.
 
 Amounts are computed in exact decimal arithmetic: inputs are cast to
-``decimal(18,2)`` (rates to ``decimal(5,2)``) *before* multiplying, and the
-result is cast back to ``decimal(18,2)`` (half-up).  Sums of such columns are
-exact and independent of the order in which partial sums meet, so a total is
-the same on one core and on a thousand executors.
+``decimal(18,2)`` (rates to ``decimal(5,2)``) *before* multiplying.  Only the
+net line amount is rounded to cents per line (half-up), as its definition says;
+COGS, Discount and GrossMargin keep the full scale of their products, and a
+total is rounded once, at the end.  Sums are exact and independent of the order
+in which partial sums meet, so a total is the same on one core and on a
+thousand executors.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 RATE = "decimal(5,2)"
 TOTAL = "decimal(38,2)"
+EXACT = "decimal(28,4)"  # a product of money with a quantity or a fraction rate, unrounded
+EXACT_TOTAL = "decimal(38,4)"  # sums of unrounded products
+EXACT_PERCENT = "decimal(30,6)"  # the same with a percent rate
 
 
 def _c(c) -> Column:
@@ -38,8 +43,8 @@ def net_factor(rate, rate_unit: str = "fraction") -> Column:
 
 
 def gross(qty, price) -> Column:
-    """Qty * Price as money."""
-    return (money(qty) * money(price)).cast(MONEY)
+    """Qty * Price, unrounded."""
+    return (money(qty) * money(price)).cast(EXACT)
 
 
 def line_amount(amount=None, discount=None, qty=None, price=None, rate_unit: str = "fraction") -> Column:
@@ -52,17 +57,17 @@ def line_amount(amount=None, discount=None, qty=None, price=None, rate_unit: str
 
 
 def discount_amount(amount, rate, rate_unit: str = "fraction") -> Column:
-    """Discount = Gross * rate (fraction) or Gross * pct / 100 (percent)."""
+    """Discount = Gross * rate (fraction) or Gross * pct / 100 (percent), unrounded."""
     r = _c(rate).cast(RATE)
     if rate_unit == "percent":
-        r = r * F.lit(0.01).cast("decimal(3,2)")
-    elif rate_unit != "fraction":
+        return (money(amount) * r * F.lit(0.01).cast("decimal(3,2)")).cast(EXACT_PERCENT)
+    if rate_unit != "fraction":
         raise ValueError(f"rate_unit must be 'fraction' or 'percent', not {rate_unit!r}")
-    return (money(amount) * r).cast(MONEY)
+    return (money(amount) * r).cast(EXACT)
 
 
 def with_sales_measures(df, qty, cost, amount, rate, rate_unit: str = "fraction"):
-    """Add Gross, COGS, Discount and GrossMargin (money) to a sales frame.
+    """Add Gross (money), COGS, Discount and GrossMargin (unrounded) to a sales frame.
 
     Gross = the sold amount (Qty*Price), COGS = Qty*Cost,
     Discount = Gross*rate, GrossMargin = Gross - COGS.
@@ -73,7 +78,7 @@ def with_sales_measures(df, qty, cost, amount, rate, rate_unit: str = "fraction"
             "COGS": gross(qty, cost),
             "Discount": discount_amount(amount, rate, rate_unit),
         }
-    ).withColumn("GrossMargin", (F.col("Gross") - F.col("COGS")).cast(MONEY))
+    ).withColumn("GrossMargin", (F.col("Gross") - F.col("COGS")).cast(EXACT))
 
 
 def total(c) -> Column:

@@ -6,7 +6,7 @@
 * ``date_of_iso``: the calendar date written at the start of an ISO timestamp.
 * ``url_from_template`` / ``load_stamp``: string templates and run stamps.
 * ``clean_value`` / ``clean_header``: remove the defects seen in landed CSV
-  files (footnote tails such as ``[e]``, a mis-decoded en dash, stray blanks).
+  files (footnotes such as ``[e]`` at the end, a mis-decoded en dash, stray blanks).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 DURATION_PARTS = ((r"(\d+)H", 3600), (r"(\d+)M", 60), (r"(\d+)S", 1))
 
 # Defect patterns of the landed files.
-FOOTNOTE_TAIL = r"\[[a-z]{1,2}\]"
+FOOTNOTE_TAIL = r"(\[[a-z]{1,2}\][ \t\r\n]*)+\z"  # only at the end of a value
 MISDECODED_EN_DASH = "â€“"  # UTF-8 bytes of an en dash read as cp1252
 EN_DASH = "–"
 BLANKS = r"[ \t\r\n]+"
@@ -33,20 +33,22 @@ def _c(c) -> Column:
 
 
 def _part(text: Column, pattern: str) -> Column:
-    # A plain cast guarded by the digit count (up to 9 digits always fits an
-    # int): no cast failure is ever raised and caught per row, which is what
-    # makes ``try_cast`` of non-numbers slow.  Longer digit runs give NULL.
-    digits = F.regexp_extract(text, pattern, 1)
+    # Leading zeros are dropped and up to 18 digits always fit a bigint, so no
+    # cast failure is raised and caught per row; longer runs are beyond the int
+    # range of the total anyway and give NULL.
+    digits = F.regexp_replace(F.regexp_extract(text, pattern, 1), "^0+", "")
     n = F.length(digits)
-    return F.when(n == 0, F.lit(0)).when(n <= 9, digits.cast("int")).cast("bigint")
+    return F.when(n == 0, F.lit(0).cast("bigint")).when(n <= 18, digits.cast("bigint"))
 
 
 def iso_duration_seconds(c) -> Column:
     """``PT#H#M#S`` to whole seconds (days ignored; NULL / '' give 0; a total
     beyond the int range gives NULL)."""
     text = F.coalesce(_c(c), F.lit(""))
-    seconds = sum((_part(text, pattern) * unit for pattern, unit in DURATION_PARTS), F.lit(0).cast("bigint"))
-    return seconds.try_cast("int")
+    total = F.lit(0).cast("decimal(30,0)")
+    for pattern, unit in DURATION_PARTS:
+        total = total + _part(text, pattern).cast("decimal(20,0)") * F.lit(unit)
+    return total.try_cast("int")
 
 
 def date_of_iso(c) -> Column:

@@ -1,51 +1,45 @@
 """Split a key list into comma-joined batches of bounded size.
 
-Distinct keys are spread over hash buckets; inside a bucket they are numbered
-in key order and cut into runs of ``size``.  Every key lands in exactly one
-batch, no batch holds more than ``size`` keys (the ``collect_list`` of a batch
-is bounded by ``size``), and only the last batch of a bucket can be short.
-
-The bucket count follows the data: an approximate distinct count (one small
-HyperLogLog aggregate, a single number back to the driver) sets it so that a
-bucket holds about ``keys_per_bucket`` keys.  A bucket is numbered by one task,
-so this bounds the work of every task while the number of tasks grows with the
-key count.  With fewer keys than that there is one bucket and the batches are
-simply consecutive runs of ``size`` keys in key order.
+The distinct keys are range-partitioned in key order and numbered from 0: each
+partition numbers its own keys and adds the number of keys in the partitions
+before it.  A batch is a run of ``size`` consecutive numbers, so the batches are
+the same for any number of partitions, only the last batch can be short, and
+no task handles more than one range of keys.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-KEYS_PER_BUCKET = 1_000_000
-
-
-def bucket_count(df: DataFrame, key: str, keys_per_bucket: int = KEYS_PER_BUCKET) -> int:
-    est = df.select(F.approx_count_distinct(key).alias("n")).first()["n"] or 0
-    return max(1, math.ceil(est / keys_per_bucket))
-
-
-def key_batches(
-    df: DataFrame,
-    key: str,
-    size: int = 50,
-    buckets: int | None = None,
-    keys_per_bucket: int = KEYS_PER_BUCKET,
-) -> DataFrame:
-    """Rows ``(bucket, batch, n_keys, keys)`` with ``keys`` the comma-joined batch."""
-    if buckets is None:
-        buckets = bucket_count(df, key, keys_per_bucket)
-    b: Column = F.pmod(F.xxhash64(F.col("k")), F.lit(buckets)) if buckets > 1 else F.lit(0)
-    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct().withColumn("bucket", b)
-    ranked = keys.withColumn(
-        "batch", F.floor((F.row_number().over(Window.partitionBy("bucket").orderBy("k")) - 1) / size).cast("int")
-    )
-    grouped = ranked.groupBy("bucket", "batch").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+from salesmart.session import own_path
+
+
+def numbered_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``(k, n)``: the distinct non-null keys with their position in key order.
+
+    The ranges are landed first: they come from a sample, and a second
+    evaluation could draw other bounds.
+    """
+    spark = df.sparkSession
+    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).distinct()
+    path = own_path(spark, "key_ranges")
+    keys.repartitionByRange(width, "k").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    # One row per range: the window over them holds as many rows as partitions.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("m"))
+    starts = sizes.select("part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy("k")) - 1
+    return ranged.withColumn("own", own).join(starts, "part").select("k", (F.col("start") + F.col("own")).alias("n"))
+
+
+def key_batches(df: DataFrame, key: str, size: int = 50, partitions: int | None = None) -> DataFrame:
+    """Rows ``(batch, n_keys, keys)`` with ``keys`` the comma-joined batch in key order."""
+    numbered = numbered_keys(df, key, partitions).withColumn("batch", F.floor(F.col("n") / size).cast("bigint"))
+    grouped = numbered.groupBy("batch").agg(F.sort_array(F.collect_list("k")).alias("ks"))  # ``size`` keys at most
     return grouped.select(
-        F.col("bucket").cast("int").alias("bucket"),
         "batch",
         F.size("ks").cast("int").alias("n_keys"),
         F.array_join(F.transform("ks", lambda x: x.cast("string")), ",").alias("keys"),

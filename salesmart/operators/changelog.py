@@ -1,26 +1,29 @@
-"""Versioned tables as an append-only change log.
+"""Versioned tables as an append-only log of row changes.
 
-Every write adds log rows ``(data columns..., _version, _ts, _op, _operation)``
+A log is a frame of rows ``(data columns..., _version, _ts, _op, _operation)``
 with ``_op`` in I (insert), U (update, the new values) and D (delete, the last
-values), plus one commit marker row (``_op`` C, data NULL) so that a commit
-that changes no row still appears in the history.  A table at version ``n`` is the latest log row per key with
-``_version <= n``, dropping keys whose latest row is a delete.  On storage the
-log is partitioned by ``_version`` so an as-of read prunes whole partitions.
+values); how and where it is stored is the caller's matter.  A table at version
+``n`` is the latest log row per key with ``_version <= n``, dropping keys whose
+latest row is a delete.  A log partitioned by ``_version`` on storage lets an
+as-of read prune whole partitions.
+
+``Versions`` names the versions of a log and their times, which must grow; a
+version or time outside them is an error, and a time is resolved to its version
+before anything is read.
 
 The latest-row-per-key step is ``row_number() OVER (PARTITION BY key ORDER BY
 _version DESC) = 1``.  Spark plans it with a partial ``WindowGroupLimit``
 before the shuffle (top-1 per key inside every map task) and a final one
 after it, so a key with very many versions is reduced before it moves and is
-never gathered in one place.
-
-Version timestamps must grow with the version number (each commit stamps its
-own time), so "as of time t" is the same as "the latest rows with
-``_ts <= t``" and needs no separate lookup of the version.
+never gathered in one place.  ``diff`` and ``restore_rows`` look only at keys
+that changed between the two versions.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_right
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,49 @@ from salesmart.functions.timebins import ts_literal
 META = ("_version", "_ts", "_op", "_operation")
 
 
+@dataclass(frozen=True)
+class Versions:
+    """Versions 0, 1, .. of a log by their times."""
+
+    times: tuple[dt.datetime, ...]
+
+    def __post_init__(self):
+        if any(b <= a for a, b in zip(self.times, self.times[1:])):
+            raise ValueError("version times must grow")
+
+    @property
+    def next(self) -> int:
+        return len(self.times)
+
+    def then(self, ts: dt.datetime) -> "Versions":
+        """With one more version; its time must be after the last one's."""
+        return Versions((*self.times, ts))
+
+    def number(self, version: int | None = None, ts: dt.datetime | None = None) -> int:
+        """The version asked for: by number, the last one at a time, or the latest."""
+        if version is not None and ts is not None:
+            raise ValueError("give a version or a time, not both")
+        if ts is not None:
+            version = bisect_right(self.times, ts) - 1
+            if version < 0:
+                raise ValueError(f"no version at {ts}: the first is of {self.times[0] if self.times else None}")
+        elif version is None:
+            version = self.next - 1
+        if not 0 <= version < self.next:
+            raise ValueError(f"no version {version}: the log has {self.next}")
+        return version
+
+
+def versions_of(log: DataFrame) -> Versions:
+    """The versions of a stored log (one small aggregate, one row per version to the driver)."""
+    rows = log.groupBy("_version").agg(F.min("_ts").alias("first"), F.max("_ts").alias("last")).orderBy("_version").collect()
+    if [r["_version"] for r in rows] != list(range(len(rows))):
+        raise ValueError("versions must be numbered from 0 without a gap")
+    if any(r["first"] != r["last"] for r in rows):
+        raise ValueError("a version has rows of several times")
+    return Versions(tuple(r["first"] for r in rows))
+
+
 def _cond(condition: str | Column) -> Column:
     c = F.expr(condition) if isinstance(condition, str) else condition
     return F.coalesce(c, F.lit(False))  # a NULL condition leaves the row alone
@@ -57,15 +103,7 @@ def stamp(df: DataFrame, version: int, ts: dt.datetime, op: str | Column, operat
 
 def initial_log(df: DataFrame, ts: dt.datetime, version: int = 0) -> DataFrame:
     """Version 0: every row inserted (``saveAsTable``)."""
-    return stamp(df, version, ts, "I", "WRITE").unionByName(commit_marker(df, version, ts, "WRITE"))
-
-
-def commit_marker(like: DataFrame, version: int, ts: dt.datetime, operation: str) -> DataFrame:
-    """The one marker row of a commit (data columns NULL)."""
-    data = [c for c in like.columns if c not in META]
-    types = dict(like.dtypes)
-    row = like.sparkSession.range(1).select(*[F.lit(None).cast(types[c]).alias(c) for c in data])
-    return stamp(row, version, ts, "C", operation)
+    return stamp(df, version, ts, "I", "WRITE")
 
 
 # -- plain state transforms ------------------------------------------------
@@ -114,77 +152,71 @@ def delete_log(state, condition, version: int, ts: dt.datetime) -> DataFrame:
     return stamp(state.filter(_cond(condition)), version, ts, "D", "DELETE")
 
 
-def as_of(log: DataFrame, key: list[str], version: int | None = None, ts: dt.datetime | None = None) -> DataFrame:
+def as_of(
+    log: DataFrame, key: list[str], versions: Versions, version: int | None = None, ts: dt.datetime | None = None
+) -> DataFrame:
     """The table as of a version number or a time (latest when both are None)."""
-    sel = log.filter(F.col("_op") != "C")
-    if version is not None:
-        sel = sel.filter(F.col("_version") <= version)
-    if ts is not None:
-        sel = sel.filter(F.col("_ts") <= ts_literal(ts))
+    sel = log.filter(F.col("_version") <= versions.number(version, ts))
     newest = Window.partitionBy(*key).orderBy(F.col("_version").desc())
     latest = sel.withColumn("__rn", F.row_number().over(newest))
     return latest.filter((F.col("__rn") == 1) & (F.col("_op") != "D")).select(*data_columns(log))
 
 
-def _same(a: str, b: str, cols: list[str]) -> Column:
+def _two_states(log: DataFrame, key: list[str], v_from: int, v_to: int) -> DataFrame:
+    """Keys with log rows between two versions, with their rows at both as structs
+    ``a`` and ``b`` (null where the key is absent): one aggregate over these keys' log rows."""
+    lo, hi = min(v_from, v_to), max(v_from, v_to)
+    data = data_columns(log)
+    version = F.col("_version")
+    changed = log.filter((version > lo) & (version <= hi)).select(*key).distinct()
+    rows = log.filter(version <= hi).join(changed, key, "left_semi")
+    row = F.struct(F.col("_op").alias("op"), *[F.col(c).alias(c) for c in data])
+
+    def state(v: int) -> Column:
+        last = F.max_by(F.when(version <= v, row), F.when(version <= v, version))
+        return F.when(last["op"] != "D", last)
+
+    return rows.groupBy(*key).agg(state(v_from).alias("a"), state(v_to).alias("b"))
+
+
+def _changed(states: DataFrame, data: list[str], key: list[str], names: tuple[str, str, str]) -> tuple[Column, list[Column]]:
+    """What happened to each key (added, removed, changed or null) and the columns that show it."""
+    a, b = F.col("a"), F.col("b")
     same = F.lit(True)
-    for c in cols:
-        same = same & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return same
+    for c in data:
+        same = same & a[c].eqNullSafe(b[c])
+    what = (
+        F.when(a.isNull() & b.isNotNull(), names[0]).when(b.isNull() & a.isNotNull(), names[1]).when(a.isNotNull() & ~same, names[2])
+    )
+    return what, [(F.col(c) if c in key else F.when(b.isNull(), a[c]).otherwise(b[c])).alias(c) for c in data]
 
 
-def diff(log: DataFrame, key: list[str], v_from: int, v_to: int) -> DataFrame:
+def diff(log: DataFrame, key: list[str], versions: Versions, v_from: int, v_to: int) -> DataFrame:
     """Rows that differ between two versions: ``added``, ``removed``, ``changed``.
 
     Values are those of ``v_to`` (of ``v_from`` for removed rows).
     """
     data = data_columns(log)
-    rest = [c for c in data if c not in key]
-    a = as_of(log, key, v_from).withColumn("__in", F.lit(True)).alias("a")
-    b = as_of(log, key, v_to).withColumn("__in", F.lit(True)).alias("b")
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]
-    joined = a.join(b, on, "full")
-    change = (
-        F.when(F.col("a.__in").isNull(), F.lit("added"))
-        .when(F.col("b.__in").isNull(), F.lit("removed"))
-        .when(~_same("a", "b", rest), F.lit("changed"))
-    )
-    side = F.col("b.__in").isNull()
-    out = [F.coalesce(F.col(f"b.{k}"), F.col(f"a.{k}")).alias(k) for k in key]
-    out += [F.when(side, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in rest]
-    return joined.select(*out, change.alias("change_type")).filter(F.col("change_type").isNotNull())
+    states = _two_states(log, key, versions.number(v_from), versions.number(v_to))
+    what, columns = _changed(states, data, key, ("added", "removed", "changed"))
+    return states.select(*columns, what.alias("change_type")).filter(F.col("change_type").isNotNull())
 
 
-def restore_log(log: DataFrame, key: list[str], target_version: int, version: int, ts: dt.datetime) -> DataFrame:
-    """Compensating rows that make version ``version`` equal version ``target_version``.
+def restore_rows(log: DataFrame, key: list[str], versions: Versions, target: int, ts: dt.datetime) -> DataFrame:
+    """Log rows of a new version, of time ``ts``, that equals version ``target``.
 
-    History is kept: restore is a new version, as a versioned table does.
+    History is kept: a restore is a new version, as a versioned table does.
     """
-    return restore_rows(as_of(log, key), as_of(log, key, target_version), key, version, ts)
-
-
-def restore_rows(current: DataFrame, target: DataFrame, key: list[str], version: int, ts: dt.datetime) -> DataFrame:
-    """Log rows that turn the ``current`` state into the ``target`` state."""
-    data = [c for c in current.columns if c not in META]
-    rest = [c for c in data if c not in key]
-    cur = current.withColumn("__in", F.lit(True)).alias("c")
-    tgt = target.withColumn("__in", F.lit(True)).alias("t")
-    on = [F.col(f"c.{k}") == F.col(f"t.{k}") for k in key]
-    joined = cur.join(tgt, on, "full")
-    op = (
-        F.when(F.col("c.__in").isNull(), F.lit("I"))
-        .when(F.col("t.__in").isNull(), F.lit("D"))
-        .when(~_same("c", "t", rest), F.lit("U"))
-    )
-    gone = F.col("t.__in").isNull()
-    cols = [F.coalesce(F.col(f"t.{k}"), F.col(f"c.{k}")).alias(k) for k in key]
-    cols += [F.when(gone, F.col(f"c.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in rest]
-    rows = joined.select(*cols, op.alias("__op")).filter(F.col("__op").isNotNull())
-    return stamp(rows, version, ts, F.col("__op"), "RESTORE").select(*data, *META)
+    new = versions.then(ts)
+    data = data_columns(log)
+    states = _two_states(log, key, versions.next - 1, versions.number(target))
+    what, columns = _changed(states, data, key, ("I", "D", "U"))
+    rows = states.select(*columns, what.alias("__op")).filter(F.col("__op").isNotNull())
+    return stamp(rows, new.next - 1, ts, F.col("__op"), "RESTORE").select(*data, *META)
 
 
-def history(log: DataFrame) -> DataFrame:
-    """``DESCRIBE HISTORY``: one row per version with its operation and row counts."""
+def change_counts(log: DataFrame) -> DataFrame:
+    """One row per version that changed rows: its operation, time and row counts."""
     return (
         log.groupBy(F.col("_version").alias("version"), F.col("_operation").alias("operation"))
         .agg(
@@ -196,111 +228,3 @@ def history(log: DataFrame) -> DataFrame:
         .select("version", "timestamp", "operation", "num_inserted", "num_updated", "num_deleted")
         .orderBy("version")
     )
-
-
-def latest_version(log: DataFrame) -> int:
-    """Highest committed version (a single number), -1 for an empty log."""
-    v = log.agg(F.max("_version")).first()[0]
-    return -1 if v is None else int(v)
-
-
-class ChangeLog:
-    """A versioned table: the log plus the key and the next version number.
-
-    Each operation returns a new ``ChangeLog`` whose log has the new version's
-    rows appended; nothing is mutated and earlier versions are never rewritten.
-
-    With ``path`` set, the log lives in a Parquet table partitioned by
-    ``_version`` (in the shared folder): ``create`` overwrites it with version
-    0 and every commit appends only its own version's files, as a table format
-    writes each commit.  The next commit then reads the stored log instead of
-    recomputing the chain, and lineage stays one step long.
-
-    Without ``path`` the table also carries each version's state as a lazy
-    transform of the previous one (an update is a projection, a delete a
-    filter, a restore the target's state), so a commit's log rows come from
-    that state instead of from a latest-row-per-key pass over the whole log.
-    Reads (``as_of``, ``history``, ``diff``) always go through the log.
-    """
-
-    def __init__(
-        self,
-        log: DataFrame,
-        key: list[str],
-        next_version: int | None = None,
-        path: str | None = None,
-        states: list[DataFrame] | None = None,
-    ):
-        self.log = log
-        self.key = list(key)
-        self.path = path
-        self.states = states
-        self.next_version = latest_version(log) + 1 if next_version is None else next_version
-
-    @classmethod
-    def create(
-        cls, df: DataFrame, key: list[str], ts: dt.datetime, path: str | None = None, check_key: bool = True
-    ) -> "ChangeLog":
-        """Version 0 of ``df``; the key is audited first (unique, no NULL part),
-        since as-of reads, restore and diff pick one row per key."""
-        if check_key:
-            from salesmart.operators.audit import assert_unique
-
-            assert_unique(df, key)
-        log = initial_log(df, ts)
-        if path:
-            log.write.mode("overwrite").partitionBy("_version").parquet(path)
-            log = df.sparkSession.read.parquet(path).select(*log.columns)
-            return cls(log, key, 1, path)
-        return cls(log, key, 1, None, [df])
-
-    @classmethod
-    def open(cls, spark, key: list[str], path: str) -> "ChangeLog":
-        """A stored log; the next version number comes from the stored versions."""
-        return cls(spark.read.parquet(path), key, None, path)
-
-    def _append(self, rows: DataFrame, ts: dt.datetime, operation: str, state: DataFrame) -> "ChangeLog":
-        marker = commit_marker(self.log, self.next_version, ts, operation)
-        new = rows.unionByName(marker)
-        if self.path:
-            new.write.mode("append").partitionBy("_version").parquet(self.path)
-            log = self.log.sparkSession.read.parquet(self.path).select(*self.log.columns)
-            return ChangeLog(log, self.key, self.next_version + 1, self.path)
-        states = None if self.states is None else self.states + [state]
-        return ChangeLog(self.log.unionByName(new), self.key, self.next_version + 1, None, states)
-
-    def state(self, version: int | None = None) -> DataFrame:
-        """The table at a version (the latest when None)."""
-        if self.states is not None:
-            return self.states[-1 if version is None else version]
-        return as_of(self.log, self.key, version)
-
-    def current(self) -> DataFrame:
-        return self.state()
-
-    def as_of(self, version: int | None = None, ts: dt.datetime | None = None) -> DataFrame:
-        return as_of(self.log, self.key, version, ts)
-
-    def update(self, condition, assignments, ts: dt.datetime) -> "ChangeLog":
-        cur = self.current()
-        rows = update_log(cur, condition, assignments, self.next_version, ts)
-        return self._append(rows, ts, "UPDATE", update_rows(cur, condition, assignments))
-
-    def delete(self, condition, ts: dt.datetime) -> "ChangeLog":
-        cur = self.current()
-        return self._append(delete_log(cur, condition, self.next_version, ts), ts, "DELETE", delete_rows(cur, condition))
-
-    def restore(self, target_version: int, ts: dt.datetime) -> "ChangeLog":
-        target = self.state(target_version)
-        rows = restore_rows(self.current(), target, self.key, self.next_version, ts)
-        return self._append(rows, ts, "RESTORE", target)
-
-    def history(self) -> DataFrame:
-        return history(self.log)
-
-    def diff(self, v_from: int, v_to: int) -> DataFrame:
-        return diff(self.log, self.key, v_from, v_to)
-
-    def rows_of(self, version: int) -> DataFrame:
-        """The row changes written by one version (without its commit marker)."""
-        return self.log.filter((F.col("_version") == version) & (F.col("_op") != "C"))

@@ -1,11 +1,9 @@
 """Fact-to-dimension joins and key audits.
 
-All joins are equi-joins; Spark picks the strategy.  A dimension is hinted for
-broadcast only when its size is bounded: fixed by definition
-(``broadcast_fixed``) or proven by a row count (``broadcast_if_small``).
-Everything else is a sort-merge join unless AQE, on measured shuffle sizes,
-turns it into a broadcast (the session turns off broadcasts from static file
-size estimates).  Skewed fact keys are split by AQE's
+All joins are equi-joins; Spark picks the strategy and nothing is hinted: a join
+is a sort-merge join unless AQE, on measured shuffle sizes, turns it into a
+broadcast (the session turns off broadcasts from static file size estimates).
+Skewed fact keys are split by AQE's
 skew-join handling for inner, left-outer and anti joins.
 """
 
@@ -19,19 +17,6 @@ from pyspark.sql import functions as F
 JOIN_TYPES = ("inner", "left", "right", "full", "left_anti", "left_semi")
 
 
-def broadcast_fixed(dim: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose row count is fixed by the schema (such as a
-    region or nation list), so its size cannot grow with the facts."""
-    return F.broadcast(dim)
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Broadcast ``dim`` when a count (one job, a single number to the driver)
-    proves it has at most ``max_rows`` rows; otherwise leave the join to the
-    planner and AQE.  Keep ``dim`` to the few columns the join needs."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
-
-
 def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join in the using-column form: the key appears once (coalesced for full joins).
 
@@ -43,28 +28,15 @@ def join_on(facts: DataFrame, dims: DataFrame, key: str, how: str = "inner") ->
     """
     if how not in JOIN_TYPES + ("anti", "leftanti", "semi", "outer", "left_outer", "right_outer"):
         raise ValueError(f"unknown join type {how!r}")
+    if how not in ("full", "outer", "right", "right_outer"):
+        return facts.join(dims, on=key, how=how)
+    # Columns that both sides have travel under another name through the union.
     shared = (set(facts.columns) & set(dims.columns)) - {key}
-    if how in ("full", "outer") and not shared:
-        return full_join_on(facts, dims, key)
-    if how in ("right", "right_outer") and not shared:
-        return right_join_on(facts, dims, key)
-    # Sides sharing a non-key column name keep Spark's own join (duplicate
-    # names cannot be matched by name in a union).
-    return facts.join(dims, on=key, how=how)
-
-
-def full_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
-    """Full outer join (using form) as a left join plus unmatched dimension rows."""
-    matched = facts.join(dims, on=key, how="left")
-    dims_only = dims.join(facts.select(key).distinct(), on=key, how="left_anti")
-    return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
-
-
-def right_join_on(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
-    """Right outer join (using form) as an inner join plus unmatched dimension rows."""
-    matched = facts.join(dims, on=key, how="inner")
-    dims_only = dims.join(facts.select(key).distinct(), on=key, how="left_anti")
-    return matched.unionByName(dims_only, allowMissingColumns=True).select(*matched.columns)
+    inner = dims.select(*[F.col(c).alias(f"__dim_{c}") if c in shared else F.col(c) for c in dims.columns])
+    matched = facts.join(inner, on=key, how="left" if how in ("full", "outer") else "inner")
+    dims_only = inner.join(facts.select(key).distinct(), on=key, how="left_anti")
+    whole = matched.unionByName(dims_only, allowMissingColumns=True)
+    return whole.select(*[F.col(c).alias(c.removeprefix("__dim_")) for c in matched.columns])
 
 
 @dataclass(frozen=True)

@@ -1,23 +1,21 @@
-"""Column profiles: ``describe`` and ``summary`` in long form.
+"""Column profiles: ``describe`` and ``summary`` of whole, mixed tables.
 
 ``describe_long`` computes count, mean, sample standard deviation, min and max
 of every column in **one** aggregate pass (partial aggregates per task, one
-tiny merge) and unpivots the single result row to one row per column.
+tiny merge) and unpivots the single result row to one row per column.  Numbers
+have mean, stddev, min and max as doubles; every type but the floating ones also
+has its exact smallest and largest value as text.
 
 ``exact_quantiles`` gives exact discrete percentiles (the SQL ``PERCENTILE_DISC``
-rank ``ceil(p * n)``) without holding a column's values in one task:
-
-1. one pass counts the non-null values and finds min and max per column;
-2. while a target's value window still holds more than ``max_window`` values,
-   one pass splits every open window into ``buckets`` equal-width buckets and
-   counts them (a grouped aggregate: ``buckets`` rows per window reach the
-   driver); the bucket holding the target rank becomes the next window (its
-   actual min and max), and a bucket with min == max is the answer;
-3. the remaining windows (at most ``max_window`` values each) send their
-   ``(value, count)`` pairs to the driver, which picks the target rank.
-
-Only counts, bounds and those bounded windows travel to the driver.  A value repeated in a third of
-all rows costs nothing extra: its bucket collapses to min == max at once.
+rank ``ceil(p * n)``) in the column's own type without holding a column's values
+in one task.  For each column, a target's value window starts as the whole range
+and is narrowed by grouped histograms: one scan of that column, limited to the
+open windows, counts equal-width buckets (at most ``buckets`` rows per window
+reach the driver), and the bucket with the target rank, cut to the values found
+in it, is the next window.  The smallest and the largest value of a window fall
+in different buckets, so each round narrows every window, until it holds one
+value: the answer.  Infinities and NaN, which no width divides, are counted
+apart and ranked as Spark sorts them (NaN largest).
 ``summary_long(..., exact=False)`` uses ``percentile_approx`` (bounded sketch,
 Spark's own ``summary`` behaviour) instead.
 """
@@ -27,48 +25,39 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-STAT_DIGITS = 6  # mean and stddev are reported rounded to this many decimals
-
-
-def unpivot_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(column_name, v)`` for every non-null value of ``cols`` (narrow, no shuffle)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])
-    return df.select(F.inline(pairs)).where(F.col("v").isNotNull())
-
-
-def describe_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column: count, mean, stddev, min, max (one pass).
-
-    Columns are read as doubles, so give numeric columns; text reads as NULL.
-    """
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{c}__n"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__sd"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"{c}__n").alias("count"),
-                F.round(F.col(f"{c}__mean"), STAT_DIGITS).alias("mean"),
-                F.round(F.col(f"{c}__sd"), STAT_DIGITS).alias("stddev"),
-                F.col(f"{c}__min").alias("min"),
-                F.col(f"{c}__max").alias("max"),
-            )
-            for c in cols
-        ]
-    )
-    return wide.select(F.inline(rows))
+from pyspark.sql import types as T
+
+_FLOATS = (T.FloatType, T.DoubleType)
+
+
+def is_numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.NumericType)
+
+
+def describe_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row per column (all of ``df`` by default), one pass: column_name,
+    count, mean, stddev, min, max (numbers only), min_text, max_text (all types
+    but floating numbers: exact, binary order for text)."""
+    cols = df.columns if cols is None else cols
+    aggs, rows = [], []
+    for i, c in enumerate(cols):
+        x, number = F.col(c), is_numeric(df, c)
+        text = not isinstance(df.schema[c].dataType, _FLOATS)
+        d = x.cast("double") if number else F.lit(None).cast("double")
+        parts = {
+            "count": F.count(x),
+            "mean": F.avg(d),
+            "stddev": F.stddev_samp(d),
+            "min": F.min(d),
+            "max": F.max(d),
+            "min_text": F.min(x).cast("string") if text else F.first(F.lit(None).cast("string")),
+            "max_text": F.max(x).cast("string") if text else F.first(F.lit(None).cast("string")),
+        }
+        aggs += [a.alias(f"c{i}_{n}") for n, a in parts.items()]
+        rows.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"c{i}_{n}").alias(n) for n in parts]))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def disc_rank(n: int, p: float) -> int:
@@ -76,166 +65,123 @@ def disc_rank(n: int, p: float) -> int:
     return max(1, math.ceil(Fraction(str(p)) * n))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    cols: list[str],
-    probs: list[float],
-    buckets: int = 4096,
-    max_window: int = 20_000,
-    max_rounds: int = 64,
-    stats: dict[str, tuple[int, float | None, float | None]] | None = None,
-) -> DataFrame:
-    """``(column_name, p, value)``: exact discrete percentiles, distributed.
-
-    ``stats`` (column -> non-null count, min, max) can be passed when already
-    known (from ``describe``) to save the first pass.
-
-    Targets (column, p) whose value windows coincide share one histogram, so
-    the first round costs one grouped pass for all percentiles of a column.
-    Windows of one column are nested buckets of earlier windows, hence equal or
-    disjoint, and every value falls in at most one of them.
-    """
-    spark = df.sparkSession
-    long = unpivot_values(df, cols)
-    if stats is None:
-        agg = long.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
-        stats = {r["column_name"]: (r["n"], r["lo"], r["hi"]) for r in agg.collect()}
-    answers: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
-    # open targets: (column, p) -> [lo, hi, base (values below lo), m (values in window), rank]
-    targets: dict[tuple[str, float], list] = {}
-    for c, (n, lo, hi) in stats.items():
-        if not n:
-            continue
-        for p in probs:
-            if lo == hi:
-                answers[(c, p)] = lo
-            else:
-                targets[(c, p)] = [lo, hi, 0, n, disc_rank(n, p)]
-
-    schema = "w_id int, w_col string, w_lo double, w_hi double"
-
-    def windows_of(keys):
-        ids: dict[tuple[str, float, float], int] = {}
-        for c, p in keys:
-            lo, hi = targets[(c, p)][:2]
-            ids.setdefault((c, lo, hi), len(ids))
-        return ids
-
-    def select_windows(ids):
-        # One row per distinct open window: a tiny, bounded table (columns x percentiles).
-        w = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in ids.items()], schema)
-        return long.join(F.broadcast(w), F.col("column_name") == F.col("w_col")).where(
-            F.col("v").between(F.col("w_lo"), F.col("w_hi"))
-        )
-
-    for _ in range(max_rounds):
-        wide = [k for k, t in targets.items() if t[3] > max_window]
-        if not wide:
-            break
-        ids = windows_of(wide)
-        width = F.col("w_hi") - F.col("w_lo")
-        bucket = F.least(F.floor((F.col("v") - F.col("w_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
-        hist = (
-            select_windows(ids)
-            .groupBy("w_id", bucket.alias("b"))
-            .agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .collect()
-        )
-        by_window: dict[int, list] = {}
-        for h in hist:
-            by_window.setdefault(h["w_id"], []).append(h)
-        for key in wide:
-            lo, hi, base, m, rank = targets[key]
-            seen = base
-            for h in sorted(by_window.get(ids[(key[0], lo, hi)], []), key=lambda r: r["b"]):
-                if seen + h["m"] >= rank:
-                    if h["lo"] == h["hi"]:
-                        answers[key] = h["lo"]
-                        del targets[key]
-                    else:
-                        targets[key] = [h["lo"], h["hi"], seen, h["m"], rank]
+def _bucket(x: Column, lo, hi, kind: T.DataType, buckets: int) -> Column:
+    """Bucket of a value of [lo, hi]: ``lo`` falls in the first and ``hi`` in the last one."""
+    if isinstance(kind, _FLOATS):
+        # Halves first: the width of a window may exceed the largest double.
+        width = F.lit(hi / 2 - lo / 2)
+        share = (x.cast("double") / 2 - F.lit(lo / 2)) / width
+        return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
+    # Exact for integers and decimals: whole units of the last digit, no rounding.
+    unit = 10 ** getattr(kind, "scale", 0)
+    span = int(hi * unit) - int(lo * unit)
+    place = (x.cast(T.DecimalType(38, getattr(kind, "scale", 0))) - F.lit(lo)) * F.lit(unit)
+    step = -(-(span + 1) // buckets)
+    return F.floor(place.cast("decimal(38,0)") / F.lit(step).cast("decimal(38,0)")).cast("int")
+
+
+def column_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 4096) -> dict:
+    """``{p: value}`` of one numeric column, in its own type; None where it has no value."""
+    kind = df.schema[column].dataType
+    x = F.col("__x")
+    values = df.select(F.col(column).alias("__x")).where(x.isNotNull())
+    specials: dict = {}
+    if isinstance(kind, _FLOATS):
+        inf = float("inf")
+        tests = {-inf: x == -inf, inf: x == inf, math.nan: F.isnan(x)}
+        finite = ~(F.isnan(x) | (F.abs(x) == inf))
+        row = values.agg(
+            *[F.count_if(t).alias(f"s{i}") for i, t in enumerate(tests.values())],
+            F.count_if(finite).alias("n"),
+            F.min(F.when(finite, x)).alias("lo"),
+            F.max(F.when(finite, x)).alias("hi"),
+        ).first()
+        specials = {v: row[f"s{i}"] for i, v in enumerate(tests)}
+        values = values.where(finite)
+    else:
+        row = values.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    n = row["n"] + sum(specials.values())
+    below = specials.get(-float("inf"), 0)
+    answers: dict = dict.fromkeys(probs)
+    windows: dict = {}  # p -> (lo, hi, values below lo, rank)
+    for p in probs if n else []:
+        rank = disc_rank(n, p)
+        if rank <= below:
+            answers[p] = -float("inf")
+        elif rank <= below + row["n"]:
+            windows[p] = (row["lo"], row["hi"], below, rank)
+        else:
+            answers[p] = float("inf") if rank <= below + row["n"] + specials[float("inf")] else math.nan
+    while True:
+        for p in [p for p, w in windows.items() if w[0] == w[1]]:
+            answers[p] = windows.pop(p)[0]
+        if not windows:
+            return answers
+        # Windows of one column are equal or disjoint: a value lies in one at most.
+        ranges = sorted({w[:2] for w in windows.values()})
+        which, bucket = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (lo, hi) in enumerate(ranges):
+            inside = x.between(F.lit(lo), F.lit(hi))
+            which = F.when(inside, i).otherwise(which)
+            bucket = F.when(inside, _bucket(x, lo, hi, kind, buckets)).otherwise(bucket)
+        # The outer bounds reach the scan as a range filter.
+        found = values.where(x.between(F.lit(ranges[0][0]), F.lit(ranges[-1][1]))).select(x, which.alias("w"), bucket.alias("b"))
+        counts = found.where("w is not null").groupBy("w", "b").agg(F.count(F.lit(1)).alias("m"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+        histogram = sorted(counts.collect(), key=lambda r: (r["w"], r["b"]))
+        for p, (lo, hi, before, rank) in windows.items():
+            for r in histogram:
+                if r["w"] != ranges.index((lo, hi)):
+                    continue
+                if before + r["m"] >= rank:
+                    windows[p] = (r["lo"], r["hi"], before, rank)
                     break
-                seen += h["m"]
+                before += r["m"]
             else:
-                raise RuntimeError(f"rank {rank} not found for {key}")
-
-    if targets:
-        # Every open window now holds at most ``max_window`` values: bring the
-        # (value, count) pairs of those windows up and pick the ranks.
-        ids = windows_of(list(targets))
-        pairs: dict[int, list] = {}
-        for r in select_windows(ids).groupBy("w_id", "v").agg(F.count(F.lit(1)).alias("m")).collect():
-            pairs.setdefault(r["w_id"], []).append((r["v"], r["m"]))
-        for key, (lo, hi, base, _, rank) in targets.items():
-            seen = base
-            for v, m in sorted(pairs[ids[(key[0], lo, hi)]]):
-                seen += m
-                if seen >= rank:
-                    answers[key] = v
-                    break
+                raise RuntimeError(f"rank {rank} of {column} not found")
+
 
-    rows = [(c, float(p), answers[(c, p)]) for c in cols for p in probs]
-    return spark.createDataFrame(rows, "column_name string, p double, value double")
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 4096) -> DataFrame:
+    """``(column_name, p, value)``: exact discrete percentiles as doubles (see ``column_quantiles`` for own types)."""
+    rows = [(c, float(p), None if v is None else float(v)) for c in cols for p, v in column_quantiles(df, c, probs, buckets).items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
 
 
 def summary_long(
     df: DataFrame,
-    cols: list[str],
+    cols: list[str] | None = None,
     probs: tuple[float, ...] = (0.25, 0.5, 0.75),
     exact: bool = True,
     accuracy: int = 10_000,
-    **exact_options,
+    buckets: int = 4096,
 ) -> DataFrame:
-    """``describe_long`` plus percentile columns ``p25``, ``p50``, ``p75`` ..."""
+    """``describe_long`` plus percentile columns ``p25``, ``p50``, ``p75`` ... (numbers only)."""
+    cols = df.columns if cols is None else cols
     names = [f"p{round(p * 100)}" for p in probs]
-    desc = describe_long(df, cols)
+    numbers = [c for c in cols if is_numeric(df, c)]
     if exact:
-        # One pass for the describe row (one row per column), reused for the
-        # percentile windows; the result is rebuilt from those few rows.
-        rows = desc.collect()
-        stats = {r["column_name"]: (r["count"], r["min"], r["max"]) for r in rows}
-        q = {(r.column_name, r.p): r.value for r in exact_quantiles(df, cols, list(probs), stats=stats, **exact_options).collect()}
-        out = [tuple(r) + tuple(q[(r["column_name"], float(p))] for p in probs) for r in rows]
-        schema = desc.schema
-        for n in names:
-            schema = schema.add(n, "double")
-        return df.sparkSession.createDataFrame(out, schema).select(
-            "column_name", "count", "mean", "stddev", "min", *names, "max"
-        )
+        found = {c: column_quantiles(df, c, list(probs), buckets) for c in numbers}
+        rows = [(c, *[None if found[c][p] is None else float(found[c][p]) for p in probs]) for c in numbers]
+        schema = ", ".join(["column_name string", *[f"{n} double" for n in names]])
+        pivot = df.sparkSession.createDataFrame(rows, schema)
     else:
-        arr = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias("qs"),
-            )
-            for c in cols
+        sketches = [
+            F.struct(F.lit(c).alias("column_name"), F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias("qs"))
+            for c in numbers
         ]
-        pivot = df.agg(F.array(*arr).alias("a")).select(F.inline("a")).select(
+        pivot = df.agg(F.array(*sketches).alias("a")).select(F.inline("a")).select(
             "column_name", *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]
         )
-    return desc.join(pivot, "column_name").select(
-        "column_name", "count", "mean", "stddev", "min", *names, "max"
+    return describe_long(df, cols).join(pivot, "column_name", "left").select(
+        "column_name", "count", "mean", "stddev", "min", *names, "max", "min_text", "max_text"
     )
 
 
-def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per text column: count of non-NULL values, smallest and largest
-    value (binary string order), as ``describe()`` reports text; one pass."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("string")
-        aggs += [F.count(x).alias(f"{c}__n"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"{c}__n").alias("count"),
-                F.col(f"{c}__min").alias("min"),
-                F.col(f"{c}__max").alias("max"),
-            )
-            for c in cols
-        ]
-    )
-    return df.agg(*aggs).select(F.inline(rows))
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """One row per text column (all by default): count of non-NULL values,
+    smallest and largest value (binary order); one pass."""
+    cols = text_columns(df) if cols is None else cols
+    return describe_long(df, cols).select("column_name", "count", F.col("min_text").alias("min"), F.col("max_text").alias("max"))

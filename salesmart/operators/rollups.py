@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from salesmart.functions.measures import TOTAL
 
 
-def sum_by(df: DataFrame, keys: list[str], measures: dict[str, Column | str]) -> DataFrame:
-    """``groupBy(keys).agg(sum(m) AS name ...)`` with exact money totals."""
-    aggs = [F.sum(F.col(m) if isinstance(m, str) else m).cast(TOTAL).alias(name) for name, m in measures.items()]
+def sum_by(df: DataFrame, keys: list[str], measures: dict[str, Column | str], total: str = TOTAL) -> DataFrame:
+    """``groupBy(keys).agg(sum(m) AS name ...)``, exact; ``total`` is the type of the sums
+    (give one with the scale of unrounded measures to round later)."""
+    aggs = [F.sum(F.col(m) if isinstance(m, str) else m).cast(total).alias(name) for name, m in measures.items()]
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.timebins import ts_literal
-from salesmart.operators.joins import broadcast_if_small
 
 # Fixed value: the open end used by the interval test (the largest timestamp
 # with microsecond precision; a 7th fractional digit cannot be stored).
@@ -57,8 +56,8 @@ class Scd2Spec:
 
 
 def surrogate_key(key: Column, start: Column) -> Column:
-    """Deterministic surrogate key of a version: SHA-256 of ``key|start``."""
-    return F.sha2(F.concat_ws("|", key.cast("string"), F.date_format(start, "yyyy-MM-dd HH:mm:ss")), 256)
+    """Deterministic surrogate key of a version: SHA-256 of ``key|start``, the start to the microsecond."""
+    return F.sha2(F.concat_ws("|", key.cast("string"), F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS")), 256)
 
 
 def initial_dimension(rows: DataFrame, spec: Scd2Spec, start: dt.datetime) -> DataFrame:
@@ -125,23 +124,18 @@ def new_versions(
     )
 
 
-def load(
-    dim: DataFrame,
-    stage: DataFrame,
-    spec: Scd2Spec,
-    run_ts: dt.datetime,
-    match: str = "current",
-    check_stage: bool = True,
-) -> DataFrame:
+def check_stage(stage: DataFrame, spec: Scd2Spec) -> None:
+    """Fail if a staged key is null or repeated (it would close and insert twice); run it before a load."""
+    from salesmart.operators.audit import assert_unique
+
+    assert_unique(stage, [spec.key])
+
+
+def load(dim: DataFrame, stage: DataFrame, spec: Scd2Spec, run_ts: dt.datetime, match: str = "current") -> DataFrame:
     """Steps 1 and 2: the dimension after one load (closed rows plus new versions).
 
-    The stage must hold one row per key (a repeated key would close and insert
-    twice); it is audited first unless ``check_stage`` is off.
+    Lazy; the stage must hold one row per key (``check_stage``).
     """
-    if check_stage:
-        from salesmart.operators.audit import assert_unique
-
-        assert_unique(stage, [spec.key])
     closed = close_changed(dim, stage, spec, run_ts).select(*spec.dim_columns)
     return closed.unionByName(new_versions(closed, stage, spec, run_ts, match))
 
@@ -172,42 +166,47 @@ def _day(value) -> int:
     return (value.date() - dt.date(1970, 1, 1)).days
 
 
+def _versions_for(facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec, bucket_days: int | None, cols):
+    """(facts, versions, condition) of the point-in-time join, by key or by key and date bucket."""
+    valid = _valid_on("__dk", spec, fact_key, fact_ts)
+    if bucket_days is None:
+        return facts, dim.select(*cols), valid
+    d = _bucketed_versions(dim, facts, fact_ts, spec, bucket_days, cols)
+    if d is None:  # no dated fact
+        d = dim.select(*cols, F.lit(0).cast("long").alias("__b")).limit(0)
+    bucket = F.floor(F.unix_date(F.to_date(F.col(fact_ts))) / bucket_days).cast("long")
+    return facts.withColumn("__fb", bucket), d, valid & (F.col("__fb") == F.col("__b"))
+
+
 def asof_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    fact_ts: str,
-    spec: Scd2Spec,
-    bucket_days: int | None = None,
-    max_broadcast_rows: int = 500_000,
+    facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec, bucket_days: int | None = None
 ) -> DataFrame:
     """Step 3: facts with the surrogate key of the version valid on their date.
 
     Inner join: facts dated before the first version of their key drop out
     (see ``unmatched_facts``).  The join is an equi-join on the key with the
-    date range as residual; with ``bucket_days`` the date bucket joins the
-    equi-key too, so a key with a long version history only compares a fact
-    with the versions overlapping its bucket.
+    date range as residual; AQE splits a hot key and broadcasts a version table
+    that measures small.  With ``bucket_days`` the date bucket joins the
+    equi-key too, so a key with a long version history only compares a fact with
+    the versions overlapping its bucket (one aggregate over the facts bounds the
+    buckets when the frame is built).
     """
     cols = [F.col(spec.key).alias("__dk"), F.col(spec.start), F.col(spec.end), F.col(spec.surrogate)]
-    if bucket_days is None:
-        # The version table is broadcast only when a count proves it small, so
-        # the planner never picks the fact side as the side to broadcast.
-        d = broadcast_if_small(dim.select(*cols), max_broadcast_rows)
-        return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "inner").drop("__dk", spec.start, spec.end)
-    d = _bucketed_versions(dim, facts, fact_ts, spec, bucket_days, cols)
-    if d is None:
-        return facts.withColumn(spec.surrogate, F.lit(None).cast("string")).limit(0)
-    fb = F.floor(F.unix_date(F.to_date(F.col(fact_ts))) / bucket_days).cast("long")
-    cond = _valid_on("__dk", spec, fact_key, fact_ts) & (F.col("__fb") == F.col("__b"))
-    return (
-        facts.withColumn("__fb", fb)
-        .join(d, cond, "inner")
-        .drop("__dk", "__b", "__fb", spec.start, spec.end)
-    )
+    f, d, on = _versions_for(facts, dim, fact_key, fact_ts, spec, bucket_days, cols)
+    return f.join(d, on, "inner").select(*[F.col(c) for c in facts.columns], spec.surrogate)
 
 
-def unmatched_facts(facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec) -> DataFrame:
+def unmatched_facts(
+    facts: DataFrame, dim: DataFrame, fact_key: str, fact_ts: str, spec: Scd2Spec, bucket_days: int | None = None
+) -> DataFrame:
     """Facts that no version covers (the rows the inner join drops)."""
-    d = broadcast_if_small(dim.select(F.col(spec.key).alias("__dk"), spec.start, spec.end))
-    return facts.join(d, _valid_on("__dk", spec, fact_key, fact_ts), "left_anti")
+    cols = [F.col(spec.key).alias("__dk"), F.col(spec.start), F.col(spec.end)]
+    f, d, on = _versions_for(facts, dim, fact_key, fact_ts, spec, bucket_days, cols)
+    return f.join(d, on, "left_anti").select(*facts.columns)
+
+
+def land_facts(keyed: DataFrame, path: str, batch: str) -> None:
+    """Write keyed facts by ``batch``: a rerun replaces the batches it holds and leaves the others."""
+    from salesmart.sources.sinks import overwrite_path
+
+    overwrite_path(keyed, path, partition_by=[batch])

@@ -18,6 +18,7 @@ from salesmart.functions.timebins import newer_than, time_bin
 from salesmart.operators.batches import key_batches
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
+from salesmart.sources.json import json_counter
 
 NOW = dt.datetime(2024, 2, 1)
 LOOKBACK_DAYS = 3600
@@ -59,18 +60,35 @@ def weekly_sales(spark, root):
     "SELECT event_id, user_id, event_type, COALESCE(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k FROM events",
 )
 def json_flatten(spark, root):
-    """JSON text column to a typed field with a default (``get("k", 0)``)."""
+    """JSON text column to a typed field: 0 where it is missing, NULL where it is malformed."""
     ev = Mart(spark, root).events
-    parsed = F.from_json("props", "k BIGINT")
-    return ev.select("event_id", "user_id", "event_type", F.coalesce(parsed["k"], F.lit(0).cast("bigint")).alias("k"))
+    return ev.select("event_id", "user_id", "event_type", json_counter("props", "k").alias("k"))
+
+
+@query(
+    "json_rejects",
+    """
+SELECT event_type, COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE props IS NOT NULL AND NOT json_valid(props)
+                        OR json_extract_string(CASE WHEN json_valid(props) THEN props END, '$.k') IS NOT NULL
+                           AND TRY_CAST(json_extract_string(CASE WHEN json_valid(props) THEN props END, '$.k') AS BIGINT) IS NULL) AS n_rejected
+FROM events GROUP BY event_type
+""",
+)
+def json_rejects(spark, root):
+    """Rows whose counter is malformed, by event type (``json_flatten`` reads them as NULL)."""
+    ev = Mart(spark, root).events
+    return ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(json_counter("props", "k").isNull()).alias("n_rejected")
+    )
 
 
 @query(
     "key_batches",
     """
 WITH k AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey IS NOT NULL),
-r AS (SELECT k, CAST(floor((row_number() OVER (ORDER BY k) - 1) / 50) AS INTEGER) AS batch FROM k)
-SELECT 0 AS bucket, batch, CAST(COUNT(*) AS INTEGER) AS n_keys,
+r AS (SELECT k, CAST(floor((row_number() OVER (ORDER BY k) - 1) / 50) AS BIGINT) AS batch FROM k)
+SELECT batch, CAST(COUNT(*) AS INTEGER) AS n_keys,
        string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS keys
 FROM r GROUP BY batch
 """,
@@ -191,7 +209,7 @@ def stamp_rows(spark, root):
     r"""
 WITH c AS (
   SELECT doc_id,
-         trim(regexp_replace(regexp_replace(replace(text, 'â€“', '–'), '\[[a-z]{1,2}\]', '', 'g'),
+         trim(regexp_replace(regexp_replace(replace(text, 'â€“', '–'), '(\[[a-z]{1,2}\][ \t\r\n]*)+\z', ''),
                              '[ \t\r\n]+', ' ', 'g')) AS clean
   FROM documents)
 SELECT doc_id, length(clean) AS n_chars_clean, md5(clean) AS clean_md5 FROM c
@@ -276,10 +294,9 @@ def video_load(spark, root):
     """API loader: landed JSON pages -> items -> flat video rows with the
     loader's defaults (missing counters 0, missing thumbnail '') and the
     derived date, duration seconds and engagement rate."""
-    from salesmart.sources.json import PAGE, flatten_videos, page_items
+    from salesmart.sources.json import flatten_videos, page_items, parse_pages
 
-    pages = _api_pages(spark, root).select(F.from_json("value", PAGE).alias("page"))
-    return flatten_videos(page_items(pages), RUN_TS, URL_TEMPLATE)
+    return flatten_videos(page_items(parse_pages(_api_pages(spark, root))), RUN_TS, URL_TEMPLATE)
 
 
 @query(
@@ -289,12 +306,12 @@ def video_load(spark, root):
 )
 def csv_combine(spark, root):
     """Landed CSV folder -> one frame: ``part`` is landed as CSV parts with a
-    header of blank-separated names (at most 1,000 rows per file), then the
-    folder is read back with header normalisation, id casts and value cleaning."""
-    from salesmart.session import table_path
+    header of blank-separated names in a folder of its own, then read back with
+    header normalisation, id casts and value cleaning."""
+    from salesmart.session import own_path
     from salesmart.sources.csv import combine_folder, land_csv
 
-    folder = table_path(spark, "landed_csv/item")
+    folder = own_path(spark, "landed_csv")
     items = Mart(spark, root).part.select(
         F.col("p_partkey").alias("Item Id"),
         F.col("p_name").alias("Name"),
@@ -302,5 +319,5 @@ def csv_combine(spark, root):
         F.col("p_type").alias("Category"),
         F.col("p_size").alias("Size"),
     )
-    land_csv(items, folder, max_rows_per_file=1000)
+    land_csv(items, folder)
     return combine_folder(spark, folder, id_type="bigint").drop("source_file")

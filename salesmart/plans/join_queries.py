@@ -1,9 +1,10 @@
 """Join types, key audits and customer totals with unmatched keys.
 
-The driver tables have no unmatched keys, so, as the reference does with its
-two filtered sides, each side is cut by an *attribute* predicate: the facts are
-the orders of one year, the curated customer dimension is one market segment.
-Both scans cover the whole table; the predicates are the query's meaning.
+The join-type queries filter both sides first, by an *attribute* predicate, as
+the shapes they restate do: the facts are the orders of one year, the
+curated customer dimension is one market segment.  The audits, the ordered full
+join and the customer totals run on whole tables whose keys really have gaps:
+documents without labels, customers without events.
 """
 
 from __future__ import annotations
@@ -99,56 +100,54 @@ def anti_dims(spark, root):
 
 @query(
     "orphan_facts",
-    f"""
-SELECT s.* FROM orders s
-LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = '{SEGMENT}') c ON s.o_custkey = c.c_custkey
-WHERE c.c_custkey IS NULL
+    """
+SELECT d.doc_id, d.lang, d.source, d.n_chars FROM documents d
+LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.doc_id IS NULL
 """,
 )
 def orphan_facts_q(spark, root):
-    """``SELECT s.* .. LEFT JOIN dim .. WHERE dim.key IS NULL`` as a left anti join."""
+    """Facts without a dimension row (documents without labels) as a left anti join."""
     m = Mart(spark, root)
-    dims = m.customer.filter(F.col("c_mktsegment") == SEGMENT)
-    return orphan_facts(m.orders, dims, "o_custkey", "c_custkey")
+    docs = m.t("documents").select("doc_id", "lang", "source", "n_chars")
+    return orphan_facts(docs, m.t("labels"), "doc_id")
 
 
 @query(
     "unsold_dims",
-    f"""
+    """
 SELECT c.* FROM customer c
-LEFT JOIN {FACTS_SQL} s ON s.CustomerId = c.c_custkey
-WHERE s.CustomerId IS NULL
+LEFT JOIN (SELECT DISTINCT user_id FROM events) e ON e.user_id = c.c_custkey
+WHERE e.user_id IS NULL
 """,
 )
 def unsold_dims(spark, root):
-    """Customers with no sale in the fact window."""
+    """Dimension members without any fact: customers with no event."""
     m = Mart(spark, root)
-    facts, _ = _sides(spark, root)
-    return unmatched_dims(m.customer, facts, "c_custkey", "CustomerId")
+    return unmatched_dims(m.customer, m.events, "c_custkey", "user_id")
 
 
 @query(
     "full_join_ordered",
-    f"""
-SELECT f.o_orderkey, f.CustomerId AS FactCustomerId, d.CustomerId AS DimCustomerId,
-       d.c_name, d.c_nationkey, f.o_totalprice
-FROM {FACTS_SQL} f FULL OUTER JOIN {DIMS_SQL} d ON f.CustomerId = d.CustomerId
-ORDER BY CASE WHEN f.CustomerId IS NULL THEN 1 ELSE 0 END, COALESCE(f.CustomerId, d.CustomerId), f.o_orderkey
+    """
+SELECT d.doc_id AS FactDocId, l.doc_id AS DimDocId, l.quality, l.toxic, d.lang, d.n_chars, d.doc_id
+FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id
+ORDER BY CASE WHEN d.doc_id IS NULL THEN 1 ELSE 0 END, COALESCE(d.doc_id, l.doc_id), d.doc_id
 """,
 )
 def full_join_ordered_q(spark, root):
-    """Full outer join keeping both keys, ordered by CASE, COALESCE and fact id."""
-    facts, dims = _sides(spark, root)
+    """Full outer join of whole tables keeping both keys, ordered by CASE, COALESCE and fact id."""
+    m = Mart(spark, root)
     return full_join_ordered(
-        facts,
-        dims,
-        "CustomerId",
-        "CustomerId",
-        "o_orderkey",
-        ["o_totalprice"],
-        ["c_name", "c_nationkey"],
-        fact_key_alias="FactCustomerId",
-        dim_key_alias="DimCustomerId",
+        m.t("documents"),
+        m.t("labels"),
+        "doc_id",
+        "doc_id",
+        "doc_id",
+        ["lang", "n_chars"],
+        ["quality", "toxic"],
+        fact_key_alias="FactDocId",
+        dim_key_alias="DimDocId",
     )
 
 
@@ -157,7 +156,7 @@ def _customer_totals_sql(name_expr: str, having: str = "") -> str:
 SELECT COALESCE(c.c_custkey, s.o_custkey) AS CustomerId, {name_expr} AS Name,
        CAST(SUM({LINE_AMOUNT_SQL}) AS DECIMAL(38,2)) AS TotalSales
 FROM lineitem JOIN orders s ON l_orderkey = s.o_orderkey
-LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = '{SEGMENT}') c ON s.o_custkey = c.c_custkey
+LEFT JOIN customer c ON s.o_custkey = c.c_custkey
 GROUP BY COALESCE(c.c_custkey, s.o_custkey), {name_expr}
 {having}
 ORDER BY TotalSales DESC
@@ -165,13 +164,13 @@ ORDER BY TotalSales DESC
 
 
 def _customer_totals(spark, root, unknown_name: str | None):
-    """Net sales per ordering customer, left-joined to the curated dimension.
+    """Net sales per ordering customer, left-joined to the customer dimension.
 
     Totals are built per customer key first; the dimension join then meets one
     row per key.  ``COALESCE(dim.key, fact.key)`` keeps orphan keys visible.
     """
     m = Mart(spark, root)
-    dims = m.customer.filter(F.col("c_mktsegment") == SEGMENT).select("c_custkey", "c_name")
+    dims = m.customer.select("c_custkey", "c_name")
     per_cust = m.customer_totals()
     joined = per_cust.join(dims, F.col("o_custkey") == F.col("c_custkey"), "left")
     name = F.col("c_name") if unknown_name is None else F.coalesce(F.col("c_name"), F.lit(unknown_name))

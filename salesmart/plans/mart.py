@@ -14,8 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.measures import MONEY, TOTAL, discount_amount, line_amount, money
-from salesmart.operators.joins import broadcast_fixed
+from salesmart.functions.measures import EXACT_TOTAL, MONEY, TOTAL, discount_amount, line_amount, money
 from salesmart.operators.rollups import roll_up, sum_by
 from salesmart.sources.tables import read_table
 
@@ -89,10 +88,10 @@ class Mart:
         """Flagship: line amount summed by the customer's nation, largest first.
 
         lineitem -> sum by order -> orders -> sum by customer -> customer ->
-        sum by nation -> nation (25 rows, broadcast).  Three shuffles, each on
+        sum by nation -> nation.  Three shuffles, each on
         already reduced data after the first partial aggregate.
         """
-        nation = broadcast_fixed(self.nation.select("n_nationkey", "n_name"))
+        nation = self.nation.select("n_nationkey", "n_name")
         return (
             self.nation_totals()
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -106,7 +105,7 @@ def part_totals(m: Mart) -> DataFrame:
     on the lineitem side before the join to ``part``."""
     return m.lineitem.groupBy("l_partkey").agg(
         F.sum(money("l_extendedprice")).cast(TOTAL).alias("Gross"),
-        F.sum(discount_amount("l_extendedprice", "l_discount")).cast(TOTAL).alias("Discount"),
+        F.sum(discount_amount("l_extendedprice", "l_discount")).cast(EXACT_TOTAL).alias("Discount"),
         F.sum(money("l_quantity")).cast(TOTAL).alias("Qty"),
         F.sum("l_quantity").alias("QtyD"),
         F.count(F.lit(1)).alias("Lines"),
@@ -117,9 +116,9 @@ def part_measures(m: Mart) -> DataFrame:
     """Per part: the totals above plus COGS = Qty * unit cost and the item attributes.
 
     COGS per line is Qty*Cost with one cost per part, so the exact decimal sum
-    over a part's lines equals Cost * (sum of Qty).
+    over a part's lines equals Cost * (sum of Qty); both stay unrounded.
     """
     part = m.part.select("p_partkey", "p_brand", "p_type", "p_retailprice")
     return part_totals(m).join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
-        "COGS", (F.col("Qty") * F.col("p_retailprice").cast(MONEY)).cast(TOTAL)
+        "COGS", (F.col("Qty") * F.col("p_retailprice").cast(MONEY)).cast(EXACT_TOTAL)
     )

@@ -1,40 +1,53 @@
-"""Table profiles: ``describe()`` and ``summary()`` in long form."""
+"""Table profiles: ``describe()`` and ``summary()`` of whole tables in long form."""
 
 from __future__ import annotations
 
-from salesmart.operators.profile import describe_long, summary_long
+from pyspark.sql import functions as F
+
+from salesmart.operators.profile import describe_long, describe_text, summary_long
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
 
-PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DIGITS = 6  # mean and stddev are compared rounded: partial sums may meet in any order
+WHOLE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+FLOATING = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+OTHER = ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _column_sql(c: str, quantiles: bool) -> str:
+    number = c not in OTHER
+    x = f"CAST({c} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"
+    text = "CAST(NULL AS VARCHAR)" if c in FLOATING else "{}"
+    lo, hi = (text.format(f"CAST({f}({c}) AS VARCHAR)") for f in ("MIN", "MAX"))
+    qs = ""
+    if quantiles:
+        exprs = [f"quantile_disc({x}, {p})" if number else "CAST(NULL AS DOUBLE)" for p in (0.25, 0.5, 0.75)]
+        qs = ", " + ", ".join(f"{e} AS p{n}" for e, n in zip(exprs, (25, 50, 75)))
+    return (
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({x}), {DIGITS}) AS mean, "
+        f"ROUND(STDDEV_SAMP({x}), {DIGITS}) AS stddev, MIN({x}) AS min, MAX({x}) AS max, "
+        f"{lo} AS min_text, {hi} AS max_text{qs} FROM lineitem"
+    )
 
 
-def _describe_sql(extra: str = "") -> str:
-    parts = []
-    for c in PROFILE_COLS:
-        x = f"CAST({c} AS DOUBLE)"
-        qs = ""
-        if extra:
-            qs = ", " + ", ".join(
-                f"quantile_disc({x}, {p}) AS p{round(p * 100)}" for p in (0.25, 0.5, 0.75)
-            )
-        parts.append(
-            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, ROUND(AVG({x}), 6) AS mean, "
-            f"ROUND(STDDEV_SAMP({x}), 6) AS stddev, MIN({x}) AS min, MAX({x}) AS max{qs} FROM lineitem"
-        )
-    return "\nUNION ALL\n".join(parts)
+def _table_sql(quantiles: bool = False) -> str:
+    return "\nUNION ALL\n".join(_column_sql(c, quantiles) for c in [*WHOLE, *FLOATING, *OTHER])
 
 
-@query("describe_table", _describe_sql())
+def _rounded(df):
+    return df.withColumns({c: F.round(c, DIGITS) for c in ("mean", "stddev")})
+
+
+@query("describe_table", _table_sql())
 def describe_table(spark, root):
-    """count / mean / stddev / min / max of every numeric column, one pass."""
-    return describe_long(Mart(spark, root).lineitem, PROFILE_COLS)
+    """count / mean / stddev / min / max of every column of a mixed table, one pass."""
+    return _rounded(describe_long(Mart(spark, root).lineitem))
 
 
-@query("summary_table", _describe_sql(extra="quantiles"))
+@query("summary_table", _table_sql(quantiles=True))
 def summary_table(spark, root):
-    """``describe`` plus exact 25 / 50 / 75 % (discrete) percentiles."""
-    return summary_long(Mart(spark, root).lineitem, PROFILE_COLS)
+    """``describe`` plus exact 25 / 50 / 75 % (discrete) percentiles of the numbers."""
+    return _rounded(summary_long(Mart(spark, root).lineitem))
 
 
 TEXT_COLS = ["c_name", "c_mktsegment"]
@@ -48,7 +61,5 @@ TEXT_COLS = ["c_name", "c_mktsegment"]
     ),
 )
 def describe_text_q(spark, root):
-    """``describe()`` of text columns: count, min, max."""
-    from salesmart.operators.profile import describe_text
-
-    return describe_text(Mart(spark, root).customer, TEXT_COLS)
+    """``describe()`` of every text column: count, min, max."""
+    return describe_text(Mart(spark, root).customer)

@@ -6,8 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from salesmart.functions.measures import TOTAL, line_amount, money, with_sales_measures
-from salesmart.operators.joins import Dim, broadcast_fixed, star_join
+from salesmart.functions.measures import (
+    EXACT_TOTAL,
+    TOTAL,
+    line_amount,
+    money,
+    with_sales_measures,
+)
+from salesmart.operators.joins import Dim, star_join
 from salesmart.operators.rollups import sum_by, top_k
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart, part_measures
@@ -18,8 +24,12 @@ LINE_AMOUNT_SQL = (
     "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(5,2))) AS DECIMAL(18,2))"
 )
 GROSS_SQL = "CAST(l_extendedprice AS DECIMAL(18,2))"
-COGS_SQL = "CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(18,2))"
-DISCOUNT_SQL = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(5,2)) AS DECIMAL(18,2))"
+COGS_SQL = "CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(28,4))"
+DISCOUNT_SQL = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(5,2)) AS DECIMAL(28,4))"
+PERCENT_AMOUNT_SQL = (
+    "CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) "
+    "* (100 - CAST(l_discount * 100 AS DECIMAL(5,2))) / 100 AS DECIMAL(18,2))"
+)
 
 
 # -- scans ---------------------------------------------------------------
@@ -78,7 +88,7 @@ def inline_rows(spark, root):
     per_flag = Mart(spark, root).lineitem.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).alias("gross")
     )
-    return per_flag.join(broadcast_fixed(flags), F.col("l_returnflag") == F.col("flag")).select(
+    return per_flag.join(F.broadcast(flags), F.col("l_returnflag") == F.col("flag")).select(
         "flag", "label", "factor", "lines", (F.col("gross") * F.col("factor")).cast("decimal(38,4)").alias("NetAmount")
     )
 
@@ -156,13 +166,13 @@ def filter_multi(spark, root):
     """``where Region == "EUROPE" and Category == "ECONOMY" and Qty > 1``.
 
     Case-sensitive equality.  The dimension predicates become semi joins so the
-    fact rows are neither widened nor duplicated; region and nation are fixed
-    size and broadcast.
+    fact rows are neither widened nor duplicated; AQE broadcasts a side whose
+    measured size is small.
     """
     m = Mart(spark, root)
     regions = m.region.filter(F.col("r_name") == "EUROPE")
-    nations = m.nation.join(broadcast_fixed(regions), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-    suppliers = m.supplier.join(broadcast_fixed(nations), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    nations = m.nation.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    suppliers = m.supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
     parts = m.part.filter(F.col("p_type") == "ECONOMY")
     return (
         m.lineitem.filter(F.col("l_quantity") > 1)
@@ -205,12 +215,60 @@ def line_amount_q(spark, root):
     )
 
 
+@query(
+    "line_amount_percent",
+    f"""
+SELECT l_orderkey, l_linenumber, CAST(l_discount * 100 AS DECIMAL(5,2)) AS DiscountPct,
+       {PERCENT_AMOUNT_SQL} AS LineAmount
+FROM lineitem JOIN part ON l_partkey = p_partkey
+""",
+)
+def line_amount_percent(spark, root):
+    """The net line amount from quantity, unit price and a discount in percent."""
+    m = Mart(spark, root)
+    joined = star_join(m.lineitem, [Dim(m.part, "l_partkey", "p_partkey", columns=("p_retailprice",))])
+    rows = joined.withColumn("DiscountPct", (F.col("l_discount") * 100).cast("decimal(5,2)"))
+    amount = line_amount(qty="l_quantity", price="p_retailprice", discount="DiscountPct", rate_unit="percent")
+    return rows.select("l_orderkey", "l_linenumber", "DiscountPct", amount.alias("LineAmount"))
+
+
+@query(
+    "star_join_drop",
+    """
+SELECT o_orderkey, o_orderdate, n_name, r_name
+FROM orders JOIN customer ON o_custkey = c_custkey
+JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
+  ON c_nationkey = g.n_nationkey
+""",
+)
+def star_join_drop(spark, root):
+    """A star join whose later dimension supersedes columns of the rows so far."""
+    m = Mart(spark, root)
+    geo = m.nation.join(m.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    customer = m.customer.withColumn("n_name", F.col("c_name")).withColumn("r_name", F.col("c_mktsegment"))
+    return star_join(
+        m.orders.select("o_orderkey", "o_orderdate", "o_custkey"),
+        [
+            Dim(customer, "o_custkey", "c_custkey", columns=("c_nationkey", "n_name", "r_name")),
+            Dim(geo, "c_nationkey", "n_nationkey", columns=("n_name", "r_name"), drop=("n_name", "r_name")),
+        ],
+    ).select("o_orderkey", "o_orderdate", "n_name", "r_name")
+
+
+@query("column_names", "SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS column_name, (SELECT COUNT(*) FROM lineitem) AS rows")
+def column_names(spark, root):
+    """``df.columns`` with the table's row count."""
+    li = Mart(spark, root).lineitem
+    names = F.explode(F.array(*[F.lit(c) for c in li.columns]))
+    return li.agg(F.count(F.lit(1)).alias("rows")).select(names.alias("column_name"), "rows")
+
+
 @query(
     "measures",
     f"""
 SELECT l_orderkey, l_linenumber, l_partkey,
        {GROSS_SQL} AS Gross, {COGS_SQL} AS COGS, {DISCOUNT_SQL} AS Discount,
-       CAST({GROSS_SQL} - {COGS_SQL} AS DECIMAL(18,2)) AS GrossMargin
+       CAST({GROSS_SQL} - {COGS_SQL} AS DECIMAL(28,4)) AS GrossMargin
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """,
 )
@@ -236,14 +294,18 @@ JOIN part ON l_partkey = p_partkey
 """,
 )
 def star_join_q(spark, root):
-    """Fact with four dimensions; differently named keys; dimension keys dropped."""
+    """Fact with four dimensions; differently named keys; dimension keys dropped.
+
+    The nation joins the customers first, so the facts never move by the few
+    nation keys.
+    """
     m = Mart(spark, root)
+    customer = star_join(m.customer, [Dim(m.nation, "c_nationkey", "n_nationkey", columns=("n_name",))])
     joined = star_join(
         m.lineitem,
         [
             Dim(m.orders, "l_orderkey", "o_orderkey", columns=("o_orderdate", "o_custkey")),
-            Dim(m.customer, "o_custkey", "c_custkey", columns=("c_name", "c_nationkey")),
-            Dim(broadcast_fixed(m.nation), "c_nationkey", "n_nationkey", columns=("n_name",)),
+            Dim(customer, "o_custkey", "c_custkey", columns=("c_name", "n_name")),
             Dim(m.part, "l_partkey", "p_partkey", columns=("p_brand", "p_type")),
         ],
     )
@@ -293,26 +355,23 @@ def totals_by_geo(spark, root):
     lines = star_join(m.lineitem, [Dim(m.part, "l_partkey", "p_partkey", columns=("p_retailprice",))])
     lines = with_sales_measures(lines, "l_quantity", "p_retailprice", "l_extendedprice", "l_discount")
     cols = ["Gross", "COGS", "Discount"]
-    per_order = sum_by(lines, ["l_orderkey"], {c: c for c in cols})
+    same = {c: c for c in cols}
+    per_order = sum_by(lines, ["l_orderkey"], same, EXACT_TOTAL)
     per_cust = sum_by(
         per_order.join(m.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")),
         ["o_custkey"],
-        {c: c for c in cols},
+        same,
+        EXACT_TOTAL,
     )
     per_nation = sum_by(
         per_cust.join(m.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")),
         ["c_nationkey"],
-        {c: c for c in cols},
-    )
-    geo = m.nation.join(broadcast_fixed(m.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "n_name", "r_name"
+        same,
+        EXACT_TOTAL,
     )
-    return per_nation.join(broadcast_fixed(geo), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "n_name",
-        "r_name",
-        F.col("Gross").alias("TotalGross"),
-        F.col("COGS").alias("TotalCOGS"),
-        F.col("Discount").alias("TotalDiscount"),
+    geo = m.nation.join(m.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    return per_nation.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "n_name", "r_name", *[F.col(c).cast(TOTAL).alias(f"Total{c}") for c in cols]
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from salesmart.operators import scd2
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
+from salesmart.session import own_path
 
 SPEC = scd2.Scd2Spec(
     key="Item_Id",
@@ -53,7 +54,7 @@ def _facts(m: Mart):
     return m.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
 
 
-SK_SQL = "sha256(CAST(Item_Id AS VARCHAR) || '|' || strftime(Valid_Start_Date, '%Y-%m-%d %H:%M:%S'))"
+SK_SQL = "sha256(CAST(Item_Id AS VARCHAR) || '|' || strftime(Valid_Start_Date, '%Y-%m-%d %H:%M:%S.%f'))"
 CTE = f"""
 WITH dim0 AS (
   SELECT p_partkey AS Item_Id, p_name AS Name, p_brand AS Brand, p_type AS Category, p_size AS Size,
@@ -128,6 +129,56 @@ def scd2_dimension(spark, root):
     return scd2.load(dim, stage, SPEC, RUN_TS, MATCH)
 
 
+# The current match compares with open rows only: the closed rows are left out of the comparison.
+CURRENT = CTE.replace(
+    "AND t.Brand = s.Brand\n      AND t.Category = s.Category AND t.Size = s.Size)",
+    "AND t.Brand = s.Brand\n      AND t.Category = s.Category AND t.Size = s.Size AND t.Valid_End_Date IS NULL)",
+).replace("FROM part WHERE p_size <= 45)", "FROM part WHERE p_size <= 45\n" + "  UNION ALL " + """
+  SELECT p_partkey, p_name, p_brand || '-R', p_type, p_size, TIMESTAMP '1991-01-01 00:00:00', TIMESTAMP '1992-01-01 00:00:00'
+  FROM part WHERE p_type = 'PROMO' AND p_size <= 45)""")
+
+
+def _reopened_inputs(spark, root):
+    """The inputs with a closed first version of the PROMO parts that equals their staged row (A, then B, then A again)."""
+    m, dim, stage = _inputs(spark, root)
+    first = dt.datetime(1991, 1, 1)
+    old = stage.filter((F.col("Category") == "PROMO") & (F.col("Size") <= 45))
+    old = scd2.initial_dimension(old, SPEC, first).withColumn(SPEC.end, F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+    return m, dim.unionByName(old), stage
+
+
+@query("scd2_new_versions_current", f"{CURRENT} SELECT {SK_SQL} AS Item_SurrogateKey, * FROM new_rows")
+def scd2_new_versions_current(spark, root):
+    """New versions when only open rows count: a value that comes back opens a version again."""
+    _, dim, stage = _reopened_inputs(spark, root)
+    return scd2.new_versions(scd2.close_changed(dim, stage, SPEC, RUN_TS), stage, SPEC, RUN_TS, "current")
+
+
+@query("scd2_dimension_current", f"{CURRENT} SELECT {DIM_COLS} FROM dim1")
+def scd2_dimension_current(spark, root):
+    """The dimension after a load that compares with open rows (the default)."""
+    _, dim, stage = _reopened_inputs(spark, root)
+    return scd2.load(dim, stage, SPEC, RUN_TS)
+
+
+@query(
+    "scd2_fact_load",
+    f"""{CTE}
+SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, Item_SurrogateKey, CAST(year(l_shipdate) AS INTEGER) AS batch
+FROM lineitem JOIN dim1 ON {VALID_ON}
+""",
+)
+def scd2_fact_load(spark, root):
+    """Keyed facts landed by batch (ship year); the rerun of the last batches replaces them."""
+    m, dim, stage = _inputs(spark, root)
+    facts = _facts(m).withColumn("batch", F.year("l_shipdate"))
+    keyed = scd2.asof_join(facts, scd2.load(dim, stage, SPEC, RUN_TS, MATCH), "l_partkey", "l_shipdate", SPEC)
+    path = own_path(spark, "facts")
+    scd2.land_facts(keyed, path, "batch")
+    scd2.land_facts(keyed.where("batch >= 1998"), path, "batch")
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
 @query(
     "scd2_asof_join",
     f"""{CTE}

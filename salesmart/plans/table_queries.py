@@ -8,14 +8,24 @@ v2 DELETE priority '5-LOW'; v3 RESTORE to version 1.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
-from salesmart.operators.changelog import ChangeLog, add_column, delete_rows, rename_column, update_rows
-from salesmart.operators.joins import broadcast_fixed
+from salesmart.operators import changelog
+from salesmart.operators.changelog import Versions, add_column, delete_rows, rename_column, update_rows
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
-from salesmart.sources.sinks import append_by_name, copy_table
+from salesmart.session import own_path
+from salesmart.sources.sinks import (
+    append_by_name,
+    append_path,
+    copy_table,
+    create_if_not_exists,
+    create_table,
+    overwrite_path,
+    overwrite_table,
+)
 
 KEY = ["o_orderkey"]
 T0, T1, T2, T3 = (dt.datetime(2024, 1, d) for d in (1, 2, 3, 4))
@@ -35,25 +45,32 @@ LINEITEM_COLS = [
 ]
 
 
-def orders_history(spark, root) -> ChangeLog:
-    # Built lazily in one plan: four small commits cost less recomputed than
-    # written; a long-lived log uses ``ChangeLog.create(.., path=...)``.
-    table = ChangeLog.create(Mart(spark, root).orders, KEY, T0)
-    table = table.update(UPDATE_WHEN, UPDATE_SET, T1)
-    table = table.delete(DELETE_WHEN, T2)
-    return table.restore(1, T3)
+def orders_log(spark, root):
+    """The demo log and its versions, as one lazy frame: rows of a write, an update, a delete and a restore."""
+    orders = Mart(spark, root).orders
+    versions = Versions((T0, T1, T2))
+    updated = update_rows(orders, UPDATE_WHEN, UPDATE_SET)
+    log = (
+        changelog.initial_log(orders, T0)
+        .unionByName(changelog.update_log(orders, UPDATE_WHEN, UPDATE_SET, 1, T1))
+        .unionByName(changelog.delete_log(updated, DELETE_WHEN, 2, T2))
+    )
+    restored = changelog.restore_rows(log, KEY, versions, 1, T3)
+    return log.unionByName(restored), versions.then(T3)
 
 
 @query("as_of_version", f"SELECT {V1_SQL} FROM orders")
 def as_of_version(spark, root):
     """``VERSION AS OF 1`` / ``versionAsOf``."""
-    return orders_history(spark, root).as_of(version=1)
+    log, versions = orders_log(spark, root)
+    return changelog.as_of(log, KEY, versions, version=1)
 
 
 @query("as_of_timestamp", f"SELECT {V1_SQL} FROM orders WHERE o_orderpriority <> '5-LOW'")
 def as_of_timestamp(spark, root):
     """``TIMESTAMP AS OF`` a time between the delete (v2) and the restore (v3)."""
-    return orders_history(spark, root).as_of(ts=dt.datetime(2024, 1, 3, 12, 0))
+    log, versions = orders_log(spark, root)
+    return changelog.as_of(log, KEY, versions, ts=dt.datetime(2024, 1, 3, 12, 0))
 
 
 @query(
@@ -70,8 +87,8 @@ SELECT 3, TIMESTAMP '2024-01-04 00:00:00', 'RESTORE', (SELECT COUNT(*) FROM orde
 """,
 )
 def table_history(spark, root):
-    """``DESCRIBE HISTORY``: version, time, operation, rows inserted / updated / deleted."""
-    return orders_history(spark, root).history()
+    """Rows inserted / updated / deleted by each version of a log."""
+    return changelog.change_counts(orders_log(spark, root)[0])
 
 
 @query(
@@ -84,7 +101,7 @@ FROM orders WHERE o_orderpriority = '5-LOW'
 )
 def restore_version(spark, root):
     """``RESTORE .. TO VERSION AS OF 1``: the compensating rows of the new version."""
-    return orders_history(spark, root).rows_of(3)
+    return orders_log(spark, root)[0].where("_version = 3")
 
 
 @query(
@@ -98,7 +115,8 @@ WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'P'
 )
 def version_diff(spark, root):
     """Rows that differ between version 0 and version 2."""
-    return orders_history(spark, root).diff(0, 2)
+    log, versions = orders_log(spark, root)
+    return changelog.diff(log, KEY, versions, 0, 2)
 
 
 @query(
@@ -171,12 +189,10 @@ def append_missing_cols(spark, root):
     """``INSERT INTO t (cols) ..`` with fewer columns: the missing one becomes NULL."""
     m = Mart(spark, root)
     cut = F.lit(dt.date(1998, 1, 1))
-    geo = m.nation.join(broadcast_fixed(m.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    geo = m.nation.join(m.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("r_name").alias("o_region")
     )
-    cust = m.customer.select("c_custkey", "c_nationkey").join(
-        broadcast_fixed(geo), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    cust = m.customer.select("c_custkey", "c_nationkey").join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     old = (
         m.orders.filter(F.col("o_orderdate") < cut)
         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
@@ -191,6 +207,48 @@ def copy_table_q(spark, root):
     return copy_table(spark, Mart(spark, root).orders, "orders_copy")
 
 
+@query("create_table", "SELECT * FROM supplier")
+def create_table_q(spark, root):
+    """``saveAsTable`` of a new table, read back from the catalog."""
+    name = f"created_{uuid.uuid4().hex}"
+    create_table(Mart(spark, root).supplier, name, path=own_path(spark, "created"))
+    return spark.table(name)
+
+
+@query("overwrite_table", "SELECT * FROM supplier WHERE s_acctbal > 0")
+def overwrite_table_q(spark, root):
+    """``mode("overwrite").saveAsTable``: a second load replaces the first."""
+    name, path = f"replaced_{uuid.uuid4().hex}", own_path(spark, "replaced")
+    rows = Mart(spark, root).supplier
+    overwrite_table(rows, name, path=path)
+    overwrite_table(rows.where("s_acctbal > 0"), name, path=path)
+    return spark.table(name)
+
+
+@query(
+    "overwrite_path",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' OR o_totalprice > 1000",
+)
+def overwrite_path_q(spark, root):
+    """``mode("overwrite").save`` by partition: a rerun of one batch replaces that batch alone."""
+    path = own_path(spark, "batches")
+    rows = Mart(spark, root).orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    overwrite_path(rows, path, partition_by=["o_orderstatus"])
+    overwrite_path(rows.where("o_orderstatus = 'P' AND o_totalprice > 1000"), path, partition_by=["o_orderstatus"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query("typed_create", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def typed_create_q(spark, root):
+    """``CREATE TABLE IF NOT EXISTS`` with declared columns, then an append of matching rows."""
+    rows = Mart(spark, root).supplier.select("s_suppkey", "s_name", "s_nationkey")
+    name, path = f"typed_{uuid.uuid4().hex}", own_path(spark, "typed")
+    create_if_not_exists(spark, name, rows.schema, path)
+    append_path(rows, path)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 @query(
     "duplicate_keys",
     """

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -84,18 +85,23 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and landed tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset and
-    the master is local (so every task sees the same disk) is a private folder
-    made under the system temp folder and registered as checkpoint folder.
+    It is the folder that ``spark.checkpoint.dir`` names, itself and not the
+    per-application folder below it, so what is landed there outlives the
+    session.  Where the setting is absent, a checkpoint folder that the session
+    already has is used, and only on a local master (every task sees the same
+    disk) is a private folder made under the system temp folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if not sc.master.startswith("local") and configured.startswith("file:"):
+            raise RuntimeError("spark.checkpoint.dir must name shared storage, not a machine's own folder")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a folder on shared storage "
@@ -107,5 +113,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    """Location for a landed table inside the shared folder."""
+    """Location of a named table inside the shared folder; the same in each session."""
     return os.path.join(shared_dir(spark), "tables", name)
+
+
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new location inside the shared folder, so that no call overwrites what another still reads."""
+    return os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")

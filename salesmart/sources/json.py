@@ -2,10 +2,11 @@
 
 Each landed page is one JSON text per row (one file line per page).  Pages are
 parsed with an explicit schema (``from_json``; no inference pass), their
-``items`` exploded, and nested fields read with defaults - the DataFrame form
-of ``v.get("snippet", {}).get("thumbnails", {}).get("high", {}).get("url", "")``.
-Counters arrive as text: a missing counter becomes 0, a malformed one NULL
-(and is counted by ``rejected_counters``) instead of stopping the load.
+``items`` exploded, and nested fields read with a default where any level of
+them is absent.  Counters arrive as text: a missing counter becomes 0, a
+malformed one NULL (and is counted by ``rejected_counters``) instead of stopping
+the load.  A page that is no JSON document keeps its text in ``_corrupt_record``
+and is counted by ``rejected_pages``.
 """
 
 from __future__ import annotations
@@ -54,29 +55,24 @@ PAGE = T.StructType(
     [
         T.StructField("nextPageToken", _S),
         T.StructField("items", T.ArrayType(VIDEO_ITEM)),
+        T.StructField("_corrupt_record", _S),
     ]
 )
 
-# Output schema of a flattened video (column order of the loader).
-VIDEO_COLUMNS = [
-    "video_id",
-    "title",
-    "published_at",
-    "channel_title",
-    "view_count",
-    "like_count",
-    "comment_count",
-    "duration",
-    "privacy_status",
-    "thumbnail_url",
-    "video_url",
-    "extracted_at",
-]
+def parse_pages(text: DataFrame, column: str = "value") -> DataFrame:
+    """Page texts as a ``page`` column."""
+    return text.select(F.from_json(column, PAGE, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("page"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed page files (one JSON document per line) as a ``page`` column."""
-    return spark.read.text(path).select(F.from_json("value", PAGE).alias("page"))
+    return parse_pages(spark.read.text(path))
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """``(n_pages, n_rejected)``: all pages and those that could not be parsed."""
+    bad = F.col("page._corrupt_record").isNotNull()
+    return pages.agg(F.count(F.lit(1)).alias("n_pages"), F.count_if(bad).alias("n_rejected"))
 
 
 def page_items(pages: DataFrame) -> DataFrame:
@@ -89,6 +85,13 @@ def counter(c: Column) -> Column:
     return F.when(c.isNull(), F.lit(0).cast("long")).otherwise(c.try_cast("long"))
 
 
+def json_counter(text: str | Column, field: str) -> Column:
+    """A counter of a flat JSON text: 0 where the text or the field is missing, NULL where either is malformed."""
+    schema = f"`{field}` string, _corrupt_record string"
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.when(parsed["_corrupt_record"].isNull(), counter(parsed[field]))
+
+
 def flatten_videos(items: DataFrame, run_ts: dt.datetime, url_template: str) -> DataFrame:
     """Flat video rows with the loader's defaults, plus the derived columns."""
     v = F.col("v")

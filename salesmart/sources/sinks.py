@@ -1,7 +1,7 @@
 """Table writers: create, overwrite, append, typed create-if-missing, copy.
 
 Tables are Parquet (the reference's versioned format is not available here; its
-row-level history is rebuilt as a change log in ``operators.changelog``).
+row changes are plain log frames, see ``operators.changelog``).
 Every writer runs one distributed write job: tasks write their own files and
 the driver only commits the file list, so a lost executor re-runs its tasks.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from salesmart.session import table_path
+from salesmart.session import own_path
 
 
 def create_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> None:
@@ -71,8 +71,12 @@ def create_if_not_exists(spark: SparkSession, name: str, schema: T.StructType, p
 
 
 def copy_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``CREATE OR REPLACE TABLE name AS SELECT ..``: write to the shared folder
-    (overwrite) and return the copy as read back from storage."""
-    path = table_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """``CREATE OR REPLACE TABLE name AS SELECT ..``: write to a new folder in the
+    shared folder and return the copy as read back from it.
+
+    Each call has a folder of its own, so a copy that is still to be read is
+    never overwritten by the next one.
+    """
+    path = own_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

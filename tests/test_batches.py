@@ -1,26 +1,23 @@
-"""Key batches: every key once, no batch above the size, consecutive when one bucket."""
+"""Key batches: every key once, consecutive runs, the same for any number of partitions."""
 
 from salesmart.operators.batches import key_batches
 
 
-def check(df, size):
-    rows = df.collect()
-    keys = [int(k) for r in rows for k in r["keys"].split(",")]
-    assert all(r.n_keys <= size and r.n_keys == len(r["keys"].split(",")) for r in rows)
-    return rows, keys
+def batches(df, size, partitions=None):
+    return {r.batch: (r.n_keys, r["keys"]) for r in key_batches(df, "id", size, partitions).collect()}
 
 
-def test_one_bucket_is_consecutive(spark):
-    df = spark.createDataFrame([(k % 237,) for k in range(1000)], "id long")  # duplicates collapse
-    rows, keys = check(key_batches(df, "id", size=50), 50)
-    assert sorted(keys) == list(range(237)) and len(rows) == 5
-    for r in rows:
-        ks = [int(k) for k in r["keys"].split(",")]
-        assert ks == list(range(r.batch * 50, r.batch * 50 + len(ks)))
+def test_consecutive_runs_of_distinct_keys(spark):
+    df = spark.createDataFrame([(k % 237,) for k in range(1000)] + [(None,)], "id long")
+    got = batches(df, 50)
+    keys = list(range(237))
+    assert got == {i: (len(keys[i * 50 : i * 50 + 50]), ",".join(map(str, keys[i * 50 : i * 50 + 50]))) for i in range(5)}
 
 
-def test_many_buckets(spark):
-    df = spark.createDataFrame([(k,) for k in range(5000)] + [(None,)], "id long")
-    rows, keys = check(key_batches(df, "id", size=50, keys_per_bucket=400), 50)
-    assert sorted(keys) == list(range(5000))
-    assert len({r.bucket for r in rows}) > 1
+def test_same_batches_for_any_number_of_partitions(spark):
+    df = spark.createDataFrame([(k * 7919 % 100_003,) for k in range(5000)], "id long")
+    assert batches(df, 50, 1) == batches(df, 50, 2) == batches(df, 50, 37)
+
+
+def test_no_keys(spark):
+    assert batches(spark.createDataFrame([(None,)], "id long"), 50) == {}

@@ -1,15 +1,18 @@
-"""Change-log properties: as_of(latest) == current, restore(n) == state at n,
-NULL conditions, history counts, diff."""
+"""Log properties: as_of(latest) == current, restore(n) == state at n, NULL conditions,
+counts, diff, and versions or times outside the log."""
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from salesmart.operators.changelog import ChangeLog, add_column, delete_rows, rename_column, update_rows
+from salesmart.operators import changelog as log_of
+from salesmart.operators.changelog import Versions, add_column, delete_rows, rename_column, update_rows
 
 SCHEMA = "k int, qty int, note string"
+KEY = ["k"]
 
 
 def rows(df):
@@ -49,71 +52,73 @@ ops = st.lists(
 @given(ops=ops)
 def test_versions_replay(spark, ops):
     base = spark.createDataFrame([(k, k % 5, f"n{k}") for k in range(12)], SCHEMA)
-    table = ChangeLog.create(base, ["k"], t(0))
-    lazy = ChangeLog.create(base, ["k"], t(0))  # carries its states, never rebuilt
-    states = [rows(base)]
-    state = base
+    log, versions, states = log_of.initial_log(base, t(0)), Versions((t(0),)), [rows(base)]
     for i, (op, a, b) in enumerate(ops, start=1):
+        current = log_of.as_of(log, KEY, versions)
         if op == "update":
-            table = table.update(F.col("qty") == a, {"qty": F.lit(b)}, t(i))
-            lazy = lazy.update(F.col("qty") == a, {"qty": F.lit(b)}, t(i))
-            state = update_rows(state, F.col("qty") == a, {"qty": F.lit(b)})
+            new = log_of.update_log(current, F.col("qty") == a, {"qty": F.lit(b)}, i, t(i))
+            state = update_rows(current, F.col("qty") == a, {"qty": F.lit(b)})
         elif op == "delete":
-            table = table.delete(F.col("qty") == a, t(i))
-            lazy = lazy.delete(F.col("qty") == a, t(i))
-            state = delete_rows(state, F.col("qty") == a)
+            new = log_of.delete_log(current, F.col("qty") == a, i, t(i))
+            state = delete_rows(current, F.col("qty") == a)
         else:
             target = min(a, len(states) - 1)
-            table = table.restore(target, t(i))
-            lazy = lazy.restore(target, t(i))
+            new = log_of.restore_rows(log, KEY, versions, target, t(i))
             state = spark.createDataFrame(states[target], SCHEMA)
-        state = spark.createDataFrame(state.collect(), SCHEMA)
         states.append(rows(state))
-        table = ChangeLog(spark.createDataFrame(table.log.collect(), table.log.schema), ["k"], table.next_version)
+        log = spark.createDataFrame(log.unionByName(new).collect(), log.schema)
+        versions = versions.then(t(i))
     for n, expected in enumerate(states):
-        assert rows(table.as_of(version=n)) == expected
-        assert rows(lazy.as_of(version=n)) == expected
-        assert rows(lazy.state(n)) == expected
-    assert rows(table.as_of(ts=t(len(states) - 2))) == states[-2]
-    assert rows(table.current()) == states[-1]
-    hist = table.history().collect()
-    assert [h.version for h in hist] == list(range(len(states)))
+        assert rows(log_of.as_of(log, KEY, versions, version=n)) == expected
+    assert rows(log_of.as_of(log, KEY, versions, ts=t(len(states) - 2))) == states[-2]
+    assert rows(log_of.as_of(log, KEY, versions)) == states[-1]
 
 
-def test_diff(spark):
+def small_log(spark):
     base = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, 3, "c")], SCHEMA)
-    table = ChangeLog.create(base, ["k"], t(0)).update("k = 1", {"note": "'z'"}, t(1)).delete("k = 2", t(2))
-    d = {r.k: r.change_type for r in table.diff(0, 2).collect()}
-    assert d == {1: "changed", 2: "removed"}
-    back = {r.k: r.change_type for r in table.diff(2, 0).collect()}
-    assert back == {1: "changed", 2: "added"}
+    log = log_of.initial_log(base, t(0)).unionByName(log_of.update_log(base, "k = 1", {"note": "'z'"}, 1, t(1)))
+    return log.unionByName(log_of.delete_log(base, "k = 2", 2, t(2))), Versions((t(0), t(1), t(2)))
+
+
+def test_diff(spark):
+    log, versions = small_log(spark)
+    assert {r.k: (r.note, r.change_type) for r in log_of.diff(log, KEY, versions, 0, 2).collect()} == {1: ("z", "changed"), 2: ("b", "removed")}
+    assert {r.k: (r.note, r.change_type) for r in log_of.diff(log, KEY, versions, 2, 0).collect()} == {1: ("a", "changed"), 2: ("b", "added")}
+    assert log_of.diff(log, KEY, versions, 1, 1).count() == 0
+
+
+def test_versions_and_times_outside_the_log_are_refused(spark):
+    log, versions = small_log(spark)
+    for asked in ({"version": 3}, {"version": -1}, {"ts": t(-1)}, {"version": 0, "ts": t(0)}):
+        with pytest.raises(ValueError):
+            log_of.as_of(log, KEY, versions, **asked)
+    with pytest.raises(ValueError, match="no version -1"):
+        log_of.restore_rows(log, KEY, versions, -1, t(3))
 
 
-def test_stored_log_appends_one_partition_per_version(spark, tmp_dir):
-    import os
+def test_a_back_dated_version_is_refused(spark):
+    log, versions = small_log(spark)
+    with pytest.raises(ValueError, match="must grow"):
+        versions.then(t(1))
+    with pytest.raises(ValueError, match="must grow"):
+        log_of.restore_rows(log, KEY, versions, 0, t(2))
 
-    path = os.path.join(tmp_dir, "log")
-    base = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA)
-    table = ChangeLog.create(base, ["k"], t(0), path=path)
-    table = table.update("k = 1", {"qty": "5"}, t(1)).delete("k = 2", t(2))
-    assert sorted(d for d in os.listdir(path) if d.startswith("_version=")) == [
-        "_version=0", "_version=1", "_version=2"
-    ]
-    reopened = ChangeLog.open(spark, ["k"], path)
-    assert reopened.next_version == 3
-    assert rows(reopened.current()) == [(1, 5, "a")]
-    assert rows(reopened.as_of(version=0)) == [(1, 1, "a"), (2, 2, "b")]
-    reopened = reopened.restore(0, t(3))
-    assert rows(ChangeLog.open(spark, ["k"], path).current()) == [(1, 1, "a"), (2, 2, "b")]
 
+def test_versions_of_a_stored_log(spark, tmp_dir):
+    log, versions = small_log(spark)
+    log.write.partitionBy("_version").parquet(f"{tmp_dir}/log")
+    stored = spark.read.parquet(f"{tmp_dir}/log").select(*log.columns)
+    assert log_of.versions_of(stored) == versions
+    assert rows(log_of.as_of(stored, KEY, versions, version=1)) == [(1, 1, "z"), (2, 2, "b"), (3, 3, "c")]
+    back = stored.unionByName(log_of.stamp(spark.createDataFrame([(9, 9, "x")], SCHEMA), 3, t(0), "I", "WRITE"))
+    with pytest.raises(ValueError, match="must grow"):
+        log_of.versions_of(back)
 
-def test_create_fails_clearly_on_duplicate_or_null_keys(spark):
-    import pytest
 
-    from salesmart.operators.audit import duplicate_keys
+def test_duplicate_and_null_keys_are_found(spark):
+    from salesmart.operators.audit import assert_unique, duplicate_keys
 
     dup = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 3, "c"), (2, 4, "d")], SCHEMA)
-    assert sorted((r.k, r.n) for r in duplicate_keys(dup, ["k"]).collect() if r.k is not None) == [(1, 2)]
-    assert duplicate_keys(dup, ["k"]).count() == 2
+    assert sorted((r.k, r.n) for r in duplicate_keys(dup, KEY).collect() if r.k is not None) == [(1, 2)]
     with pytest.raises(ValueError, match="not unique"):
-        ChangeLog.create(dup, ["k"], t(0))
+        assert_unique(dup, KEY)

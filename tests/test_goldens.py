@@ -1,144 +1,133 @@
-"""Hand-worked results of the reference's walk-through."""
+"""Results worked out by hand on the small mart."""
 
+import datetime as dt
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.functions.measures import line_amount
-from salesmart.operators.changelog import ChangeLog, delete_rows, update_rows
-from salesmart.operators.joins import full_join_ordered, join_on, orphan_facts, unmatched_dims
+from salesmart.functions.measures import line_amount, with_sales_measures
+from salesmart.operators import changelog
+from salesmart.operators.changelog import Versions, delete_rows, update_rows
+from salesmart.operators.joins import Dim, full_join_ordered, join_on, orphan_facts, star_join, unmatched_dims
 from salesmart.operators.rollups import sum_by, totals_with_dimension
-from tests.walkthrough import dim_customer, fact_sales, sales
+from tests.small_mart import AMOUNTS, members, sales, tickets
+
 
 def amount():
     return line_amount(qty="Qty", price="UnitPrice", discount="DiscountPct", rate_unit="percent")
 
 
 def test_line_amounts(spark):
-    rows = fact_sales(spark).select("SalesId", amount().alias("LineAmount")).orderBy("SalesId").collect()
-    expected = [6650, 1800, 9450, 2000, 3500, 4180, 7200, 1500, 3500, 3600, 2975, 2500, 800, 7000]
-    assert [r.LineAmount for r in rows] == [D(v).quantize(D("0.01")) for v in expected]
-    assert fact_sales(spark).select(amount().alias("a")).schema["a"].dataType.simpleString() == "decimal(18,2)"
+    rows = sales(spark).select("SalesId", amount().alias("LineAmount"))
+    assert {r.SalesId: str(r.LineAmount) for r in rows.collect()} == AMOUNTS
+    assert rows.schema["LineAmount"].dataType.simpleString() == "decimal(18,2)"
+
+
+def test_measures_are_rounded_once_at_the_end(spark):
+    """Three lines of 1.25 x 0.33: 1.2375, not three times 0.41; rates of 1.5 % of 0.33."""
+    lines = spark.createDataFrame([(D("1.25"), D("0.33"), D("0.33"), D("1.50"))] * 3, "q decimal(18,2), c decimal(18,2), a decimal(18,2), r decimal(5,2)")
+    m = with_sales_measures(lines, "q", "c", "a", "r", rate_unit="percent")
+    total = m.agg(F.sum("COGS").cast("decimal(38,2)").alias("cogs"), F.sum("Discount").alias("d")).first()
+    assert total.cogs == D("1.24") and total.d == D("0.014850")
+    part = with_sales_measures(lines, "q", "c", "a", F.lit("0.05"), rate_unit="fraction")
+    assert part.agg(F.sum("Discount").alias("d")).first().d == D("0.0495")
+    assert part.select("GrossMargin").first()[0] == D("-0.0825")
 
 
-@pytest.mark.parametrize("how,count", [("inner", 12), ("left", 14), ("right", 14), ("full", 16)])
+@pytest.mark.parametrize("how,count", [("inner", 6), ("left", 9), ("right", 8), ("full", 11)])
 def test_join_row_counts(spark, how, count):
-    assert join_on(fact_sales(spark), dim_customer(spark), "CustomerId", how).count() == count
+    assert join_on(sales(spark), members(spark), "CustomerId", how).count() == count
 
 
 def test_full_join_keeps_both_keys_and_orders_dims_without_facts_last(spark):
     out = full_join_ordered(
-        fact_sales(spark), dim_customer(spark), "CustomerId", "CustomerId", "SalesId", ["Product"], ["Name"],
+        sales(spark).where("CustomerId IS NOT NULL"), members(spark), "CustomerId", "CustomerId", "SalesId", ["Product"], ["Name"],
         "FactCustomerId", "DimCustomerId",
     ).collect()
-    assert len(out) == 16
-    assert [r.DimCustomerId for r in out[-2:]] == [106, 111]
-    assert all(r.FactCustomerId is None for r in out[-2:])
-    assert {r.SalesId for r in out if r.DimCustomerId is None} == {10, 11}
+    assert [(r.SalesId, r.FactCustomerId, r.DimCustomerId) for r in out] == [
+        (1, 1, 1), (4, 1, 1), (2, 2, 2), (5, 3, 3), (6, 5, 5), (7, 5, 5), (3, 70, None), (8, 71, None), (None, None, 4), (None, None, 6),
+    ]
 
 
 def test_orphans_and_unsold(spark):
-    orphans = orphan_facts(fact_sales(spark), dim_customer(spark), "CustomerId")
-    assert sorted(r.SalesId for r in orphans.collect()) == [10, 11]
-    assert orphans.columns == fact_sales(spark).columns
-    unsold = unmatched_dims(dim_customer(spark), fact_sales(spark), "CustomerId")
-    assert sorted(r.CustomerId for r in unsold.collect()) == [106, 111]
-
-
-def test_null_fact_key_is_an_orphan(spark):
-    facts = fact_sales(spark).withColumn("CustomerId", F.when(F.col("SalesId") == 1, None).otherwise(F.col("CustomerId")))
-    assert sorted(r.SalesId for r in orphan_facts(facts, dim_customer(spark), "CustomerId").collect()) == [1, 10, 11]
+    orphans = orphan_facts(sales(spark), members(spark), "CustomerId")
+    assert sorted(r.SalesId for r in orphans.collect()) == [3, 8, 9]  # a null key is an orphan too
+    assert orphans.columns == sales(spark).columns
+    unsold = unmatched_dims(members(spark), sales(spark), "CustomerId")
+    assert sorted(r.CustomerId for r in unsold.collect()) == [4, 6]
 
 
 def test_where_filter(spark):
-    f = fact_sales(spark)
-    out = f.filter((F.col("SalesDate") > F.lit("2025-08-03").cast("date")) & (F.col("Product") == "Suite Pro"))
-    assert sorted(r.SalesId for r in out.collect()) == [9, 11, 14]
+    out = sales(spark).filter((F.col("SalesDate") > F.lit("2023-05-03").cast("date")) & (F.col("Product") == "rug"))
+    assert sorted(r.SalesId for r in out.collect()) == [4, 7, 9]
 
 
 def _totals(spark, unknown=None):
-    facts = fact_sales(spark).withColumn("LineAmount", amount())
+    facts = sales(spark).withColumn("LineAmount", amount())
     return totals_with_dimension(
-        facts, "CustomerId", "LineAmount", dim_customer(spark), "CustomerId", {"Name": "Name"}, unknown=unknown
+        facts, "CustomerId", "LineAmount", members(spark), "CustomerId", {"Name": "Name"}, unknown=unknown
     )
 
 
 def test_totals_per_customer(spark):
-    got = {r.CustomerId: r.TotalSales for r in _totals(spark).collect()}
-    expected = {105: 10250, 101: 9150, 103: 7200, 104: 7000, 112: 4180, 113: 3600, 107: 3500,
-                110: 3500, 999: 2975, 109: 2000, 102: 1800, 108: 1500}
-    assert got == {k: D(v).quantize(D("0.01")) for k, v in expected.items()}
-    names = {r.CustomerId: r.Name for r in _totals(spark).collect()}
-    assert names[113] is None and names[101] == "Aarav Shah"
+    rows = _totals(spark).collect()
+    assert {r.CustomerId: (r.Name, str(r.TotalSales)) for r in rows} == {
+        1: ("Alder Works", "299.97"), 2: ("Birch & Co", "310.50"), 3: ("Cedar Lane", "589.95"), 5: ("Elm Street", "279.99"),
+        70: (None, "50.00"), 71: (None, "155.25"), None: (None, "10.00"),
+    }
 
 
-def test_having(spark):
-    out = _totals(spark, unknown={"Name": "(Unknown Customer)"}).filter(F.col("TotalSales") > 5000)
-    assert sorted(r.CustomerId for r in out.collect()) == [101, 103, 104, 105]
+def test_having_and_unknown_names(spark):
+    out = _totals(spark, unknown={"Name": "(nobody)"}).filter(F.col("TotalSales") > 150)
+    assert {r.CustomerId: r.Name for r in out.collect()} == {1: "Alder Works", 2: "Birch & Co", 3: "Cedar Lane", 5: "Elm Street", 71: "(nobody)"}
 
 
-def _by_state(spark, extra=False):
-    facts = fact_sales(spark, extra).withColumn("LineAmount", amount())
-    joined = facts.join(dim_customer(spark), "CustomerId", "inner")
-    return {r.State: r.TotalSales for r in sum_by(joined, ["State"], {"TotalSales": "LineAmount"}).collect()}
+def _by_state(spark, later=False):
+    facts = sales(spark, later).withColumn("LineAmount", amount())
+    joined = facts.join(members(spark), "CustomerId", "inner")
+    return {r.State: str(r.TotalSales) for r in sum_by(joined, ["State"], {"TotalSales": "LineAmount"}).collect()}
 
 
-def test_by_state(spark):
-    expected = {"Maharashtra": 10950, "Telangana": 10250, "Delhi": 7200, "Karnataka": 7000, "Tamil Nadu": 4180,
-                "Chandigarh": 3500, "Rajasthan": 3500, "Gujarat": 2000, "West Bengal": 1500}
-    assert _by_state(spark) == {k: D(v).quantize(D("0.01")) for k, v in expected.items()}
-    after = _by_state(spark, extra=True)
-    assert after["Maharashtra"] == D("17600.00")
-    assert {k: v for k, v in after.items() if k != "Maharashtra"} == {
-        k: D(v).quantize(D("0.01")) for k, v in expected.items() if k != "Maharashtra"
-    }
+def test_by_state_before_and_after_an_insert(spark):
+    assert _by_state(spark) == {"North": "610.47", "South": "589.95", "East": "279.99"}
+    assert _by_state(spark, later=True) == {"North": "634.47", "South": "589.95", "East": "279.99"}
 
 
 def test_update_right_sides_see_old_values(spark):
     updated = update_rows(
-        sales(spark),
-        "order_date BETWEEN DATE'2025-08-01' AND DATE'2025-08-04'",
-        {"discount_percent": "15.0", "gross_sales": "qty * unit_price * (1 - 15.0/100.0)"},
+        tickets(spark),
+        "sold_on BETWEEN DATE'2023-05-01' AND DATE'2023-05-03'",
+        {"cut": "20.0", "paid": "seats * price * (1 - 20.0/100.0)", "price": "price + seats"},
     )
-    got = {r.order_id: r.gross_sales for r in updated.collect()}
-    for oid, value in {"O-1001": 509.9745, "O-1002": 424.15, "O-1003": 422.875, "O-1004": 424.575}.items():
-        assert got[oid] == pytest.approx(value)
-    assert got["O-1005"] == pytest.approx(432.0)
-    assert updated.schema == sales(spark).schema
+    got = {r.ticket: (r.price, r.paid) for r in updated.collect()}
+    assert got["A"] == (14.5, pytest.approx(20.0)) and got["B"] == (13.0, pytest.approx(32.0)) and got["C"] == (41.0, pytest.approx(32.0))
+    assert got["D"] == (10.0, 60.0) and got["E"] == (20.0, 57.0)  # a null date is not hit
+    assert updated.schema == tickets(spark).schema
 
 
 def test_delete_and_restore(spark):
-    import datetime as dt
-
-    kept = delete_rows(sales(spark), "qty <= 2")
-    assert sorted(r.order_id for r in kept.collect()) == ["O-1001", "O-1003", "O-1005", "O-1006", "O-1007"]
-    t = ChangeLog.create(sales(spark), ["order_id"], dt.datetime(2025, 8, 13))
-    t = t.delete("qty <= 2", dt.datetime(2025, 8, 14))
-    assert t.current().count() == 5
-    t = t.restore(0, dt.datetime(2025, 8, 15))
-    assert t.current().count() == 8
-    assert [r.version for r in t.history().collect()] == [0, 1, 2]
-
-
-def test_star_join_case_clash_and_dropped_columns(spark):
-    """sales.ItemID == item.ItemId: names differ only in case, which Spark
-    treats as the same name; the dimension key is renamed and dropped, and the
-    customer's City/State give way to geography's."""
-    from salesmart.operators.joins import Dim, star_join
-
-    sales_ = spark.createDataFrame([(1, 10, 100, 2), (2, 11, 101, 1)], "SaleId int, CustomerId int, ItemID int, Qty int")
+    kept = delete_rows(tickets(spark), "seats <= 2")
+    assert sorted(r.ticket for r in kept.collect()) == ["B", "D", "E"]
+    t = [dt.datetime(2023, 6, d) for d in (1, 2, 3)]
+    versions = Versions((t[0], t[1]))
+    log = changelog.initial_log(tickets(spark), t[0]).unionByName(changelog.delete_log(tickets(spark), "seats <= 2", 1, t[1]))
+    assert changelog.as_of(log, ["ticket"], versions).count() == 3
+    log = log.unionByName(changelog.restore_rows(log, ["ticket"], versions, 0, t[2]))
+    versions = versions.then(t[2])
+    assert changelog.as_of(log, ["ticket"], versions).count() == 5
+    assert [(r.version, r.num_inserted, r.num_deleted) for r in changelog.change_counts(log).collect()] == [(0, 5, 0), (1, 0, 2), (2, 2, 0)]
+
+
+def test_star_join_case_clash_and_superseded_columns(spark):
+    """``ItemID`` and ``ItemId`` differ in case only, which Spark takes for one name; ``drop`` gives way to geography."""
+    lines = spark.createDataFrame([(1, 10, 100, 2), (2, 11, 101, 1)], "SaleId int, CustomerId int, ItemID int, Qty int")
     customer = spark.createDataFrame([(10, 1, "X", "Y"), (11, 2, "X", "Y")], "CustomerId int, CityId int, City string, State string")
-    geo = spark.createDataFrame([(1, "Pune", "MH"), (2, "Delhi", "DL")], "CityId int, City string, State string")
+    geo = spark.createDataFrame([(1, "Quill", "North"), (2, "Tarn", "East")], "CityId int, City string, State string")
     item = spark.createDataFrame([(100, "B1", "C1"), (101, "B2", "C2")], "ItemId int, Brand string, Category string")
     out = star_join(
-        sales_,
-        [
-            Dim(customer.drop("State", "City"), "CustomerId"),
-            Dim(geo, "CityId"),
-            Dim(item, "ItemID", "ItemId"),
-        ],
+        lines,
+        [Dim(customer, "CustomerId"), Dim(geo, "CityId", drop=("City", "State")), Dim(item, "ItemID", "ItemId")],
     )
     assert sorted(out.columns) == sorted(["SaleId", "CustomerId", "ItemID", "Qty", "CityId", "City", "State", "Brand", "Category"])
-    rows = {r.SaleId: (r.City, r.Brand) for r in out.select("SaleId", "City", "Brand").collect()}
-    assert rows == {1: ("Pune", "B1"), 2: ("Delhi", "B2")}
+    assert {r.SaleId: (r.City, r.Brand) for r in out.select("SaleId", "City", "Brand").collect()} == {1: ("Quill", "B1"), 2: ("Tarn", "B2")}

@@ -69,7 +69,7 @@ def test_clean_header():
 
 @pytest.mark.parametrize(
     "text,seconds",
-    [("PT1H2M3S", 3723), ("PT45S", 45), ("PT15M", 900), ("P1DT2H", 7200), (None, 0), ("", 0), ("PT0S", 0)],
+    [("PT0000000005S", 5), ("PT99999999999S", None), ("PT1H2M3S", 3723), ("PT45S", 45), ("PT15M", 900), ("P1DT2H", 7200), (None, 0), ("", 0), ("PT0S", 0)],
 )
 def test_iso_duration(spark, text, seconds):
     df = spark.createDataFrame([(text,)], "d string")
@@ -125,3 +125,43 @@ def test_playlist_pages(spark, tmp_dir):
                                    {"snippet": {"resourceId": {"videoId": "b"}}}], "nextPageToken": "n"}) + "\n"
              + json.dumps({"items": [{"snippet": {"resourceId": {"videoId": "c"}}}]}) + "\n")
     assert sorted(r.video_id for r in playlist_video_ids(read_pages(spark, q)).collect()) == ["a", "b", "c"]
+
+
+def test_footnotes_go_only_at_the_end(spark):
+    from salesmart.functions.text import clean_value
+
+    df = spark.createDataFrame([("x[i] = a[j] + 1",), ("Town[e]",), ("Town[e][ab] ",), ("[a] b",)], "v string")
+    assert [r[0] for r in df.select(clean_value("v")).collect()] == ["x[i] = a[j] + 1", "Town", "Town", "[a] b"]
+
+
+def test_csv_part_with_another_column_order_is_refused(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "1.csv"), "Item Id,Brand,Name\n1,b1,n1\n")
+    write(os.path.join(tmp_dir, "2.csv"), "Item Id,Name,Brand\n2,n2,b2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        combine_folder(spark, tmp_dir).collect()
+
+
+def test_csv_bad_ids_are_counted(spark, tmp_dir):
+    from salesmart.sources.csv import rejected_ids
+
+    write(os.path.join(tmp_dir, "1.csv"), "Item Id,Name,Brand Id\n1,n,2\nx7,n,\n,n,y\n")
+    got = {r.column_name: r.n_rejected for r in rejected_ids(spark, tmp_dir).collect()}
+    assert got == {"Item_Id": 1, "Brand_Id": 1}
+    assert sorted(str(r.Item_Id) for r in combine_folder(spark, tmp_dir).collect()) == ["1", "None", "None"]
+
+
+def test_broken_pages_are_counted(spark, tmp_dir):
+    from salesmart.sources.json import rejected_pages
+
+    p = os.path.join(tmp_dir, "pages.jsonl")
+    write(p, json.dumps({"items": [_video(1)]}) + "\n{broken\n[1, 2\n")
+    raw = read_pages(spark, p)
+    assert tuple(rejected_pages(raw).first()) == (3, 2)
+    assert page_items(raw).count() == 1
+
+
+def test_malformed_counters_are_null(spark):
+    from salesmart.sources.json import json_counter
+
+    df = spark.createDataFrame([('{"k": 7}',), ("{}",), (None,), ('{"k": 2.5}',), ('{"k": "x"}',), ("{broken",), ('{"k": null}',)], "t string")
+    assert [r[0] for r in df.select(json_counter("t", "k")).collect()] == [7, 0, 0, None, None, None, 0]

@@ -4,10 +4,13 @@ aggregation before the first shuffle of the flagship."""
 import pytest
 
 import __spark_entry__ as entry
+from salesmart.plans import catalog
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
-SIDE_EFFECT_FREE = sorted(n for n in QUERIES if n not in ("copy_table",))
+catalog.load_all()
+QUERIES = dict(catalog.QUERIES)
+WRITES = {"copy_table", "create_table", "overwrite_table", "overwrite_path", "typed_create", "csv_combine", "scd2_fact_load", "key_batches"}
+SIDE_EFFECT_FREE = sorted(set(QUERIES) - WRITES)
 
 
 def plan(df, capsys):
@@ -42,13 +45,6 @@ def test_semi_joins_for_dimension_predicates(spark, capsys):
     assert "LeftSemi" in text
 
 
-def test_broadcast_only_below_a_counted_bound(spark, capsys):
-    from salesmart.operators.joins import broadcast_if_small
-
-    facts = spark.range(10_000).withColumnRenamed("id", "k")
-    dim = spark.range(100).withColumnRenamed("id", "k")
-    facts.join(broadcast_if_small(dim, max_rows=1_000), "k").explain()
-    assert "BroadcastExchange" in capsys.readouterr().out
-    facts.join(broadcast_if_small(dim, max_rows=10), "k").explain()
-    text = capsys.readouterr().out
-    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+def test_changed_keys_are_shuffled_once(spark, capsys):
+    text = plan(QUERIES["version_diff"](spark, SF_SMALL), capsys)
+    assert "LeftSemi" in text and "FullOuter" not in text

@@ -34,7 +34,7 @@ def test_join_algebra(spark, fact_keys, dim_keys):
     assert join_on(facts, dims, "k", "full").count() == left + unmatched
 
 
-def test_shared_column_names_fall_back_to_spark_join(spark):
+def test_shared_column_names_join_as_spark_does(spark):
     facts = spark.createDataFrame([(1, 1, "f"), (2, 9, "g")], "sale_id int, k int, name string")
     dims = spark.createDataFrame([(1, "d1"), (3, "d3")], "k int, name string")
     for how in ("full", "right"):

@@ -165,8 +165,6 @@ def test_rerun_of_a_fact_batch_replaces_it(spark, tmp_dir):
     landed with dynamic partition overwrite on its batch id."""
     import os
 
-    from salesmart.sources.sinks import overwrite_path
-
     dim = dim_from(spark, [(1, "a", "A"), (2, "b", "B")])
     facts = spark.createDataFrame(
         [(10, 1, dt.datetime(2021, 1, 1), "b1"), (11, 2, dt.datetime(2021, 1, 2), "b1")],
@@ -174,15 +172,31 @@ def test_rerun_of_a_fact_batch_replaces_it(spark, tmp_dir):
     )
     other = facts.withColumn("batch", F.lit("b0"))
     path = os.path.join(tmp_dir, "sales_fact")
-    overwrite_path(scd2.asof_join(other, dim, "Item_ID", "Sales_Date", SPEC), path, partition_by=["batch"])
+    scd2.land_facts(scd2.asof_join(other, dim, "Item_ID", "Sales_Date", SPEC), path, "batch")
     for _ in range(2):
-        overwrite_path(scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC), path, partition_by=["batch"])
+        scd2.land_facts(scd2.asof_join(facts, dim, "Item_ID", "Sales_Date", SPEC), path, "batch")
     landed = spark.read.parquet(path)
     assert landed.count() == 4
     assert {r.batch: r["count"] for r in landed.groupBy("batch").count().collect()} == {"b0": 2, "b1": 2}
 
 
 def test_stage_with_a_repeated_key_is_refused(spark):
-    dim = dim_from(spark, [(1, "a", "X")])
     with pytest.raises(ValueError, match="not unique"):
-        scd2.load(dim, stage(spark, [(1, "a", "Y"), (1, "a", "Z")]), SPEC, T1)
+        scd2.check_stage(stage(spark, [(1, "a", "Y"), (1, "a", "Z")]), SPEC)
+
+
+def test_versions_within_a_second_have_their_own_keys(spark):
+    dim = dim_from(spark, [(1, "a", "X")], start=dt.datetime(2024, 1, 1, 0, 0, 0, 100_000))
+    out = scd2.load(dim, stage(spark, [(1, "a", "Y")]), SPEC, dt.datetime(2024, 1, 1, 0, 0, 0, 900_000)).collect()
+    assert len({r.Item_SurrogateKey for r in out}) == len(out) == 2
+
+
+def test_bucketed_unmatched_facts_equal_plain(spark):
+    dim = dim_from(spark, [(1, "a", "X"), (2, "b", "Y")])
+    facts = spark.createDataFrame(
+        [(i, i % 4, dt.datetime(2019, 1, 1) + dt.timedelta(days=13 * i)) for i in range(80)], "Order_No int, Item_ID int, Sales_Date timestamp_ntz"
+    )
+    plain = sorted(map(tuple, scd2.unmatched_facts(facts, dim, "Item_ID", "Sales_Date", SPEC).collect()))
+    assert plain and sorted(map(tuple, scd2.unmatched_facts(facts, dim, "Item_ID", "Sales_Date", SPEC, bucket_days=90).collect())) == plain
+    none = facts.limit(0)
+    assert scd2.asof_join(none, dim, "Item_ID", "Sales_Date", SPEC, bucket_days=90).collect() == []

@@ -68,3 +68,29 @@ def test_declared_schemas_create(spark, tmp_dir, name):
     got = spark.table(table).schema
     assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in TABLES[name].fields]
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_two_copies_do_not_destroy_each_other(spark):
+    from salesmart.plans import catalog
+
+    catalog.load_all()
+    for name in ("copy_table", "csv_combine"):
+        a = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        b = catalog.QUERIES[name](spark, "/root/testdata/sf0.01")
+        assert 0 < a.count() < b.count()
+
+
+def test_shared_folder_outlives_the_session_and_must_be_shared():
+    from types import SimpleNamespace
+
+    from salesmart import session
+
+    def spark_with(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: "hdfs://x/ckpt/some-id", setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: folder))
+
+    for master, folder in (("local[2]", "file:/x"), ("yarn", "hdfs://x/ckpt")):
+        assert session.table_path(spark_with(master, folder), "t") == f"{folder}/tables/t"
+        assert session.own_path(spark_with(master, folder), "t") != session.own_path(spark_with(master, folder), "t")
+    with pytest.raises(RuntimeError, match="shared storage"):
+        session.shared_dir(spark_with("yarn", "file:/x"))

@@ -85,7 +85,7 @@ def test_hot_item_asof_join_is_whole_and_split(spark, skew_conf, capsys):
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("item"),
         (F.lit(dt.datetime(2019, 6, 1)) + F.make_dt_interval(F.col("id") % 1200)).cast("timestamp_ntz").alias("day"),
     )
-    out = scd2.asof_join(facts, dim, "item", "day", spec, max_broadcast_rows=0)
+    out = scd2.asof_join(facts, dim, "item", "day", spec)
     assert out.count() == 30_000  # every sale falls in exactly one version
     assert out.select("sale_id").distinct().count() == 30_000
     out.collect()  # run this plan itself so explain shows its final form
