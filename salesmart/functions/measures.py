@@ -52,7 +52,8 @@ def line_amount(amount=None, discount=None, qty=None, price=None, rate_unit: str
 
     Give either ``amount`` (an already multiplied gross) or ``qty`` and ``price``.
     """
-    base = money(amount) if amount is not None else money(qty) * money(price)
+    # 26 digits leave room for the four decimals of a percent factor: nothing is rounded before the cast.
+    base = money(amount) if amount is not None else (money(qty) * money(price)).cast("decimal(26,4)")
     return (base * net_factor(discount, rate_unit)).cast(MONEY)
 
 

@@ -27,8 +27,8 @@ GROSS_SQL = "CAST(l_extendedprice AS DECIMAL(18,2))"
 COGS_SQL = "CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) AS DECIMAL(28,4))"
 DISCOUNT_SQL = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(5,2)) AS DECIMAL(28,4))"
 PERCENT_AMOUNT_SQL = (
-    "CAST(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)) "
-    "* (100 - CAST(l_discount * 100 AS DECIMAL(5,2))) / 100 AS DECIMAL(18,2))"
+    "CAST(CAST(l_quantity AS DECIMAL(9,2)) * CAST(p_retailprice AS DECIMAL(12,2)) "
+    "* ((100 - CAST(l_discount * 100 AS DECIMAL(5,2))) * CAST(0.01 AS DECIMAL(3,2))) AS DECIMAL(18,2))"
 )
 
 
