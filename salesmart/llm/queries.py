@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, exact_dedup, langid, packing, quality, secret_scan, simhash
+from salesmart.llm import bpe, exact_dedup, langid, oracles, packing, quality, secret_scan, simhash
 from salesmart.llm.chat import format_chats
 from salesmart.llm.common import importable, table
 from salesmart.llm.html_main import extract_main
@@ -43,15 +43,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-ORACLE["op3_exact_dedup"] = """
-WITH d AS (
-  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-  FROM documents
-)
-SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id = max(doc_id) OVER g AS kept, text_sha256
-FROM d WINDOW g AS (PARTITION BY text_sha256)
-"""
+ORACLE["op3_exact_dedup"] = oracles.EXACT_DEDUP
 
 
 @query
@@ -75,6 +67,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op10_quality_rules"] = oracles.quality()
+
+
 URL_RULES = (
     Rule("block", "net", "/"),
     Rule("allow", "example.net", "/en/"),
@@ -88,6 +83,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+ORACLE["op8_url_filter"] = oracles.url_filter(URL_RULES)
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
