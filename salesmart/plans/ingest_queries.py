@@ -45,7 +45,7 @@ GROUP BY 1 ORDER BY 1
 
 @query("daily_sales", _BIN_SQL.format(bin="date_trunc('day', ts)"))
 def daily_sales(spark, root):
-    """``where ts > ago(3600d) | summarize sum(..) by bin(ts, 1d) | order by ts asc``."""
+    """Sales per day of the recent events, in time order."""
     return _binned_sales(spark, root, 1)
 
 

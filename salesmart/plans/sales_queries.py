@@ -35,7 +35,7 @@ PERCENT_AMOUNT_SQL = (
 # -- scans ---------------------------------------------------------------
 @query("scan_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000")
 def scan_limit_q(spark, root):
-    """``SELECT * FROM t LIMIT 1000`` with a key order so the rows are defined."""
+    """The first 1000 rows by key, so the rows are defined."""
     return scan_limit(Mart(spark, root).orders, 1000, ["o_orderkey"])
 
 
@@ -108,7 +108,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 """,
 )
 def project_computed(spark, root):
-    """``project Brand, Category, Gross = Qty*Unit_Price``: renames and computed aliases."""
+    """Renamed columns and computed ones side by side."""
     m = Mart(spark, root)
     joined = star_join(m.lineitem, [Dim(m.part, "l_partkey", "p_partkey", columns=("p_brand", "p_type"))])
     return joined.select(
@@ -145,7 +145,7 @@ WHERE o_orderdate > DATE '1997-06-30' AND o_orderpriority = '1-URGENT'
 """,
 )
 def filter_date_eq(spark, root):
-    """``WHERE date > '..' AND Product = '..'``: comparison plus equality."""
+    """A comparison and an equality in one predicate."""
     o = Mart(spark, root).orders
     return o.filter((F.col("o_orderdate") > F.lit(dt.date(1997, 6, 30))) & (F.col("o_orderpriority") == "1-URGENT")).select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
@@ -163,7 +163,7 @@ WHERE l_quantity > 1
 """,
 )
 def filter_multi(spark, root):
-    """``where Region == "EUROPE" and Category == "ECONOMY" and Qty > 1``.
+    """Lines of one region and category with more than one piece.
 
     Case-sensitive equality.  The dimension predicates become semi joins so the
     fact rows are neither widened nor duplicated; AQE broadcasts a side whose
@@ -325,7 +325,7 @@ def star_join_q(spark, root):
 # -- roll-ups -----------------------------------------------------------------
 @query("row_count", "SELECT COUNT(*) AS Count FROM lineitem")
 def row_count(spark, root):
-    """``Sales | count``."""
+    """Number of fact rows."""
     return Mart(spark, root).lineitem.agg(F.count(F.lit(1)).alias("Count"))
 
 
@@ -390,8 +390,7 @@ GROUP BY p_brand, p_type
 def totals_by_brand(spark, root):
     """By Brand and Category: sums and the mean quantity.
 
-    The reference names the mean ``TotalQty``; its value is ``avg(Qty)``, so it
-    is called ``AvgQty`` here.
+    The mean quantity is named for what it is, ``AvgQty``.
     """
     per_part = part_measures(Mart(spark, root))
     return per_part.groupBy(F.col("p_brand").alias("Brand"), F.col("p_type").alias("Category")).agg(
@@ -411,7 +410,7 @@ GROUP BY p_type
 """,
 )
 def sales_by_category(spark, root):
-    """``summarize TotalSales = sum(Qty*Unit_Price), TotalQty = sum(Qty) by Category``."""
+    """Sold amount and quantity per category."""
     per_part = part_measures(Mart(spark, root))
     return per_part.groupBy(F.col("p_type").alias("Category")).agg(
         F.sum("Gross").cast(TOTAL).alias("TotalSales"), F.sum("QtyD").alias("TotalQty")
@@ -428,7 +427,7 @@ GROUP BY p_brand
 """,
 )
 def margin_by_brand(spark, root):
-    """``extend GrossMargin = Gross - Qty*Unit_Cost | summarize .. by Brand``."""
+    """Sales and gross margin per brand."""
     per_part = part_measures(Mart(spark, root))
     return per_part.groupBy(F.col("p_brand").alias("Brand")).agg(
         F.sum("Gross").cast(TOTAL).alias("TotalSales"),
@@ -447,7 +446,7 @@ LIMIT 5
 """,
 )
 def top5_brand_type(spark, root):
-    """``summarize TotalSales by Brand, Category | top 5 by TotalSales desc``."""
+    """The five best-selling pairs of brand and category."""
     per_part = part_measures(Mart(spark, root))
     grouped = per_part.groupBy(F.col("p_brand").alias("Brand"), F.col("p_type").alias("Category")).agg(
         F.sum("Gross").cast(TOTAL).alias("TotalSales")

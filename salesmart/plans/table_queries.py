@@ -61,14 +61,14 @@ def orders_log(spark, root):
 
 @query("as_of_version", f"SELECT {V1_SQL} FROM orders")
 def as_of_version(spark, root):
-    """``VERSION AS OF 1`` / ``versionAsOf``."""
+    """The table as of a version number."""
     log, versions = orders_log(spark, root)
     return changelog.as_of(log, KEY, versions, version=1)
 
 
 @query("as_of_timestamp", f"SELECT {V1_SQL} FROM orders WHERE o_orderpriority <> '5-LOW'")
 def as_of_timestamp(spark, root):
-    """``TIMESTAMP AS OF`` a time between the delete (v2) and the restore (v3)."""
+    """The table as of a time between the delete (v2) and the restore (v3)."""
     log, versions = orders_log(spark, root)
     return changelog.as_of(log, KEY, versions, ts=dt.datetime(2024, 1, 3, 12, 0))
 
@@ -100,7 +100,7 @@ FROM orders WHERE o_orderpriority = '5-LOW'
 """,
 )
 def restore_version(spark, root):
-    """``RESTORE .. TO VERSION AS OF 1``: the compensating rows of the new version."""
+    """Restoring version 1: the compensating rows of the new version."""
     return orders_log(spark, root)[0].where("_version = 3")
 
 
@@ -146,7 +146,7 @@ def versioned_delete(spark, root):
 
 @query("add_column", "SELECT *, CAST(NULL AS VARCHAR) AS o_region FROM orders")
 def add_column_q(spark, root):
-    """``ALTER TABLE .. ADD COLUMN o_region varchar(50)``: old rows read NULL."""
+    """A new column: old rows read NULL."""
     return add_column(Mart(spark, root).orders, "o_region", "string")
 
 
@@ -155,7 +155,7 @@ def add_column_q(spark, root):
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS o_priority_code FROM orders",
 )
 def rename_column_q(spark, root):
-    """``ALTER TABLE .. RENAME COLUMN``."""
+    """The same data under a new column name."""
     return rename_column(Mart(spark, root).orders, "o_orderpriority", "o_priority_code")
 
 
@@ -168,7 +168,7 @@ SELECT * FROM lineitem WHERE l_shipdate >= DATE '1999-01-01'
 """,
 )
 def append_rows(spark, root):
-    """``INSERT INTO t SELECT ..``: the loaded table plus a new batch."""
+    """The loaded table plus a new batch."""
     li = Mart(spark, root).lineitem
     cut = F.lit(dt.date(1999, 1, 1))
     return append_by_name(li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut))
@@ -186,7 +186,7 @@ SELECT o.*, NULL AS o_region FROM orders o WHERE o_orderdate >= DATE '1998-01-01
 """,
 )
 def append_missing_cols(spark, root):
-    """``INSERT INTO t (cols) ..`` with fewer columns: the missing one becomes NULL."""
+    """An append with fewer columns: the missing one becomes NULL."""
     m = Mart(spark, root)
     cut = F.lit(dt.date(1998, 1, 1))
     geo = m.nation.join(m.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -203,7 +203,7 @@ def append_missing_cols(spark, root):
 
 @query("copy_table", "SELECT * FROM orders")
 def copy_table_q(spark, root):
-    """``CREATE OR REPLACE TABLE orders_copy AS SELECT * FROM orders``."""
+    """A copy of a table, written and read back."""
     return copy_table(spark, Mart(spark, root).orders, "orders_copy")
 
 

@@ -1,6 +1,6 @@
 """Table writers: create, overwrite, append, typed create-if-missing, copy.
 
-Tables are Parquet (the reference's versioned format is not available here; its
+Tables are Parquet (no versioned table format is installed here;
 row changes are plain log frames, see ``operators.changelog``).
 Every writer runs one distributed write job: tasks write their own files and
 the driver only commits the file list, so a lost executor re-runs its tasks.

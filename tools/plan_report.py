@@ -16,18 +16,15 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from salesmart.plans import catalog  # noqa: E402
 from salesmart.session import build_session  # noqa: E402
 
 SF = os.environ.get("PLAN_SF_DIR", "/root/testdata/sf0.01")
-# Queries that run jobs when called, before the returned plan: table writes
-# (copy_table, csv_combine), bucket sizing (key_batches), percentile refinement
-# (summary_table), key audits (change-log and SCD2 queries) and the count check
-# of the SCD2 version table.
+# Queries that run jobs when called, before the returned plan: table writes,
+# landed key ranges (key_batches) and percentile refinement (summary_table).
 SIDE_EFFECTS = {
-    "copy_table", "csv_combine", "key_batches", "summary_table",
-    "as_of_version", "as_of_timestamp", "table_history", "restore_version", "version_diff",
-    "scd2_dimension", "scd2_asof_join", "scd2_unmatched_facts",
+    "copy_table", "create_table", "overwrite_table", "overwrite_path", "typed_create", "csv_combine", "scd2_fact_load",
+    "key_batches", "summary_table",
 }
 
 
@@ -46,8 +43,9 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    catalog.load_all()
     rows = []
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(catalog.QUERIES.items()):
         text = plan_text(fn(spark, SF))
         tree = text.split("\n\n")[0]
         rows.append(
@@ -70,12 +68,11 @@ def main() -> None:
         "# Physical plans",
         "",
         "Generated by `tools/plan_report.py` on sf0.01. Broadcasts from static size estimates are off (as in",
-        "the session settings); the broadcasts listed are the explicit ones of bounded relations (region,",
-        "nation, inline code tables, the count-checked SCD2 version table). AQE may still turn a sort-merge",
-        "join into a broadcast at runtime when a side's measured shuffle output is small. 'Shuffles' counts",
+        "the session settings); the one broadcast listed is that of an inline code table. AQE may still turn",
+        "a sort-merge join into a broadcast at runtime when a side's measured shuffle output is small. 'Shuffles' counts",
         "hash and range exchanges before AQE re-planning; each aggregate's partial step runs map-side.",
-        "Queries that run small jobs when called (table writes, bucket sizing, percentile refinement, key",
-        f"audits, count checks): {', '.join(sorted(SIDE_EFFECTS))}.",
+        "Queries that run jobs when called (table writes, landed key ranges, percentile refinement):",
+        f"{', '.join(sorted(SIDE_EFFECTS))}.",
         "",
         head,
         "| " + " | ".join(["---"] * 10) + " |",
