@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from salesmart.llm.common import land, shuffle_width
 from salesmart.llm.pieces import PieceIds
 
 FAN_IN = 32
-PIECE = "array<struct<start: bigint, length: bigint, ids_crc32: bigint>>"
+_OUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -82,25 +82,27 @@ def _tokenizer(path: str, pattern: str) -> _Tokenizer:
     return _TOKENIZERS[path, pattern]
 
 
-def cut_udf(path: str, pattern: str, end_id: int, capacity: int, slack: int):
-    """Column function: text to its pieces (start, length, CRC-32 of the ids)."""
+def cut_rows(path: str, pattern: str, end_id: int, capacity: int, slack: int):
+    """Rows (doc_id, text) to the rows of their pieces, with the CRC-32 of each piece's ids."""
 
-    @arrow_udf(PIECE)
-    def pieces(texts: pa.Array) -> pa.Array:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _tokenizer(path, pattern)
         end = np.array([end_id], "<u4").tobytes()
-        ends, starts, lengths, sums = [0], [], [], []
-        for t in texts:
-            ids = memoryview(own.packed(t.as_py() or "") + end)
-            at = 0
-            for n in cut(len(ids) // 4, capacity, slack):
-                starts.append(at)
-                lengths.append(n)
-                sums.append(zlib.crc32(ids[4 * at : 4 * (at + n)]))
-                at += n
-            ends.append(len(starts))
-        row = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in (starts, lengths, sums)], ["start", "length", "ids_crc32"])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), row)
+        for batch in batches:
+            of, starts, lengths, sums, totals = [], [], [], [], []
+            for k, t in enumerate(batch.column(1)):
+                ids = memoryview(own.packed(t.as_py() or "") + end)
+                total = len(ids) // 4
+                at = 0
+                for n in cut(total, capacity, slack):
+                    of.append(k)
+                    starts.append(at)
+                    lengths.append(n)
+                    sums.append(zlib.crc32(ids[4 * at : 4 * (at + n)]))
+                    totals.append(total)
+                    at += n
+            numbers = [pa.array(c, pa.int64()) for c in (starts, lengths, sums, totals)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *numbers], _OUT)
 
     return pieces
 
@@ -136,9 +138,6 @@ def fill_classes(capacity: int, level: int, worker_bits: int):
     return fill
 
 
-_OUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-
-
 def _numbered(table: pa.Table, nth_bin: np.ndarray, first: np.ndarray, level: int, worker_bits: int, numbered: int) -> Iterator[pa.RecordBatch]:
     if not table.num_rows:
         return
@@ -198,11 +197,9 @@ def harmonic_pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id"
     """
     spark = df.sparkSession
     slack = capacity // 64 if slack is None else slack
-    cut_text = cut_udf(path, pattern, end_id, capacity, slack)
+    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     # Landed: every later round works on these small rows, not on the texts.
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), cut_text(F.col(text_col)).alias("p"))
-    total = F.aggregate("p", F.lit(0).cast("bigint"), lambda s, x: s + x["length"])
-    pieces = land(rows.select("doc_id", total.alias("doc_tokens"), F.explode("p").alias("p")).select("doc_id", "p.*", "doc_tokens"), "pieces")
+    pieces = land(rows.mapInArrow(cut_rows(path, pattern, end_id, capacity, slack), PIECE), "pieces")
 
     workers, level, placed = shuffle_width(spark), 0, []
     worker_bits = max(1, (workers - 1).bit_length())
