@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -234,34 +235,27 @@ def format_chats(
     borders = _borders([c.asDict() for c in cells], costs)
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        first = True
+        begun = next((b for b in batches if b.num_rows), None)
+        if begun is None:
+            return
+        types = [begun.schema.field(n).type for n in ("conv", "turn", "role")] + [pa.string()] * len(_OUT_NAMES)
 
-        def done(conversation, is_first, is_last):
-            key, turns = conversation
+        def done(turns: list[tuple], is_first: bool, is_last: bool) -> pa.RecordBatch:
             here = borders.get(turns[0][4], {})
-            entry, goes_on = START, None
-            if is_first and "first" in here:
-                entry, goes_on = here["first"]
-            if is_last and "last" in here:
-                entry_, goes_on = here["last"]
-                entry = entry if is_first else entry_
-            shown = render([(t[2], t[3]) for t in turns], entry, goes_on, goes_on is None, part, costs, template)
+            entry, exit_ = here.get("first" if is_first else "last", (START, None)) if is_first or is_last else (START, None)
+            if is_first and is_last and "last" in here:
+                exit_ = here["last"][1]
+            shown = render([(t[2], t[3]) for t in turns], entry, exit_, exit_ is None, part, costs, template)
             fields = [*zip(*((t[0], t[1], t[2]) for t in turns), strict=True), *zip(*shown, strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(fields, types, strict=True)], ["conv", "turn", "role", *_OUT_NAMES])
 
-        types = None
-        for batch in _peek(batches):
-            if types is None:
-                types = [batch.schema.field(n).type for n in ("conv", "turn", "role")] + [pa.string()] * len(_OUT_NAMES)
-                stream = _conversations(_chain(batch, batches), ["conv", "turn", "role", "text", "part"])
-                for conversation in stream:
-                    if held is not None:
-                        yield done(held, first, False)
-                        first = False
-                    held = conversation
-        if held is not None:
-            yield done(held, first, True)
+        held, first = None, True
+        for _, turns in _conversations(chain([begun], batches), ["conv", "turn", "role", "text", "part"]):
+            if held is not None:
+                yield done(held, first, False)
+                first = False
+            held = turns
+        yield done(held, first, True)
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = f"conv {kinds['conv']}, turn {kinds['turn']}, role {kinds['role']}, {OUT}"
@@ -269,19 +263,6 @@ def format_chats(
     return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), *_OUT_NAMES)
 
 
-def _peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first batch that has rows."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch
-            return
-
-
-def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield first
-    yield from rest
-
-
 def _borders(cells: list[dict], costs: Costs) -> dict[int, dict[str, tuple[int, int | None]]]:
     """By partition: (state before, state after or None at the end) of its first and its last conversation,
     for conversations that span partitions."""

@@ -45,6 +45,8 @@ OTHER = re.compile(
     r"|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|breadcrumbs?|menu"
     r"|nav|navbar|navigation|sidebar|footer|masthead|comments?|commentlist|respond|replies|disqus|widget|toolbar|pagination)(?:$|[^a-z])"
 ).search
+# Names that tell what an element has beside it, not what it is ("no-sidebar").
+_ABOUT = re.compile(r"(?:no|has|with|without|is)-").match
 # An open element of the first kind ends when one of the second begins inside it.
 _ENDS_BEFORE = {
     "p": BLOCK,
@@ -57,10 +59,13 @@ _ENDS_BEFORE = {
     "option": frozenset(["option"]),
 }
 _SCOPES = frozenset("html body article section main div table ul ol dl td th blockquote nav header footer aside form".split())
+# Attributes up to the end of a tag.  A quoted value may be of any length, with "<" in it up to
+# a bound, so that a quote never closed costs no scan of the whole page for every tag.
+_ATTRIBUTES = r"""(?:[^<>"']++|"(?:[^"<]*+"|[^"]{0,4096}+")|'(?:[^'<]*+'|[^']{0,4096}+')|["'])*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(script|style|noscript|textarea|template|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>"
+    rf"|<(script|style|noscript|textarea|template|iframe|svg)\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRIBUTES})>",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -110,7 +115,8 @@ def walk(page: str):
             own = "main" in names or name in ("article", "main")
             # A header inside the article is the article's own; so are names on the page's frame.
             out = above.out or name in DROPPED or (name == "header" and not above.main)
-            out = out or (name not in ("html", "body") and not own and OTHER(" ".join(names)) is not None)
+            said = " ".join(n for n in names if not _ABOUT(n))
+            out = out or (name not in ("html", "body") and not own and OTHER(said) is not None)
             token = ".".join([name, *sorted(_DIGITS.sub("N", n) for n in names)])
             path = f"{above.path}/{token}" if len(stack) <= DEPTH else above.path
             stack.append(_Element(name, path, out, above.main or own))

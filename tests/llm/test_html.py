@@ -51,7 +51,8 @@ def test_host_without_article_elements(spark):
         (None, ""), ("", ""), ("   ", ""), ("plain & text", "plain & text"), ("<p>a<p>b", "a\nb"), ("<p>a <!-- x <p>", "a"), ("<script>x", ""),
         ("<article>a<nav>b</nav>c</article>d", "a\nc"), ("<article>one</article><article>two</article>", "one\ntwo"),
         ("<div class='ad'>x</div>y", "y"), ("</div></p>z", "z"), ("<main><header>h</header>m</main>", "h\nm"), ("<b>x", "x"),
-        ('<p title="a>b">q</p>', "q"), ("<td>1<td>2", "1\n2"), ("&#x41;&lt;b&gt;", "A<b>"), ("<div>" * 3000 + "deep", "deep"),
+        ('<p title="a>b">q</p>', "q"), ('<p title="a<b>">q</p>', "q"), ("<p title=it's>q</p>r", "q\nr"), ('<div class="content no-sidebar">c</div>', "c"),
+        ("a < b <c", "a < b <c"), ('<img src="data:' + "x" * 90_000 + '">i', "i"), ("<td>1<td>2", "1\n2"), ("&#x41;&lt;b&gt;", "A<b>"), ("<div>" * 3000 + "deep", "deep"),
     ],
 )
 def test_single_pages(page, text):
@@ -69,3 +70,13 @@ def test_identical_pages_keep_their_text(spark):
     page = "<html><body><nav>n</nav><article><h1>h</h1><p>same</p></article></body></html>"
     out = h.extract_main(spark.createDataFrame([(i, "http://h/x", page) for i in range(30)], "page_id int, url string, html string")).collect()
     assert {r["text"] for r in out} == {"h\nsame"}
+
+
+@pytest.mark.parametrize("piece", ['<a title="', "<a ", "<!", "<p class='x", "<script", "<b c=\"d\" e='"])
+def test_broken_markup_takes_linear_time(piece):
+    """Twenty thousand broken tags: a scan to the end for each would take minutes."""
+    import time
+
+    began = time.process_time()
+    h.main_text(piece * 20_000, None)
+    assert time.process_time() - began < 20
