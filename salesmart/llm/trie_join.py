@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.common import shuffle_width
+
 FRONTIER = 1 << 18  # node pairs handled at once
 LEAF = 8  # node pairs of at most so many value pairs are compared directly
 
@@ -173,5 +175,7 @@ def near_edges(values: DataFrame, column: str, bits: int, budget: int) -> DataFr
         child = np.flatnonzero(label != np.arange(len(v)))
         return pa.table({"u": pa.array(v[child].view(np.int64)), "v": pa.array(v[label[child]].view(np.int64))})
 
-    dealt = values.select(F.col(column).cast("bigint")).mapInArrow(deal, "home int, packed binary")
+    # In value order a subtree is packed by one task, or by a few where it is large.
+    ordered = values.select(F.col(column).cast("bigint").alias("v")).repartitionByRange(shuffle_width(values.sparkSession), "v").sortWithinPartitions("v")
+    dealt = ordered.mapInArrow(deal, "home int, packed binary")
     return dealt.groupBy("home").applyInArrow(join, "u bigint, v bigint")
