@@ -23,6 +23,8 @@ Spark's own ``summary`` behaviour) instead.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -74,44 +76,58 @@ def _bucket(x: Column, lo, hi, kind: T.DataType, buckets: int) -> Column:
         return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
     # Exact for integers and decimals: whole units of the last digit, no rounding.
     unit = 10 ** getattr(kind, "scale", 0)
-    span = int(hi * unit) - int(lo * unit)
+    step = -(-(int(hi * unit) - int(lo * unit) + 1) // buckets)
+    if isinstance(kind, T.IntegralType) and hi - lo < 2**62:
+        place = x.cast("bigint") - F.lit(lo)
+        return ((place - place % F.lit(step)) / F.lit(step)).cast("int")  # a multiple of the step: exact
     place = (x.cast(T.DecimalType(38, getattr(kind, "scale", 0))) - F.lit(lo)) * F.lit(unit)
-    step = -(-(span + 1) // buckets)
     return F.floor(place.cast("decimal(38,0)") / F.lit(step).cast("decimal(38,0)")).cast("int")
 
 
-def column_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 4096) -> dict:
-    """``{p: value}`` of one numeric column, in its own type; None where it has no value."""
-    kind = df.schema[column].dataType
+@dataclass(frozen=True)
+class _Range:
+    """The finite values of a column: how many, least and largest; the others by value."""
+
+    n: int
+    lo: object
+    hi: object
+    specials: dict
+
+
+def _ranges(df: DataFrame, cols: list[str]) -> dict[str, _Range]:
+    """All columns in one aggregate pass."""
+    inf, aggs = float("inf"), []
+    for i, c in enumerate(cols):
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, _FLOATS):
+            tests = (x == -inf, x == inf, F.isnan(x))
+            aggs += [F.count_if(t).alias(f"c{i}_{k}") for k, t in enumerate(tests)]
+            x = F.when(~(F.isnan(x) | (F.abs(x) == inf)), x)
+        aggs += [F.count(x).alias(f"c{i}_n"), F.min(x).alias(f"c{i}_lo"), F.max(x).alias(f"c{i}_hi")]
+    row = df.agg(*aggs).first().asDict() if aggs else {}
+    out = {}
+    for i, c in enumerate(cols):
+        specials = {v: row.get(f"c{i}_{k}", 0) for k, v in enumerate((-inf, inf, math.nan))}
+        out[c] = _Range(row[f"c{i}_n"], row[f"c{i}_lo"], row[f"c{i}_hi"], specials)
+    return out
+
+
+def _narrow(df: DataFrame, column: str, probs: list[float], found: _Range, buckets: int) -> dict:
+    """``{p: value}`` of one column by narrowing value windows."""
+    inf, kind = float("inf"), df.schema[column].dataType
+    below, above, nans = (found.specials[v] for v in found.specials)
+    n = below + found.n + above + nans
     x = F.col("__x")
-    values = df.select(F.col(column).alias("__x")).where(x.isNotNull())
-    specials: dict = {}
-    if isinstance(kind, _FLOATS):
-        inf = float("inf")
-        tests = {-inf: x == -inf, inf: x == inf, math.nan: F.isnan(x)}
-        finite = ~(F.isnan(x) | (F.abs(x) == inf))
-        row = values.agg(
-            *[F.count_if(t).alias(f"s{i}") for i, t in enumerate(tests.values())],
-            F.count_if(finite).alias("n"),
-            F.min(F.when(finite, x)).alias("lo"),
-            F.max(F.when(finite, x)).alias("hi"),
-        ).first()
-        specials = {v: row[f"s{i}"] for i, v in enumerate(tests)}
-        values = values.where(finite)
-    else:
-        row = values.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    n = row["n"] + sum(specials.values())
-    below = specials.get(-float("inf"), 0)
     answers: dict = dict.fromkeys(probs)
     windows: dict = {}  # p -> (lo, hi, values below lo, rank)
     for p in probs if n else []:
         rank = disc_rank(n, p)
         if rank <= below:
-            answers[p] = -float("inf")
-        elif rank <= below + row["n"]:
-            windows[p] = (row["lo"], row["hi"], below, rank)
+            answers[p] = -inf
+        elif rank <= below + found.n:
+            windows[p] = (found.lo, found.hi, below, rank)
         else:
-            answers[p] = float("inf") if rank <= below + row["n"] + specials[float("inf")] else math.nan
+            answers[p] = inf if rank <= below + found.n + above else math.nan
     while True:
         for p in [p for p, w in windows.items() if w[0] == w[1]]:
             answers[p] = windows.pop(p)[0]
@@ -125,8 +141,9 @@ def column_quantiles(df: DataFrame, column: str, probs: list[float], buckets: in
             which = F.when(inside, i).otherwise(which)
             bucket = F.when(inside, _bucket(x, lo, hi, kind, buckets)).otherwise(bucket)
         # The outer bounds reach the scan as a range filter.
-        found = values.where(x.between(F.lit(ranges[0][0]), F.lit(ranges[-1][1]))).select(x, which.alias("w"), bucket.alias("b"))
-        counts = found.where("w is not null").groupBy("w", "b").agg(F.count(F.lit(1)).alias("m"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+        values = df.select(F.col(column).alias("__x")).where(x.between(F.lit(ranges[0][0]), F.lit(ranges[-1][1])))
+        cells = values.select(x, which.alias("w"), bucket.alias("b")).where("w is not null")
+        counts = cells.groupBy("w", "b").agg(F.count(F.lit(1)).alias("m"), F.min(x).alias("lo"), F.max(x).alias("hi"))
         histogram = sorted(counts.collect(), key=lambda r: (r["w"], r["b"]))
         for p, (lo, hi, before, rank) in windows.items():
             for r in histogram:
@@ -140,9 +157,21 @@ def column_quantiles(df: DataFrame, column: str, probs: list[float], buckets: in
                 raise RuntimeError(f"rank {rank} of {column} not found")
 
 
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 4096) -> dict[str, dict]:
+    """``{column: {p: value}}`` of numeric columns, each in its own type; None where it has no value.
+
+    The columns are narrowed side by side: their scans are jobs of their own.
+    """
+    found = _ranges(df, cols)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        answers = pool.map(lambda c: _narrow(df, c, probs, found[c], buckets), cols)
+        return dict(zip(cols, answers))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 4096) -> DataFrame:
     """``(column_name, p, value)``: exact discrete percentiles as doubles (see ``column_quantiles`` for own types)."""
-    rows = [(c, float(p), None if v is None else float(v)) for c in cols for p, v in column_quantiles(df, c, probs, buckets).items()]
+    found = column_quantiles(df, cols, probs, buckets)
+    rows = [(c, float(p), None if v is None else float(v)) for c in cols for p, v in found[c].items()]
     return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
 
 
@@ -159,7 +188,7 @@ def summary_long(
     names = [f"p{round(p * 100)}" for p in probs]
     numbers = [c for c in cols if is_numeric(df, c)]
     if exact:
-        found = {c: column_quantiles(df, c, list(probs), buckets) for c in numbers}
+        found = column_quantiles(df, numbers, list(probs), buckets)
         rows = [(c, *[None if found[c][p] is None else float(found[c][p]) for p in probs]) for c in numbers]
         schema = ", ".join(["column_name string", *[f"{n} double" for n in names]])
         pivot = df.sparkSession.createDataFrame(rows, schema)

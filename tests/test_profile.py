@@ -38,8 +38,8 @@ def test_own_types_are_exact(spark):
     cents = [Decimal("0.01"), Decimal("0.02"), Decimal("12345678901234567.89"), Decimal("-1.10"), Decimal("0.02")]
     df = spark.createDataFrame(list(zip(big, cents)), "a bigint, b decimal(38,2)")
     for p in PROBS:
-        assert column_quantiles(df, "a", [p])[p] == brute(big, p)
-        assert column_quantiles(df, "b", [p], buckets=3)[p] == brute(cents, p)
+        assert column_quantiles(df, ["a"], [p])["a"][p] == brute(big, p)
+        assert column_quantiles(df, ["b"], [p], buckets=3)["b"][p] == brute(cents, p)
 
 
 def test_nan_and_infinities_are_ranked_and_little_is_collected(spark, monkeypatch):
@@ -51,7 +51,7 @@ def test_nan_and_infinities_are_ranked_and_little_is_collected(spark, monkeypatc
     seen = []
     collect = DataFrame.collect
     monkeypatch.setattr(DataFrame, "collect", lambda self: (seen.append(collect(self)), seen[-1])[1])
-    got = column_quantiles(df, "x", [0.0001, 0.5, 0.9996, 1.0], buckets=16)
+    got = column_quantiles(df, ["x"], [0.0001, 0.5, 0.9996, 1.0], buckets=16)["x"]
     want = [brute(values, p) for p in got]
     assert all(a == b or (a != a and b != b) for a, b in zip(got.values(), want))
     assert max(map(len, seen)) <= 4 * 16
