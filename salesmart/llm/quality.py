@@ -112,12 +112,12 @@ def judge(text: str | None, limits: Limits) -> tuple:
     failed = len(words) < limits.min_words or 100 * repeats > limits.max_repeated_percent * len(words)
     keep = not failed and 100 * lost <= limits.max_lost_percent * total
     chars = sum(map(len, words)) if raw.isascii() else len(b"".join(words).decode("utf-8"))
-    clean = text if not removed else "\n".join(kept_lines)
+    clean = "\n".join(kept_lines) if removed else None
     return len(words), chars, n_symbols, dups, repeats, failed, keep, removed, lost, clean
 
 
 def judge_udf(limits: Limits, with_text: bool):
-    """Column function: text to ``JUDGED`` (``clean_text`` null unless ``with_text``)."""
+    """Column function: text to ``JUDGED`` (``clean_text`` null unless ``with_text`` and lines were removed)."""
 
     @arrow_udf(JUDGED)
     def judged(texts: pa.Array) -> pa.Array:
@@ -147,7 +147,9 @@ def quality_filter(df: DataFrame, text_col: str = "text", limits: Limits = Limit
     ``length_col``, where given, is set to the length of a text that changed.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.select(whole.alias("_row"), judge_udf(limits, with_text=True)(F.col(text_col)).alias("_judged")).where("_judged.kept")
+    # Else the filter would be pushed below, and every text judged twice.
+    judged = judge_udf(limits, with_text=True).asNondeterministic()
+    rows = df.select(whole.alias("_row"), judged(F.col(text_col)).alias("_judged")).where("_judged.kept")
     return replaced(rows, df, text_col, F.col("_judged.clean_text"), F.col("_judged.n_removed_lines") > 0, length_col)
 
 

@@ -1,5 +1,3 @@
-import zlib
-
 import corpus_pipeline
 import duckdb
 import pytest
@@ -41,11 +39,11 @@ def test_stages_against_brute_force(spark):
 
     kept = stages["quality_rules"](spark, docs, SF)
     assert kept.schema == docs.schema
-    want = {i: j[-1] for i, t in before.items() if (j := quality.judge(t, quality.Limits()))[6]}
+    want = {i: t if j[-1] is None else j[-1] for i, t in before.items() if (j := quality.judge(t, quality.Limits()))[6]}
     after = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert after == want
 
-    rows = [(i, *[None] * 0, t) for i, t in after.items()]
+    rows = list(after.items())
     frame = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in rows], docs.schema)
     unique = stages["exact_dedup"](spark, frame, SF)
     assert unique.columns == columns
@@ -67,7 +65,6 @@ def test_stages_against_brute_force(spark):
         total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
     assert set(total) == set(after)
     assert all(total[r["doc_id"]] == r["doc_tokens"] for r in packed)
-    assert zlib.crc32(b"") == 0
 
 
 def test_whole_run(spark):
@@ -85,3 +82,11 @@ def test_stages_on_edge_rows(spark, edge, empty):
                 assert out.schema == docs.schema, name
                 docs = out
             out.collect()
+
+
+def test_each_text_goes_through_python_once_per_pass(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality_rules", "secret_scan"):
+        plan = stages[name](spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [") + plan.count("ArrowEvalPython(") == 1 or plan.count("ArrowEvalPython") == 1, name
