@@ -13,7 +13,6 @@ prediction included, covers every word of every text.
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +41,7 @@ class Training:
     share: float = 0.8  # of a word's uses that a lexicon's language must have
     span: int = 24  # words per training sequence
     switched: float = 0.3  # of the sequences change language inside
-    words: int = 1500  # training words per text, drawn as whole spans
+    words: int = 600  # training words per text, drawn as whole spans
     epochs: int = 4
     batch: int = 128
     rate: float = 0.2
@@ -53,26 +52,43 @@ class Training:
 @dataclass
 class Crf:
     languages: list[str]
-    weight: np.ndarray  # (buckets, languages)
+    weight: np.ndarray  # (buckets + languages, languages): hashed features, then lexicon membership
     step: np.ndarray  # (languages, languages): from, to
     start: np.ndarray
     lexicon: dict[str, int]  # word -> language number
 
-    def features(self, word: str) -> list[int]:
-        return word_features(word, self.weight.shape[0], self.lexicon)
-
-
-def word_features(word: str, buckets: int, lexicon: dict[str, int]) -> list[int]:
-    """Hashed features of a word: affixes of 1 to 3 letters, n-grams of 2 and 3, the word, its lexicon."""
-    w = word.lower()
-    names = [f"p{w[:n]}" for n in (1, 2, 3)] + [f"s{w[-n:]}" for n in (1, 2, 3)]
-    names += [w[i : i + n] for n in (2, 3) for i in range(min(len(w), 64) - n + 1)]
-    if len(w) > 64:  # the n-grams of a very long word are taken at both ends
-        names += [w[-64:][i : i + 3] for i in range(62)]
-    names.append(f"w{w[:64]}")
-    if w in lexicon:
-        names.append(f"l{lexicon[w]}")
-    return [zlib.crc32(x.encode("utf-8", "replace")) % buckets for x in names]
+    def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return word_features(words, len(self.weight) - len(self.languages), self.lexicon)
+
+
+def word_features(words: list[str], buckets: int, lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers, where each word's begin): n-grams of 2 and 3 letters of the word between two marks,
+    which include the affixes of 1 and 2, the affixes of 3 and, last, the lexicon that has the word."""
+    lowered = [w.lower() for w in words]
+    text = "".join([f"\x02{w}\x03" for w in lowered])
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    of = np.cumsum(code == 2) - 1
+    ids, owners = [], []
+    for n in (2, 3, 4):
+        if len(code) < n:
+            continue
+        at = np.arange(len(code) - n + 1)
+        whole = of[at] == of[at + n - 1]
+        if n == 4:
+            whole &= (code[at] == 2) | (code[at + 3] == 3)
+        at = at[whole]
+        h = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + code[at + k]
+        h ^= h >> np.uint64(29)
+        ids.append(((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.int64) % buckets)
+        owners.append(of[at])
+    known = [(k, buckets + lexicon[w]) for k, w in enumerate(lowered) if w in lexicon]
+    ids.append(np.array([f for _, f in known], np.int64))
+    owners.append(np.array([k for k, _ in known], np.int64))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(ids)[order], np.searchsorted(owner[order], np.arange(len(words)))
 
 
 def training_rows(df: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, sample: Sample) -> list[tuple[str, str]]:
@@ -105,7 +121,7 @@ def train(rows: list[tuple[str, str]], how: Training = Training()) -> Crf:
     for i in range(len(languages)):
         own = sorted((w for w, c in counts.items() if c[i] >= 3 and c[i] >= how.share * c.sum()), key=lambda w: (-counts[w][i], w))
         lexicon.update(dict.fromkeys(own[: how.lexicon], i))
-    crf = Crf(languages, np.zeros((how.buckets, len(languages))), np.zeros((len(languages),) * 2), np.zeros(len(languages)), lexicon)
+    crf = Crf(languages, np.zeros((how.buckets + len(languages), len(languages))), np.zeros((len(languages),) * 2), np.zeros(len(languages)), lexicon)
     if not spans:
         return crf
     # Sequences: a span, or the halves of two spans.
@@ -119,7 +135,9 @@ def train(rows: list[tuple[str, str]], how: Training = Training()) -> Crf:
         else:
             sequences.append((words, [lang] * len(words)))
     sequences = [s for s in sequences if s[0]]
-    features = {w: crf.features(w) for w in {w for words, _ in sequences for w in words}}
+    numbers = {w: i for i, w in enumerate(sorted({w for words, _ in sequences for w in words}))}
+    features = crf.features(list(numbers))
+    sequences = [([numbers[w] for w in words], labels) for words, labels in sequences]
     squares = [np.full_like(a, 1e-8) for a in (crf.weight, crf.step, crf.start)]
     for _ in range(how.epochs):
         order = rng.permutation(len(sequences))
@@ -128,12 +146,14 @@ def train(rows: list[tuple[str, str]], how: Training = Training()) -> Crf:
     return crf
 
 
-def _fit(crf: Crf, batch: list, features: dict[str, list[int]], squares: list[np.ndarray], how: Training) -> None:
+def _fit(crf: Crf, batch: list, features: tuple[np.ndarray, np.ndarray], squares: list[np.ndarray], how: Training) -> None:
     """One AdaGrad step on the log-likelihood of a batch."""
     size, most, n = len(batch), max(len(w) for w, _ in batch), len(crf.languages)
-    flat = [features[w] for words, _ in batch for w in words]
-    ids = np.fromiter((f for fs in flat for f in fs), np.int64)
-    of = np.repeat(np.arange(len(flat)), [len(f) for f in flat])
+    flat = np.array([w for words, _ in batch for w in words])
+    begin = features[1][flat]
+    count = np.append(features[1], len(features[0]))[flat + 1] - begin
+    of = np.repeat(np.arange(len(flat)), count)
+    ids = features[0][np.repeat(begin - np.cumsum(count) + count, count) + np.arange(len(of))]
     scores = np.zeros((len(flat), n))
     np.add.at(scores, of, crf.weight[ids])
     lengths = np.array([len(w) for w, _ in batch])
@@ -157,20 +177,22 @@ def _fit(crf: Crf, batch: list, features: dict[str, list[int]], squares: list[np
         value += how.rate * grad / np.sqrt(square)
 
 
-def posteriors(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray, pairs: bool = False):
-    """Forward-backward over sequences (sequence, word, label) of scores, sorted or not.
+def posteriors(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray, pairs: bool = False, sums: bool = False):
+    """Forward-backward over sequences (sequence, word, label) of scores.
 
-    Returns each word's label distribution (0 beyond a sequence's end) and, if
-    asked, the expected number of label pairs.
+    Returns each word's label distribution (0 beyond a sequence's end) or, with
+    ``sums``, their sum over each sequence, and, if asked, the expected number of
+    label pairs.
     """
     size, most, n = emit.shape
-    e = np.exp(emit - emit.max(axis=2, keepdims=True))
-    move = np.exp(step - step.max())
     order = np.argsort(-lengths, kind="stable")
-    e, long = e[order], lengths[order]
+    e, long = emit[order], lengths[order]
+    e -= e.max(axis=2, keepdims=True)
+    np.exp(e, out=e)
+    move = np.exp(step - step.max()).astype(e.dtype)
     live = np.searchsorted(-long, -np.arange(most), side="left")  # sequences longer than t
-    ahead = np.zeros((size, most, n))
-    now = e[:, 0] * np.exp(start - start.max())
+    ahead = np.zeros_like(e)
+    now = e[:, 0] * np.exp(start - start.max()).astype(e.dtype)
     now /= now.sum(axis=1, keepdims=True)
     ahead[:, 0] = now
     for t in range(1, most):
@@ -178,9 +200,9 @@ def posteriors(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: n
         now = (now[:k] @ move) * e[:k, t]
         now /= now.sum(axis=1, keepdims=True)
         ahead[:k, t] = now
-    marginal = np.zeros((size, most, n))
+    result = np.zeros((size, n) if sums else (size, most, n))
     total = np.zeros((n, n))
-    back = np.ones((size, n))
+    back = np.ones((size, n), e.dtype)
     for t in range(most - 1, -1, -1):
         k = live[t]
         if t + 1 < most and live[t + 1]:
@@ -192,10 +214,30 @@ def posteriors(emit: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: n
             came = after @ move.T
             back[:m] = came / came.sum(axis=1, keepdims=True)
         both = ahead[:k, t] * back[:k]
-        marginal[:k, t] = both / both.sum(axis=1, keepdims=True)
-    result = np.zeros_like(marginal)
-    result[order] = marginal
-    return result, total
+        both /= both.sum(axis=1, keepdims=True)
+        if sums:
+            result[:k] += both
+        else:
+            result[:k, t] = both
+    unsorted = np.empty_like(result)
+    unsorted[order] = result
+    return unsorted, total
+
+
+class _Numbers(dict):
+    """Numbers of words in the order they are first seen; ``new`` lists those without a score."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+CELLS = 1 << 20  # words of one forward-backward run
 
 
 class Tagger:
@@ -206,35 +248,32 @@ class Tagger:
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[str, int] = {}
+        self._numbers = _Numbers()
         self._scores = np.zeros((1024, len(self.crf.languages)), np.float32)
 
-    def _lookup(self, words: list[str]) -> np.ndarray:
-        number = self._number
-        new = [w for w in dict.fromkeys(words) if w not in number]
-        if len(number) + len(new) > self.known and number:
+    def word_scores(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The scores of the words of each text, by language."""
+        numbered = [np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words)) for words in texts]
+        new, self._numbers.new = self._numbers.new, []
+        first = len(self._numbers) - len(new)
+        if len(self._numbers) > len(self._scores):
+            self._scores = np.resize(self._scores, (2 * len(self._numbers), self._scores.shape[1]))
+        for at in range(0, len(new), 50_000):
+            part = new[at : at + 50_000]
+            ids, begin = self.crf.features(part)
+            self._scores[first + at : first + at + len(part)] = np.add.reduceat(self.crf.weight[ids], begin, axis=0)
+        scores = [self._scores[numbers] for numbers in numbered]
+        if len(self._numbers) > self.known:
             self._forget()
-            number = self._number
-            new = list(dict.fromkeys(words))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            lists = [self.crf.features(w) for w in part]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            ids = np.fromiter((f for fs in lists for f in fs), np.int64, int(sizes.sum()))
-            sums = np.add.reduceat(self.crf.weight[ids], np.cumsum(sizes) - sizes, axis=0)
-            base = len(number)
-            if base + len(part) > len(self._scores):
-                self._scores = np.resize(self._scores, (2 * (base + len(part)), self._scores.shape[1]))
-            self._scores[base : base + len(part)] = sums
-            number.update(zip(part, range(base, base + len(part)), strict=True))
-        return self._scores[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
+        return scores
 
     def mean_labels(self, texts: list[str]) -> list[np.ndarray | None]:
         """The mean label distribution of each text; None where there is no word or nothing was learned."""
         out: list[np.ndarray | None] = [None] * len(texts)
         if not self.crf.languages:
             return out
-        scored = [(i, self._lookup(words)) for i, t in enumerate(texts) if (words := WORDS(t))]
+        worded = [(i, words) for i, t in enumerate(texts) if (words := WORDS(t))]
+        scored = [(i, s) for (i, _), s in zip(worded, self.word_scores([w for _, w in worded]), strict=True)]
         scored.sort(key=lambda x: len(x[1]))
         at = 0
         while at < len(scored):  # texts of similar length go together, within a bounded number of cells
@@ -243,17 +282,16 @@ class Tagger:
                 upto += 1
             part = scored[at:upto]
             lengths = np.array([len(s) for _, s in part])
-            emit = np.zeros((len(part), int(lengths.max()), len(self.crf.languages)))
+            emit = np.zeros((len(part), int(lengths.max()), len(self.crf.languages)), np.float32)
             for row, (_, s) in zip(emit, part, strict=True):
                 row[: len(s)] = s
-            marginal, _ = posteriors(emit, lengths, self.crf.step, self.crf.start)
-            for (i, _), row, n in zip(part, marginal, lengths, strict=True):
-                out[i] = row[:n].sum(axis=0) / n
+            total, _ = posteriors(emit, lengths, self.crf.step, self.crf.start, sums=True)
+            for (i, _), row, n in zip(part, total, lengths, strict=True):
+                out[i] = row / n
             at = upto
         return out
 
 
-CELLS = 1 << 18  # words of one forward-backward run
 _TAGGERS: dict[str, Tagger] = {}  # the model in use, one per Python worker
 
 
@@ -269,8 +307,8 @@ def predict_udf(spark, crf: Crf):
             _TAGGERS[name] = Tagger(shared.value)
         tagger = _TAGGERS[name]
         labels, scores = [], []
-        for at in range(0, len(texts), 256):
-            for mean in tagger.mean_labels([t.as_py() or "" for t in texts[at : at + 256]]):
+        for at in range(0, len(texts), 4096):
+            for mean in tagger.mean_labels([t.as_py() or "" for t in texts[at : at + 4096]]):
                 if mean is None:
                     labels.append(UNKNOWN)
                     scores.append(0.0)

@@ -31,6 +31,19 @@ def test_forward_backward():
     for i, n in enumerate(lengths):
         assert np.allclose(got[i, :n], want[i][0]) and not got[i, n:].any()
     assert np.allclose(pairs, sum(p for _, p in want))
+    sums, _ = langid.posteriors(emit.astype(np.float32), lengths, step, start, sums=True)
+    assert np.allclose(sums, got.sum(axis=1), atol=1e-4)
+
+
+def test_features_of_a_word_do_not_depend_on_its_neighbours():
+    words = ["a", "ab", "Straße", "x" * 300, "ab", "中文字"]
+    ids, begin = langid.word_features(words, 1 << 12, {"ab": 1})
+    ends = [*begin[1:], len(ids)]
+    for k, w in enumerate(words):
+        alone, _ = langid.word_features([w], 1 << 12, {"ab": 1})
+        assert ids[begin[k] : ends[k]].tolist() == alone.tolist()
+        marked = len(w) + 2
+        assert len(alone) == (marked - 1) + (marked - 2) + {3: 0, 4: 1}.get(marked, 2) + (w == "ab")
 
 
 def test_held_out_accuracy(spark):
@@ -58,7 +71,7 @@ def test_code_switched_words(spark):
     tagger = langid.Tagger(crf)
     right = total = 0
     for a, b in zip(by["en"], by["de"], strict=False):
-        scores = tagger._lookup(a + b)[None].astype(float)
+        scores = tagger.word_scores([a + b])[0][None].astype(float)
         got = langid.posteriors(scores, np.array([len(a + b)]), crf.step, crf.start)[0][0].argmax(axis=1)
         want = [crf.languages.index("en")] * len(a) + [crf.languages.index("de")] * len(b)
         right += int((got == np.array(want)).sum())
