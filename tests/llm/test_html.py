@@ -80,3 +80,29 @@ def test_broken_markup_takes_linear_time(piece):
     began = time.process_time()
     h.main_text(piece * 20_000, None)
     assert time.process_time() - began < 20
+
+
+def test_repeated_words_of_opaque_elements_are_template(spark):
+    page = """<html><body><div class="q1"><ul><li><a href=/>Home page</a><li><a href=/b>All books</a></ul></div><div class="z9"><div class="k2">
+    <p>The story {w} begins the {i} way.</p><p>Signed by {w}{w}</p></div><div class="k3">All the rights of the owner</div></div>
+    <div class="q8">Written for you by the team</div></body></html>"""
+    names = ["amber", "birch", "cedar", "daisy", "elder", "ferns", "grass", "hazel", "ivory", "jasmin", "kale", "lilac"]
+    rows = [(i, f"http://h.example/{i}", page.format(i=i, w=w)) for i, w in enumerate(names)]
+    rows += [(100 + i, "http://h.example/copy", rows[0][2]) for i in range(5)]  # copies say nothing about the template
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r["page_id"]: r["text"] for r in h.extract_main(df).collect()}
+    for i, _, _ in rows:
+        n = 0 if i >= 100 else i
+        assert got[i] == f"The story {names[n]} begins the {n} way.\nSigned by {names[n]}{names[n]}"
+    words = {(r["path"].rpartition("/")[2], r["word"]): r for r in h.templates(df).collect() if r["word"]}
+    assert words["a", "Home"]["once"] and words["a", "Home"]["class_id"] == words["a", "Home"]["parent"] and ("p", "amber") not in words
+    few = df.where("page_id < 9 or page_id >= 100")  # under ten distinct pages nothing is known of words
+    assert not any(r["word"] for r in h.templates(few).collect())
+
+
+def test_a_task_keeps_the_words_of_all_pages_with_a_path():
+    host = h._Host()
+    for page in ("<p>a b b c</p><i>x</i>", "<p>b a b</p>", "<p>d b</p><p>b a</p>"):
+        host.add(page)
+    assert host.words == {"": set(), "/p": {"a", "b"}, "/i": {"x"}} or host.words == {"": set(), "/p": {"a", "b"}, "/p/i": {"x"}}
+    assert host.paths["/p"][:3] == [1, 3, 4]
