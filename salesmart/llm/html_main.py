@@ -143,7 +143,7 @@ def walk(page: str):
             token = ".".join([name, *sorted(_DIGITS.sub("N", n) for n in names)])
             path = f"{above.path}/{token}" if len(stack) <= DEPTH else above.path
             named = names and name not in ("html", "body") and not own and OTHER(" ".join(n for n in names if not _ABOUT(n)))
-            stack.append(_Element(name, path, out or bool(named), "", above.main or own))
+            stack.append(_Element(name, path, out, path if named else above.other, above.main or own))
             yield "open", stack[-1], ""
         elif name == "br":
             yield "text", stack[-1], " "

@@ -106,3 +106,13 @@ def test_a_task_keeps_the_words_of_all_pages_with_a_path():
         host.add(page)
     assert host.words == {"": set(), "/p": {"a", "b"}, "/i": {"x"}} or host.words == {"": set(), "/p": {"a", "b"}, "/p/i": {"x"}}
     assert host.paths["/p"][:3] == [1, 3, 4]
+
+
+@pytest.mark.parametrize("name", ["layout sidebar-right", "elementor-widget-theme-post-content", "social-science post", "alert-level-3 content"])
+def test_names_around_the_article_do_not_drop_it(spark, name):
+    page = '<body><div class="{c}"><{e}><p>Text {i} of many words.</p><div class="share">Share it</div></{e}></div><div class="related">More {i}</div><p>x</p></body>'
+    for e in ("article", "div"):
+        rows = [(i, f"http://{e}/{i}", page.format(c=name, e=e, i=i)) for i in range(4)]
+        out = h.extract_main(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+        assert {r["text"] for r in out} == {f"Text {i} of many words." for i in range(4)}
+        assert h.main_text(rows[0][2], None) == "Text 0 of many words."
