@@ -71,16 +71,10 @@ _ENDS_BEFORE = {
     "option": frozenset(["option"]),
 }
 _SCOPES = frozenset("html body article section main div table ul ol dl td th blockquote nav header footer aside form".split())
-# Attributes up to the end of a tag.  A quoted value may be of any length, with "<" in it up to
-# a bound, so that a quote never closed costs no scan of the whole page for every tag.
-_ATTRIBUTES = r"""(?:[^<>"']++|"(?:[^"<]*+"|[^"]{0,4096}+")|'(?:[^'<]*+'|[^']{0,4096}+')|["'])*+"""
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>"
-    rf"|<(script|style|noscript|textarea|template|iframe|svg)\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
-    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRIBUTES})>",
-    re.DOTALL | re.IGNORECASE,
-)
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_START = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)", re.DOTALL)
+_RAW = {n: re.compile(rf"</{n}\s*+>", re.IGNORECASE) for n in "script style noscript textarea template iframe svg".split()}
+_STOP = re.compile(r"""[<>]|=\s*+(["'])""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"']++)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|(\S*+)))?+""")
 _DIGITS = re.compile(r"\d+")
 ARTICLE = r"/(article|main)(\.[^/]*)?$"  # paths of article elements
 DEPTH = 100  # elements nested deeper share the path of this depth
@@ -101,9 +95,43 @@ class _Element:
 
 
 def markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
-    """(start, end, name, is an end tag, attributes) of every tag; names are empty for comments and elements of raw text."""
-    for m in _TOKEN.finditer(page):
-        yield m.start(), m.end(), (m.group(3) or "").lower(), bool(m.group(2)), m.group(4) or ""
+    """(start, end, name, is an end tag, attributes) of every tag; names are empty for comments and elements of raw text.
+
+    A quoted value may be of any length and hold anything.  Quotes without an end are plain characters; whether
+    one follows is remembered per kind, as are the values from which no tag ends, so all takes linear time.
+    """
+    at = 0
+    unclosed: set[str] = set()
+    dead: set[int] = set()
+    while m := _START.search(page, at):
+        at = m.end()
+        if m.group(2) is None:
+            yield m.start(), at, "", False, ""
+            continue
+        values, i, end = [], at, -1
+        while stop := _STOP.search(page, i):
+            i, quote = stop.end(), stop.group(1)
+            if quote is None:
+                end = i if stop.group() == ">" else -1
+                break
+            if i in dead:
+                break
+            values.append(i)
+            close = -1 if quote in unclosed else page.find(quote, i)
+            if close < 0:
+                unclosed.add(quote)
+            else:
+                i = close + 1
+        if end < 0:
+            dead.update(values)
+            continue
+        name, attributes = m.group(2).lower(), page[at : end - 1]
+        at = end
+        if name in _RAW and not m.group(1):
+            close = _RAW[name].search(page, end)
+            at = close.end() if close else len(page)
+            name = ""
+        yield m.start(), at, name, bool(m.group(1)), attributes
 
 
 def walk(page: str):
@@ -136,7 +164,7 @@ def walk(page: str):
             above = stack[-1]
             names = []
             if attributes:
-                names = [n for a in _NAMED.findall(attributes) for n in (a[1] or a[2] or a[3]).lower().split()]
+                names = [n for a in _ATTRIBUTE.findall(attributes) if a[0].lower() in ("class", "id", "role") for n in (a[1] or a[2] or a[3]).lower().split()]
             own = "main" in names or name in ("article", "main")
             # A header inside the article is the article's own; so are names on the page's frame.
             out = above.out or name in DROPPED or (name == "header" and not above.main)

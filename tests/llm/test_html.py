@@ -116,3 +116,20 @@ def test_names_around_the_article_do_not_drop_it(spark, name):
         out = h.extract_main(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
         assert {r["text"] for r in out} == {f"Text {i} of many words." for i in range(4)}
         assert h.main_text(rows[0][2], None) == "Text 0 of many words."
+
+
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_quoted_values_of_any_length(quote):
+    value = "<b class=ad>x</b>{y: [1 > 0]} " * 3000
+    assert h.main_text(f"<div data-cfg={quote}{value}{quote} class=c><p>text</p></div>", None) == "text"
+    assert h.main_text(f"<article data-cfg ={quote}{value}{quote}>in</article>out", None) == "in"
+    assert h.main_text("<p title=it's>q</p>" + "r " * 5000 + "don't", None) == "q\n" + "r " * 5000 + "don't"
+
+
+@pytest.mark.parametrize("piece", ["<a b=\"<c d='", "<a x='\"' ", "<a b=\"<c d=\"'", "<a =  ", "<a b='x'"])
+def test_nested_broken_quotes_take_linear_time(piece):
+    import time
+
+    began = time.process_time()
+    h.main_text(piece * 20_000, None)
+    assert time.process_time() - began < 20
