@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and a randomness test battery for other tokens.
 
 Base spans come from three patterns (assigned credentials, access keys, long
-hex runs).  The battery looks at every other token of 16 or more characters
-that has a digit: it infers the smallest encoding whose alphabet holds the
+hex runs).  The battery looks at every other token of 16 or more characters, and
+at its parts between slashes: it infers the smallest encoding whose alphabet holds the
 token, maps the token to symbol values and tests them against uniformly random
 symbols by
 
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from salesmart.llm.common import Cache
 from salesmart.llm.quality import replaced
 
 # The base patterns, their kinds in order and least lengths.
@@ -42,17 +43,23 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 _KEYWORDS = (b"passw", b"secret", b"token", b"api")
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
+PART = re.compile(r"[^/]{16,}")
 # Encodings by alphabet, smallest first; a token takes the first that holds it.
 ALPHABETS = (
+    ("digits", "0123456789"),
     ("hex", "0123456789abcdef"),
     ("HEX", "0123456789ABCDEF"),
+    ("lower", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("lower36", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("upper36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("mixed", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
 _VALUES = [{c: i for i, c in enumerate(a)} for _, a in ALPHABETS]
 LENGTHS = (16, 20, 24, 32, 40, 64, 128)  # a stratum reaches from one bound to the next
@@ -73,21 +80,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-    """(start, end, stratum, p) of the tokens that infer an encoding and overlap no base span."""
+    """(start, end, stratum, p) of the tokens, and of their parts between slashes, that overlap no base span; a token
+    comes before its parts."""
     found = []
     for m in TOKEN.finditer(text):
-        token = m.group()
-        if not any(map(str.isdigit, token)) or not any(map(str.isalpha, token)):
-            continue
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        kind = next((k for k, v in enumerate(_VALUES) if all(c in v for c in token)), None)
-        if kind is not None:
-            stratum = kind * len(LENGTHS) + bisect_right(LENGTHS, len(token)) - 1
-            found.append((m.start(), m.end(), stratum, randomness_p([_VALUES[kind][c] for c in token], len(_VALUES[kind]))))
+        spans = [m.span()]
+        if "/" in m.group():
+            spans += [(m.start() + x.start(), m.start() + x.end()) for x in PART.finditer(m.group()) if x.end() - x.start() < m.end() - m.start()]
+        found += [(a, b, *_judged[text[a:b]]) for a, b in spans if not any(s < b and a < e for s, _, e in base)]
     return found
 
 
+def _judge(token: str) -> tuple[int, float]:
+    kind = next(k for k, v in enumerate(_VALUES) if all(c in v for c in token))
+    stratum = kind * len(LENGTHS) + bisect_right(LENGTHS, len(token)) - 1
+    return stratum, randomness_p([_VALUES[kind][c] for c in token], len(_VALUES[kind]))
+
+
+_judged = Cache(_judge, limit=50_000)
+
+
+def flagged(text: str, base: list[tuple[int, int, int]], limits: dict[int, float]) -> list[tuple[int, int]]:
+    """(start, end) of the tokens over their thresholds; parts of a flagged token are not listed again."""
+    spans: list[tuple[int, int]] = []
+    for a, b, stratum, p in tokens(text, base):
+        if _bin(p) >= round(limits.get(stratum, 2.0) * BINS) and not (spans and b <= spans[-1][1]):
+            spans.append((a, b))
+    return spans
+
+
 def randomness_p(symbols: list[int], size: int) -> float:
     """Combined p-value of the battery: uniform on (0, 1) for random symbols of an alphabet of ``size``."""
     n = len(symbols)
@@ -205,7 +226,7 @@ def scan_udf(limits: dict[int, float], mask: str | None):
         for t in texts:
             text = t.as_py() or ""
             base = base_spans(text)
-            more = [(s, 3, e) for s, e, k, p in tokens(text, base) if _bin(p) >= round(limits.get(k, 2.0) * BINS)]
+            more = [(s, 3, e) for s, e in flagged(text, base, limits)]
             spans = sorted(base + more) if more else base
             n = [0, 0, 0, 0]
             for _, kind, _ in spans:

@@ -86,3 +86,16 @@ def test_redaction_masks_unions_of_spans(edge, spark):
 
 def test_empty_table(empty):
     assert s.secret_report(empty).collect() == [] and s.redact_secrets(empty).collect() == []
+
+
+def test_candidates_after_signs_in_paths_and_of_any_characters():
+    key = "wJalrXUtnFEMIbPxRfiCY7Zq"
+    for text in (f"AWS_KEY={key}", f"auth={key}", f"https://a.example/?sig={key}&x=1", f"hooks/services/T01/B02/{key}"):
+        assert key in [text[a:b] for a, b, _, _ in s.tokens(text, s.base_spans(text))]
+    kinds = {"digits": "4929173856012847", "letters": "qWzRtPlKmNbVcXyZ", "mixed": "aB3+dE-6gH_9jK/2mN"}
+    for name, token in kinds.items():
+        found = s.tokens(f"x {token} y", [])
+        assert found[0][:2] == (2, 2 + len(token)) and s.ALPHABETS[found[0][2] // len(s.LENGTHS)][0] == name
+    whole = f"{key}/{key[::-1]}"
+    strata = {k: 0.0 for _, _, k, _ in s.tokens(whole, [])}
+    assert s.flagged(whole, [], strata) == [(0, len(whole))]  # its parts are not listed again
