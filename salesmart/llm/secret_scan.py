@@ -10,14 +10,15 @@ symbols by
 - a runs test about the alphabet's middle,
 - a serial-correlation test at lag one,
 
-and combines the three p-values by Fisher's method.  Random tokens have
-uniformly distributed p-values, other tokens have p-values near zero.  So within
-a stratum of encoding and length, the number of random tokens is twice the
-number with p over one half, and the share of other tokens among those with
-p > t follows for every t.  Each stratum flags at the smallest threshold that
-holds this false-discovery share under ``max_false``; the histograms behind it
-count every token of the table.  Short strata, where the tests tell little,
-thereby get high thresholds or none.
+and combines the three p-values by Fisher's method.  Random tokens have p-values
+that are uniform or somewhat denser towards one, other tokens have fewer the
+larger p is.  So within a stratum of encoding and length, no more tokens are
+random per bin than are found in the upper bins, in whichever of the upper
+regions of the histogram has the fewest; what exceeds this below is structured.
+Each stratum flags at the smallest threshold that holds this false-discovery
+share under ``max_false``, or not at all; the histograms behind it count every
+distinct token of the table.  Strata with too few tokens for an estimate are
+judged together.
 """
 
 from __future__ import annotations
@@ -158,18 +159,32 @@ def _serial_p(symbols: list[int]) -> float:
     return math.erfc(abs(r + 1 / n) * math.sqrt(n / 2))
 
 
+LEAST = 50  # tokens of the upper half from which a stratum is judged by itself
+UPPER = (0.6, 0.7, 0.8, 0.9)  # regions beside the upper half that bound the random tokens
+
+
 def thresholds(histogram: dict[tuple[int, int], int], max_false: float) -> dict[int, float]:
     """Smallest p over which a stratum's tokens are flagged; strata that can't hold ``max_false`` are absent."""
-    out = {}
-    for stratum in {s for s, _ in histogram}:
-        count = [histogram.get((stratum, b), 0) for b in range(BINS)]
-        random = 2 * sum(count[BINS // 2 :])
-        for t in GRID:
-            flagged = sum(count[round(t * BINS) :])
-            if flagged and max(0.0, flagged - random * (1 - t)) <= max_false * flagged:
-                out[stratum] = t
-                break
-    return out
+    strata = {s: [histogram.get((s, b), 0) for b in range(BINS)] for s in {s for s, _ in histogram}}
+    small = [s for s, count in strata.items() if sum(count[BINS // 2 :]) < LEAST]
+    together = [sum(column) for column in zip(*(strata[s] for s in small), strict=True)]
+    limits = {s: _threshold(together if s in small else count, max_false) for s, count in strata.items()}
+    return {s: t for s, t in limits.items() if t is not None}
+
+
+def _threshold(count: list[int], max_false: float) -> float | None:
+    if sum(count[BINS // 2 :]) < LEAST:
+        return None
+    random = 2 * sum(count[BINS // 2 :]) / BINS  # of a bin
+    for low in UPPER:
+        upper = count[round(low * BINS) :]
+        # Two standard errors, so that chance alone rejects few strata of random tokens.
+        random = min(random, (sum(upper) + 2 * math.sqrt(sum(upper))) / len(upper))
+    for t in GRID:
+        over = count[round(t * BINS) :]
+        if sum(over) - random * len(over) <= max_false * sum(over) + 1e-9:
+            return t
+    return None
 
 
 def _bin(p: float) -> int:
@@ -177,25 +192,27 @@ def _bin(p: float) -> int:
 
 
 def cells_udf():
-    """Column function: text to stratum * BINS + bin of each of its tokens."""
+    """Column function: text to (stratum * BINS + bin, hash) of each of its tokens."""
 
-    @arrow_udf("array<int>")
+    @arrow_udf("array<struct<cell: int, hash: bigint>>")
     def cells(texts: pa.Array) -> pa.Array:
         out = []
         for t in texts:
             text = t.as_py() or ""
-            out.append([s * BINS + _bin(p) for _, _, s, p in tokens(text, base_spans(text))])
-        return pa.array(out, pa.list_(pa.int32()))
+            found = {(s * BINS + _bin(p), text[a:b]) for a, b, s, p in tokens(text, base_spans(text))}
+            out.append([{"cell": c, "hash": int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True)} for c, x in found])
+        return pa.array(out, pa.list_(pa.struct([("cell", pa.int32()), ("hash", pa.int64())])))
 
     return cells
 
 
 def corpus_thresholds(df: DataFrame, text_col: str = "text", max_false: float = 0.05) -> dict[int, float]:
-    """Thresholds by stratum from every token of the table.
+    """Thresholds by stratum from every distinct token of the table.
 
     The driver gets at most (encodings x lengths x ``BINS``) counts.
     """
-    cells = df.select(F.explode(cells_udf()(F.col(text_col))).alias("cell")).groupBy("cell").count().collect()
+    each = df.select(F.explode(cells_udf()(F.col(text_col))).alias("t")).select("t.*").distinct()
+    cells = each.groupBy("cell").count().collect()
     return thresholds({divmod(r["cell"], BINS): r["count"] for r in cells}, max_false)
 
 

@@ -99,3 +99,20 @@ def test_candidates_after_signs_in_paths_and_of_any_characters():
     whole = f"{key}/{key[::-1]}"
     strata = {k: 0.0 for _, _, k, _ in s.tokens(whole, [])}
     assert s.flagged(whole, [], strata) == [(0, len(whole))]  # its parts are not listed again
+
+
+def test_structured_strata_are_rejected():
+    falling = {(0, b): 200 - 2 * b for b in range(s.BINS)}
+    assert s.thresholds(falling, 0.05) == {}
+    words = [4362, 891, 481, 347, 227, 171, 116, 90, 48, 28]  # p-values of long words by tenths
+    for share in (1, 4):
+        assert s.thresholds({(0, 10 * k): n // share for k, n in enumerate(words)}, 0.05) == {}
+    assert s.thresholds({(0, 70): 1}, 0.05) == {}  # one token tells no share
+    assert s.thresholds({(k, b): 1 for k in range(30) for b in range(k % 10, s.BINS, 10)}, 0.05).keys() == set(range(30))  # small strata together
+
+
+def test_copies_of_a_token_count_once(spark):
+    rng = random.Random(2)
+    rows = [(i, f"k {''.join(rng.choices('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', k=40))} k") for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert s.corpus_thresholds(df.union(df.where("doc_id < 3").crossJoin(spark.range(500)).select("doc_id", "text"))) == s.corpus_thresholds(df) != {}
