@@ -92,15 +92,23 @@ def word_features(words: list[str], buckets: int, lexicon: dict[str, int]) -> tu
 
 
 def training_rows(df: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, sample: Sample) -> list[tuple[str, str]]:
-    """(text, language) of the sample: the rows with the smallest id hashes of each language, within ``Sample``."""
-    fit = usable & F.col(label_col).isNotNull() & (F.length(text_col) <= sample.chars)
-    keyed = df.where(fit).select(F.col(label_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(id_col).alias("id"))
-    # Ranked without the texts; a partial rank runs before the shuffle.
-    ranked = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("nth") <= sample.rows)
-    chosen = ranked.groupBy("lang").agg(F.collect_list("id").alias("ids")).orderBy("lang").limit(sample.languages).collect()
-    ids = sorted({i for r in chosen for i in r["ids"] if i is not None})
-    rows = df.where(fit & F.col(id_col).isin(ids)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("lang"))
-    return [(r["text"], r["lang"]) for r in sorted(rows.collect(), key=lambda r: (str(r["lang"]), str(r["id"]), r["text"]))]
+    """(text, language) of the sample: the rows with the smallest id hashes of each language, within ``Sample``.
+
+    Equal rows count once.  A language with longer texts only is learned from their beginnings; more languages than
+    ``Sample`` allows are an error."""
+    text = F.col(text_col)
+    rows = df.where(usable & F.col(label_col).isNotNull() & text.isNotNull()).select(
+        F.col(label_col).alias("lang"), F.col(id_col).cast("string").alias("id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), text, label_col).alias("key")
+    )
+    # Ranked without the texts, repeated rows once; a partial rank runs before the shuffle.
+    keyed = rows.select("lang", "id", "key", (F.length("text") > sample.chars).alias("long")).distinct().withColumn("h", F.xxhash64("id"))
+    ranked = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h", "id", "key"))).where(F.col("nth") <= sample.rows)
+    chosen = ranked.groupBy("lang").agg(F.collect_list(F.struct("long", "key")).alias("rows")).limit(sample.languages + 1).collect()
+    if len(chosen) > sample.languages:
+        raise ValueError(f"labels of more than {sample.languages} languages: raise Sample.languages to learn them all")
+    keys = sorted({r["key"] for c in chosen for r in c["rows"] if not r["long"] or all(x["long"] for x in c["rows"])})
+    found = rows.where(F.col("key").isin(keys)).groupBy("lang", "key").agg(F.first("id").alias("id"), F.first(F.substring("text", 1, sample.chars)).alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(found.collect(), key=lambda r: (str(r["lang"]), str(r["id"]), r["text"]))]
 
 
 def train(rows: list[tuple[str, str]], how: Training = Training()) -> Crf:

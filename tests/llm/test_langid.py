@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pytest
 
 from salesmart.llm import langid
 
@@ -102,3 +103,16 @@ def test_edge_rows(edge, empty, spark):
     assert langid.identify(empty).collect() == []
     unlabelled = spark.createDataFrame([(1, "some words", None)], "doc_id bigint, text string, lang string")
     assert [tuple(r) for r in langid.identify(unlabelled).collect()] == [(1, False, "und", 0.0)]
+
+
+def test_sample_keeps_its_bounds(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, f"one text {i % 3}", "en") for i in range(400)] + [(2 + i, f"ein Text {i}", "de") for i in range(20)] + [(50, "mot " * 30, "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = langid.training_rows(df, "doc_id", "text", "lang", F.lit(True), langid.Sample(rows=10, chars=40))
+    assert sorted(t for t, lang in got if lang == "en") == ["one text 0", "one text 1", "one text 2"]
+    assert sum(lang == "de" for _, lang in got) == 10
+    assert [t for t, lang in got if lang == "fr"] == [("mot " * 30)[:40]]
+    with pytest.raises(ValueError):
+        langid.training_rows(df, "doc_id", "text", "lang", F.lit(True), langid.Sample(languages=2))
