@@ -84,3 +84,14 @@ class Cache(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def looked_up(rows: DataFrame, table_: DataFrame, key: list[str], salt: Column, lanes: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table_`` on ``key``, also where one key holds a large share of the rows.
+
+    A key is looked up once per lane (a part of the rows, by ``salt``), so that its rows meet in many tasks.  ``rows``
+    is read twice: land what is dear to compute.
+    """
+    salted = rows.withColumn("_lane", lane(salt, lanes))
+    near = salted.select(*key, "_lane").distinct().join(table_, key)
+    return salted.join(near, [*key, "_lane"]).drop("_lane")

@@ -111,3 +111,100 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_removed_lines AS BIGINT) AS n_removed_lines, CAST(lost_chars AS BIGINT) AS lost_chars
 FROM b
 """
+
+
+SUBSTRING_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), {_text(WORD)}) AS words FROM documents),
+w AS (SELECT rid, doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM d WHERE len(words) >= 50),
+s AS (SELECT rid, doc_id, pos, array_to_string(list_slice(words, pos, pos + 49), ' ') AS win FROM w),
+m AS (SELECT win, min(doc_id) AS least FROM s GROUP BY win),
+r AS (
+  SELECT DISTINCT rid, pos + k AS pos FROM s JOIN m USING (win), range(50) AS o(k) WHERE least < coalesce(doc_id, 9223372036854775807)),
+u AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+k AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept FROM u ANTI JOIN r USING (rid, pos) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
+
+# CRC-32 of an ASCII text, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)"""
+
+
+def _leaf(text: str) -> str:
+    frames = [f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(frames)})"
+
+
+def _levels(name: str, rows: str) -> str:
+    return f"""{name} AS (
+  {rows}
+  UNION ALL
+  SELECT g, lvl + 1, idx // 8, (max(size) + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE size > 1 GROUP BY g, lvl, idx // 8)"""
+
+
+def _sides(name: str) -> str:
+    run = "OVER (PARTITION BY g, lvl, idx // 8 ORDER BY idx ROWS BETWEEN"
+    return f"""SELECT *, coalesce(string_agg(digest, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS pre,
+    coalesce(string_agg(digest, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS post FROM {name} WHERE size > 1"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC.format("(doc_id::VARCHAR)")} % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS given
+  FROM documents),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS size FROM d),
+{_levels("t", "SELECT lang AS g, 0 AS lvl, idx, size, leaf AS digest FROM r")},
+s AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS idx, count(*) OVER () AS size FROM t WHERE size = 1),
+{_levels("p", "SELECT 0 AS g, 0 AS lvl, idx, size, subroot AS digest FROM s")},
+root AS (SELECT digest AS root FROM p WHERE size = 1),
+ts AS ({_sides("t")}),
+ps AS ({_sides("p")}),
+path AS (
+  SELECT rid, ts.lvl AS step, pre, post FROM r JOIN ts ON ts.g IS NOT DISTINCT FROM r.lang AND ts.idx = r.idx // CAST(8 ** ts.lvl AS BIGINT)
+  UNION ALL
+  SELECT rid, 1000 + ps.lvl, pre, post
+  FROM r JOIN s ON s.g IS NOT DISTINCT FROM r.lang JOIN ps ON ps.idx = s.idx // CAST(8 ** ps.lvl AS BIGINT)),
+n AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY step) AS nth FROM path),
+f AS (
+  SELECT rid, 1 AS nth, coalesce(given, leaf) AS node FROM r
+  UNION ALL
+  SELECT rid, nth + 1, sha256(pre || node || post) FROM f JOIN n USING (rid, nth)),
+e AS (SELECT rid, max_by(node, nth) AS folded_root FROM f GROUP BY rid),
+q AS (SELECT rid, sha256(string_agg(pre || post, '' ORDER BY nth)) AS proof_sha256 FROM n GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM r JOIN s ON s.g IS NOT DISTINCT FROM r.lang CROSS JOIN root JOIN e USING (rid) LEFT JOIN q USING (rid)
+"""
+
+SOURCE_DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+w AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+l AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, l.term, l.n AS total, count(w.rid) AS n
+  FROM g JOIN l USING (lang) LEFT JOIN w ON w.lang = g.lang AND w.source = g.source AND w.term = l.term GROUP BY ALL),
+p AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER h + count(*) OVER h) AS p,
+         1 + (1000000000::HUGEINT * (total + 1)) // (sum(total) OVER h + count(*) OVER h) AS q
+  FROM c WINDOW h AS (PARTITION BY lang, source)),
+v AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM v QUALIFY part = 'pair' OR rank <= 200
+"""

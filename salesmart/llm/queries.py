@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, exact_dedup, langid, oracles, packing, quality, secret_scan, simhash
+from salesmart.llm import bpe, divergence, exact_dedup, langid, manifest, oracles, packing, quality, secret_scan, simhash, substring_dedup
 from salesmart.llm.chat import format_chats
 from salesmart.llm.common import importable, table
 from salesmart.llm.html_main import extract_main
@@ -99,3 +99,34 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op11_substring_dedup"] = oracles.SUBSTRING_DEDUP
+
+
+RECORD = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", oracles.UPPER, oracles.UPPER.lower())
+    tampered = manifest.record_digest([lowered if c == "text" else F.col(c) for c in RECORD])
+    given = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, tampered)
+    return manifest.manifest_audit(table(spark, sf_dir, "documents"), RECORD, "doc_id", given)
+
+
+ORACLE["op12_merkle_manifest"] = oracles.MERKLE_MANIFEST
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_source_divergence"] = oracles.SOURCE_DIVERGENCE
