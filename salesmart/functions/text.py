@@ -77,6 +77,40 @@ def clean_value(c) -> Column:
     return F.trim(v)
 
 
+# The characters that cp1252 has for the bytes 0x80 to 0x9f, and these bytes as characters; five bytes have none.
+_HIGH = [(bytes([b]).decode("cp1252"), chr(b)) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_CP1252, _BYTES = ("".join(side) for side in zip(*_HIGH))
+
+
+def read_as_cp1252(c) -> Column:
+    """What a text becomes when its UTF-8 bytes are read as cp1252 (the damage that ``repair_decoding`` undoes)."""
+    return F.translate(F.decode(F.encode(_c(c), "UTF-8"), "ISO-8859-1"), _BYTES, _CP1252)
+
+
+def redecoded(c) -> Column:
+    """The text whose UTF-8 bytes were read as cp1252 to give this one; NULL where there is none.
+
+    Bytes that cp1252 leaves open are taken as the control characters of the same number.
+    """
+    as_bytes = F.translate(_c(c), _CP1252, _BYTES)
+    single = ~as_bytes.rlike("[^\\x{00}-\\x{ff}]") & as_bytes.rlike("[\\x{80}-\\x{ff}]")
+    return F.when(single, F.try_validate_utf8(F.encode(as_bytes, "ISO-8859-1").cast("string")))
+
+
+def repair_decoding(c, rounds: int = 3) -> Column:
+    """A value whose UTF-8 bytes were read as cp1252, up to ``rounds`` times over, as it was written.
+
+    A value changes only where all its characters are cp1252 bytes that make
+    valid UTF-8, which gives fewer characters; accented text as it should be
+    does not, since a lone accented letter is no valid UTF-8.  Values of which
+    only a part is broken stay.
+    """
+    value = _c(c)
+    for _ in range(rounds):
+        value = F.coalesce(redecoded(value), value)
+    return value
+
+
 def clean_header(name: str) -> str:
     """Column name normaliser: trim (blanks, tabs, BOM) and join words with ``_``."""
     return re.sub(r"\s+", "_", name.replace("﻿", "").strip())
