@@ -12,13 +12,24 @@ from salesmart.functions.text import (
     date_of_iso,
     iso_duration_seconds,
     load_stamp,
+    read_as_cp1252,
+    repair_decoding,
     url_from_template,
 )
 from salesmart.functions.timebins import newer_than, time_bin
 from salesmart.operators.batches import key_batches
 from salesmart.plans.catalog import query
+from salesmart.plans.landing import land_channel_pages, land_item_parts, land_list_pages, land_video_pages
 from salesmart.plans.mart import Mart
-from salesmart.sources.json import json_counter
+from salesmart.sources.json import (
+    chained_pages,
+    first_upload_playlist,
+    flatten_videos,
+    json_counter,
+    load_rejects,
+    page_items,
+    read_pages,
+)
 
 NOW = dt.datetime(2024, 2, 1)
 LOOKBACK_DAYS = 3600
@@ -123,50 +134,35 @@ def engagement_rate_q(spark, root):
     return per_user.withColumn("engagement_rate", engagement_rate("view_count", "like_count", "comment_count"))
 
 
-def _duration_text():
-    secs = F.pmod(F.col("event_id") * 7919, F.lit(20000))
-    h, m, s = F.floor(secs / 3600), F.floor(F.pmod(secs, F.lit(3600)) / 60), F.pmod(secs, F.lit(60))
-
-    def part(v, unit):
-        return F.when(v > 0, F.concat(v.cast("string"), F.lit(unit))).otherwise(F.lit(""))
-
-    body = F.concat(
-        F.when(F.col("event_type") == "signup", F.lit("P1D")).otherwise(F.lit("P")),
-        F.lit("T"),
-        part(h, "H"),
-        part(m, "M"),
-        part(s, "S"),
-        F.when(secs == 0, F.lit("0S")).otherwise(F.lit("")),
-    )
-    return F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(body)
-
-
-@query(
-    "duration_seconds",
-    """
-WITH e AS (SELECT event_id, event_type, (event_id * 7919) % 20000 AS secs FROM events),
+# The video pages that were landed whole, and the durations of their items.
+_LANDED_SQL = """
+WITH e AS (SELECT *, (event_id * 7919) % 20000 AS secs FROM events WHERE (event_id // 50) % 23 <> 5),
 d AS (
-  SELECT event_id, secs,
+  SELECT *,
     CASE WHEN event_type = 'error' THEN NULL ELSE
       (CASE WHEN event_type = 'signup' THEN 'P1D' ELSE 'P' END) || 'T'
       || (CASE WHEN secs // 3600 > 0 THEN CAST(secs // 3600 AS VARCHAR) || 'H' ELSE '' END)
       || (CASE WHEN (secs % 3600) // 60 > 0 THEN CAST((secs % 3600) // 60 AS VARCHAR) || 'M' ELSE '' END)
       || (CASE WHEN secs % 60 > 0 THEN CAST(secs % 60 AS VARCHAR) || 'S' ELSE '' END)
       || (CASE WHEN secs = 0 THEN '0S' ELSE '' END)
-    END AS duration
+    END AS duration,
+    CAST(CASE WHEN event_type = 'error' THEN 0 ELSE secs END AS INTEGER) AS duration_seconds
   FROM e)
-SELECT event_id, duration, CAST(CASE WHEN duration IS NULL THEN 0 ELSE secs END AS INTEGER) AS duration_seconds
-FROM d
-""",
-)
+"""
+
+
+def _video_items(spark, root):
+    return page_items(read_pages(spark, land_video_pages(spark, root)))
+
+
+@query("duration_seconds", f"{_LANDED_SQL} SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, duration, duration_seconds FROM d")
 def duration_seconds(spark, root):
-    """ISO-8601 duration text to seconds with built-ins (days ignored, NULL gives 0).
+    """ISO-8601 duration text of landed videos to seconds with built-ins (days ignored, NULL gives 0).
 
-    The duration text is derived from the event rows; the oracle computes the
-    expected seconds arithmetically, not by parsing.
+    The oracle computes the expected seconds arithmetically, not by parsing.
     """
-    ev = Mart(spark, root).events.select("event_id", _duration_text().alias("duration"))
-    return ev.withColumn("duration_seconds", iso_duration_seconds("duration"))
+    items = _video_items(spark, root).select(F.col("v.id").alias("video_id"), F.col("v.contentDetails.duration").alias("duration"))
+    return items.withColumn("duration_seconds", iso_duration_seconds("duration"))
 
 
 @query(
@@ -223,66 +219,23 @@ def clean_text(spark, root):
     )
 
 
-def _api_pages(spark, root):
-    """Landed API pages derived from the events: one page per 50 consecutive
-    event ids (so a page never holds more than 50 items), each item a nested
-    video document; fields that are NULL are left out of the JSON, as an API
-    omits them (no thumbnail for errors, no statistics for signups)."""
-    ev = Mart(spark, root).events
-    not_error, not_signup = F.col("event_type") != "error", F.col("event_type") != "signup"
-    item = F.struct(
-        F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("id"),
-        F.struct(
-            F.col("event_type").alias("title"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
-            F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("channelTitle"),
-            F.when(
-                not_error,
-                F.struct(F.struct(F.concat(F.lit("https://img.example/"), F.col("event_id").cast("string"), F.lit(".jpg")).alias("url")).alias("high")),
-            ).alias("thumbnails"),
-        ).alias("snippet"),
-        F.when(
-            not_signup,
-            F.struct(
-                (F.col("user_id") * 3 + F.pmod(F.col("event_id"), F.lit(5))).cast("string").alias("viewCount"),
-                F.pmod(F.col("event_id"), F.lit(7)).cast("string").alias("likeCount"),
-                F.pmod(F.col("event_id"), F.lit(3)).cast("string").alias("commentCount"),
-            ),
-        ).alias("statistics"),
-        F.struct(_duration_text().alias("duration")).alias("contentDetails"),
-        F.struct(
-            F.when(F.col("event_type") == "purchase", F.lit("unlisted")).otherwise(F.lit("public")).alias("privacyStatus")
-        ).alias("status"),
-    )
-    pages = ev.groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(F.collect_list(item).alias("items"))
-    return pages.select(F.to_json(F.struct(F.col("page").cast("string").alias("nextPageToken"), "items")).alias("value"))
-
-
 @query(
     "video_load",
-    f"""
-WITH e AS (SELECT *, (event_id * 7919) % 20000 AS secs FROM events),
+    f"""{_LANDED_SQL},
 v AS (
   SELECT 'v' || CAST(event_id AS VARCHAR) AS video_id, event_type AS title,
          strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
          'user' || CAST(user_id AS VARCHAR) AS channel_title,
          CASE WHEN event_type = 'signup' THEN 0 ELSE user_id * 3 + event_id % 5 END AS view_count,
-         CASE WHEN event_type = 'signup' THEN 0 ELSE event_id % 7 END AS like_count,
+         CASE WHEN event_type = 'signup' THEN 0 WHEN event_id % 97 = 11 THEN NULL ELSE event_id % 7 END AS like_count,
          CASE WHEN event_type = 'signup' THEN 0 ELSE event_id % 3 END AS comment_count,
-         CASE WHEN event_type = 'error' THEN NULL ELSE
-           (CASE WHEN event_type = 'signup' THEN 'P1D' ELSE 'P' END) || 'T'
-           || (CASE WHEN secs // 3600 > 0 THEN CAST(secs // 3600 AS VARCHAR) || 'H' ELSE '' END)
-           || (CASE WHEN (secs % 3600) // 60 > 0 THEN CAST((secs % 3600) // 60 AS VARCHAR) || 'M' ELSE '' END)
-           || (CASE WHEN secs % 60 > 0 THEN CAST(secs % 60 AS VARCHAR) || 'S' ELSE '' END)
-           || (CASE WHEN secs = 0 THEN '0S' ELSE '' END)
-         END AS duration,
+         duration,
          CASE WHEN event_type = 'purchase' THEN 'unlisted' ELSE 'public' END AS privacy_status,
          CASE WHEN event_type = 'error' THEN '' ELSE 'https://img.example/' || CAST(event_id AS VARCHAR) || '.jpg' END
            AS thumbnail_url,
          'https://video.example/watch?v=v' || CAST(event_id AS VARCHAR) AS video_url,
-         '{RUN_TS.isoformat()}' AS extracted_at,
-         CAST(CASE WHEN event_type = 'error' THEN 0 ELSE secs END AS INTEGER) AS duration_seconds
-  FROM e)
+         '{RUN_TS.isoformat()}' AS extracted_at, duration_seconds
+  FROM d)
 SELECT video_id, title, published_at, channel_title, view_count, like_count, comment_count, duration,
        privacy_status, thumbnail_url, video_url, extracted_at,
        CAST(substr(published_at, 1, 10) AS DATE) AS published_date, duration_seconds,
@@ -294,9 +247,85 @@ def video_load(spark, root):
     """API loader: landed JSON pages -> items -> flat video rows with the
     loader's defaults (missing counters 0, missing thumbnail '') and the
     derived date, duration seconds and engagement rate."""
-    from salesmart.sources.json import flatten_videos, page_items, parse_pages
+    return flatten_videos(_video_items(spark, root), RUN_TS, URL_TEMPLATE)
+
+
+@query(
+    "page_rejects",
+    """
+WITH p AS (SELECT event_id // 50 AS page FROM events GROUP BY 1)
+SELECT COUNT(*) AS n_pages, COUNT(*) FILTER (WHERE page % 23 = 5) AS n_rejected,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM events
+        WHERE (event_id // 50) % 23 <> 5 AND event_type <> 'signup' AND event_id % 97 = 11) AS rejected_counters
+FROM p
+""",
+)
+def page_rejects(spark, root):
+    """What a load could not read: landed pages that are no JSON document, and counters that are no numbers."""
+    return load_rejects(read_pages(spark, land_video_pages(spark, root)))
+
+
+@query(
+    "playlist_uploads",
+    """
+SELECT c_custkey AS channel,
+       CASE WHEN c_nationkey <> 7 AND c_mktsegment NOT IN ('FURNITURE', 'MACHINERY') THEN 'UU' || CAST(c_custkey AS VARCHAR) END AS uploads,
+       c_nationkey = 7 AS rejected
+FROM customer
+""",
+)
+def playlist_uploads(spark, root):
+    """First upload playlist of every landed channel answer, with the answers that could not be read."""
+    return first_upload_playlist(land_channel_pages(spark, root))
 
-    return flatten_videos(page_items(parse_pages(_api_pages(spark, root))), RUN_TS, URL_TEMPLATE)
+
+@query(
+    "page_chains",
+    """
+WITH RECURSIVE o AS (
+  SELECT o_orderkey, o_orderpriority, o_orderstatus, o_custkey // 10 AS list,
+         row_number() OVER l AS nth, lead(o_orderkey) OVER l AS after, nth_value(o_orderkey, 3) OVER w AS third
+  FROM orders WINDOW l AS (PARTITION BY o_custkey // 10 ORDER BY o_orderkey),
+       w AS (PARTITION BY o_custkey // 10 ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+h AS (
+  SELECT o_orderkey * 2 AS page, CAST(list AS VARCHAR) AS playlist,
+         CASE WHEN nth > 1 THEN 't' || CAST(o_orderkey AS VARCHAR) END AS token,
+         't' || CAST(coalesce(after, CASE WHEN list % 7 = 0 THEN third END) AS VARCHAR) AS next_token, o_orderstatus
+  FROM o WHERE nth = 1 OR o_orderpriority <> '5-LOW' OR nth % 5 <> 0),
+p AS (
+  SELECT page, playlist, token, next_token FROM h
+  UNION ALL SELECT page + 1, playlist, token, next_token FROM h WHERE o_orderstatus = 'P'),
+n AS (
+  SELECT playlist, coalesce(token, '') AS token, next_token, page FROM p
+  QUALIFY row_number() OVER (PARTITION BY playlist, coalesce(token, '') ORDER BY page DESC) = 1),
+c AS (SELECT playlist, next_token AS token, min(page) AS prev FROM n WHERE next_token IS NOT NULL GROUP BY ALL),
+k AS (SELECT n.*, c.prev FROM n LEFT JOIN c USING (playlist, token)),
+w AS (
+  SELECT page AS chain, page, 1 AS position FROM k WHERE prev IS NULL
+  UNION ALL SELECT w.chain, k.page, w.position + 1 FROM w JOIN k ON k.prev = w.page),
+r AS (
+  SELECT page AS chain, page, 1 AS position FROM k WHERE page NOT IN (SELECT page FROM w)
+  UNION ALL SELECT r.chain, k.page, r.position + 1 FROM r JOIN k ON k.prev = r.page WHERE k.page <> r.chain),
+a AS (
+  SELECT chain, page, position, false AS ring FROM w
+  UNION ALL SELECT chain, page, position, true FROM r QUALIFY chain = min(chain) OVER (PARTITION BY page)),
+f AS (SELECT a.*, k.playlist, k.token, k.next_token FROM a JOIN k USING (page)),
+e AS (
+  SELECT DISTINCT ON (l.chain) l.chain, l.ring, l.next_token, t.page AS next_page, t.chain AS next_chain, s.token AS first_token
+  FROM f l LEFT JOIN f t ON t.playlist = l.playlist AND t.token = l.next_token JOIN f s ON s.page = l.chain
+  ORDER BY l.chain, l.position DESC),
+s AS (
+  SELECT chain, CASE WHEN ring OR next_chain = chain THEN 'loop' WHEN next_page IS NOT NULL THEN 'joined'
+                     WHEN next_token IS NOT NULL THEN 'break' WHEN first_token <> '' THEN 'no_start' ELSE 'complete' END AS status
+  FROM e)
+SELECT p.page, p.playlist, p.token, p.next_token, false AS rejected, a.chain, CAST(a.position AS BIGINT) AS position,
+       coalesce(s.status, 'replaced') AS status, coalesce(s.status, 'replaced') = 'complete' AS is_complete
+FROM p LEFT JOIN a USING (page) LEFT JOIN s USING (chain)
+""",
+)
+def page_chains_q(spark, root):
+    """Landed list pages in the order of their next-page tokens, with what is missing of each list."""
+    return chained_pages(land_list_pages(spark, root))
 
 
 @query(
@@ -321,3 +350,54 @@ def csv_combine(spark, root):
     )
     land_csv(items, folder)
     return combine_folder(spark, folder, id_type="bigint").drop("source_file")
+
+
+@query(
+    "csv_layouts",
+    """
+SELECT CAST(p_partkey AS INTEGER) AS Item_Id, CASE WHEN p_size <= 40 THEN p_name END AS Name,
+       CASE WHEN p_size > 20 THEN p_brand END AS Brand, CASE WHEN p_size > 40 THEN CAST(p_size AS INTEGER) END AS Size,
+       CASE WHEN p_size <= 20 THEN CAST(p_retailprice AS DECIMAL(38,10)) END AS Unit_Price
+FROM part
+""",
+)
+def csv_layouts(spark, root):
+    """A landed CSV folder whose parts differ in columns and their order, as one typed frame."""
+    from salesmart.sources.csv_layouts import combine_layouts
+
+    return combine_layouts(spark, land_item_parts(spark, root)).drop("source_file")
+
+
+@query(
+    "csv_type_choice",
+    """
+WITH t AS (
+  SELECT p_partkey, CASE WHEN p_size <= 40 THEN p_name END AS name, CASE WHEN p_size > 20 THEN p_brand END AS brand,
+         CASE WHEN p_size > 40 THEN p_size END AS size, CASE WHEN p_size <= 20 THEN p_retailprice END AS price FROM part)
+SELECT 'Item_Id' AS column_name, count(p_partkey) AS n_values, 'int' AS data_type FROM t
+UNION ALL SELECT 'Name', count(name), 'string' FROM t
+UNION ALL SELECT 'Brand', count(brand), 'string' FROM t
+UNION ALL SELECT 'Size', count(size), 'int' FROM t
+UNION ALL SELECT 'Unit_Price', count(price), 'decimal(38,10)' FROM t
+""",
+)
+def csv_type_choice(spark, root):
+    """What type each column of the landed parts takes, and of how many values."""
+    from salesmart.sources.csv_layouts import combine_as_text, explain_types
+
+    return explain_types(combine_as_text(spark, land_item_parts(spark, root))).select("column_name", "n_values", "data_type")
+
+
+@query(
+    "repair_text",
+    """
+SELECT doc_id, md5(text) AS repaired_md5, coalesce(source IN ('src1', 'src2', 'src5') AND regexp_matches(text, '[^\\x00-\\x7F]'), false) AS was_broken
+FROM documents
+""",
+)
+def repair_text(spark, root):
+    """Whole texts of some sources read with the wrong code page, repaired; the texts of the others stay as they are."""
+    docs = Mart(spark, root).t("documents")
+    broken = F.when(F.col("source").isin("src1", "src2", "src5"), read_as_cp1252("text")).otherwise(F.col("text")).alias("landed")
+    docs = docs.select("doc_id", broken).withColumn("repaired", repair_decoding("landed"))
+    return docs.select("doc_id", F.md5("repaired").alias("repaired_md5"), (~F.col("repaired").eqNullSafe(F.col("landed"))).alias("was_broken"))

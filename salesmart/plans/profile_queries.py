@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
+from salesmart.operators.key_discovery import key_report
 from salesmart.operators.profile import describe_long, describe_text, summary_long
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
@@ -63,3 +66,46 @@ TEXT_COLS = ["c_name", "c_mktsegment"]
 def describe_text_q(spark, root):
     """``describe()`` of every text column: count, min, max."""
     return describe_text(Mart(spark, root).customer)
+
+
+# The columns of the tables whose keys are looked for.
+KEYED_TABLES = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value"),
+}
+
+
+def _candidate_sql(table: str, names: tuple[str, ...]) -> str:
+    values = f"({', '.join(names)})" if len(names) > 1 else names[0]
+    filled = " AND ".join(f"{n} IS NOT NULL" for n in names)
+    return (
+        f"SELECT '{table}' AS table_name, '{','.join(names)}' AS key_columns, {len(names)} AS n_columns, "
+        f"count(*) > 0 AND count(*) = count(DISTINCT {values}) AND bool_and({filled}) AS is_key FROM {table}"
+    )
+
+
+_CANDIDATES = " UNION ALL ".join(
+    _candidate_sql(table, names) for table, columns in KEYED_TABLES.items() for size in (1, 2) for names in combinations(columns, size)
+)
+
+
+@query(
+    "key_discovery",
+    f"""
+WITH k AS ({_CANDIDATES})
+SELECT table_name, key_columns, n_columns FROM k
+WHERE is_key AND NOT EXISTS (
+  SELECT 1 FROM k s WHERE s.is_key AND s.table_name = k.table_name AND s.n_columns < k.n_columns
+    AND list_contains(string_split(k.key_columns, ','), s.key_columns))
+""",
+)
+def key_discovery(spark, root):
+    """Minimal keys of one or two columns of the sales tables and the events."""
+    m = Mart(spark, root)
+    return key_report({name: m.t(name).select(*columns) for name, columns in KEYED_TABLES.items()}, width=2)

@@ -13,7 +13,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from salesmart.operators import scd2
+from salesmart.operators import history, scd2
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
 from salesmart.session import own_path
@@ -169,13 +169,16 @@ FROM lineitem JOIN dim1 ON {VALID_ON}
 """,
 )
 def scd2_fact_load(spark, root):
-    """Keyed facts landed by batch (ship year); the rerun of the last batches replaces them."""
+    """Keyed facts landed by batch (ship year); the last batches are loaded again and replace themselves."""
     m, dim, stage = _inputs(spark, root)
     facts = _facts(m).withColumn("batch", F.year("l_shipdate"))
-    keyed = scd2.asof_join(facts, scd2.load(dim, stage, SPEC, RUN_TS, MATCH), "l_partkey", "l_shipdate", SPEC)
+    dim = scd2.load(dim, stage, SPEC, RUN_TS, MATCH)
     path = own_path(spark, "facts")
-    scd2.land_facts(keyed, path, "batch")
-    scd2.land_facts(keyed.where("batch >= 1998"), path, "batch")
+    # The first load has the last year's facts without the newest; their batch comes again, whole.
+    newest = dt.datetime(1998, 6, 17)
+    for part in (facts.where(F.col("l_shipdate") < newest), facts.where("batch >= 1998")):
+        keyed = scd2.asof_join(part, dim, "l_partkey", "l_shipdate", SPEC)
+        scd2.land_facts(keyed, path, "batch")
     return spark.read.schema(keyed.schema).parquet(path)
 
 
@@ -203,3 +206,64 @@ def scd2_unmatched_facts(spark, root):
     """Facts dated before the first version of their item (dropped by the inner join)."""
     m, dim, stage = _inputs(spark, root)
     return scd2.unmatched_facts(_facts(m), scd2.load(dim, stage, SPEC, RUN_TS, MATCH), "l_partkey", "l_shipdate", SPEC)
+
+
+@query(
+    "scd2_asof_carried",
+    f"""{CTE}
+SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, Item_SurrogateKey
+FROM lineitem JOIN dim1 ON {VALID_ON}
+""",
+)
+def scd2_asof_carried(spark, root):
+    """Facts with the surrogate key valid on the ship date, carried along (key, time) ranges."""
+    m, dim, stage = _inputs(spark, root)
+    return history.asof_carried(_facts(m), scd2.load(dim, stage, SPEC, RUN_TS, MATCH), "l_partkey", "l_shipdate", SPEC)
+
+
+@query(
+    "scd2_unmatched_carried",
+    f"""{CTE}
+SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM dim1 WHERE {VALID_ON})
+""",
+)
+def scd2_unmatched_carried(spark, root):
+    """Facts that no version covers, by the same stream."""
+    m, dim, stage = _inputs(spark, root)
+    return history.unmatched_carried(_facts(m), scd2.load(dim, stage, SPEC, RUN_TS, MATCH), "l_partkey", "l_shipdate", SPEC)
+
+
+# A customer's dimension and its staged states: the order priority, extracted on each order date.
+CUSTOMER = scd2.Scd2Spec(
+    key="Customer_Id", attrs=("Priority",), default_start=dt.datetime(1991, 1, 1), surrogate="Customer_SurrogateKey"
+)
+EXTRACTS = f"""
+WITH staged AS (
+  SELECT o_custkey AS Customer_Id, CAST(o_orderdate AS TIMESTAMP) AS since, max(o_orderpriority) AS Priority FROM orders GROUP BY ALL),
+known AS (
+  SELECT c_custkey AS Customer_Id, TIMESTAMP '1992-01-01 00:00:00' AS since, '3-MEDIUM' AS Priority FROM customer
+  WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+states AS (SELECT *, 1 AS kind FROM known UNION ALL SELECT *, 2 FROM staged),
+turns AS (
+  SELECT *, lag(Priority) OVER w IS NULL AS first FROM states
+  WINDOW w AS (PARTITION BY Customer_Id ORDER BY since, kind) QUALIFY lag(Priority) OVER w IS DISTINCT FROM Priority),
+versions AS (
+  SELECT Customer_Id, Priority, lead(since) OVER (PARTITION BY Customer_Id ORDER BY since, kind) AS Valid_End_Date,
+         CASE WHEN first AND kind = 2 THEN TIMESTAMP '1991-01-01 00:00:00' ELSE since END AS Valid_Start_Date FROM turns)
+SELECT sha256(CAST(Customer_Id AS VARCHAR) || '|' || strftime(Valid_Start_Date, '%Y-%m-%d %H:%M:%S.%f')) AS Customer_SurrogateKey,
+       Customer_Id, Priority, Valid_Start_Date, Valid_End_Date
+FROM versions
+"""
+
+
+@query("scd2_load_extracts", EXTRACTS)
+def scd2_load_extracts(spark, root):
+    """All staged states of all customers in one load: the same versions as one load per extract date."""
+    m = Mart(spark, root)
+    known = m.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+    known = known.select(F.col("c_custkey").alias("Customer_Id"), F.lit("3-MEDIUM").alias("Priority"))
+    dim = scd2.initial_dimension(known, CUSTOMER, dt.datetime(1992, 1, 1))
+    at = F.col("o_orderdate").cast("timestamp_ntz").alias("at")
+    staged = m.orders.groupBy(F.col("o_custkey").alias("Customer_Id"), at).agg(F.max("o_orderpriority").alias("Priority"))
+    return history.load_extracts(dim, staged, CUSTOMER, "at")

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import changelog
 from salesmart.operators.changelog import Versions, add_column, delete_rows, rename_column, update_rows
+from salesmart.operators.schema_history import SchemaHistory, append_log, as_of as schema_as_of
+from salesmart.operators.table_diff import table_diff
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
 from salesmart.session import own_path
@@ -262,3 +264,80 @@ def duplicate_keys_q(spark, root):
     from salesmart.operators.audit import duplicate_keys
 
     return duplicate_keys(Mart(spark, root).lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "table_diff",
+    f"""
+WITH b AS (
+  SELECT {ORDER_COLS.replace("o_totalprice", "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice")}
+  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
+  UNION ALL
+  SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+  WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH')
+SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN a.o_custkey ELSE b.o_custkey END AS o_custkey,
+       CASE WHEN b.o_orderkey IS NULL THEN a.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
+       CASE WHEN b.o_orderkey IS NULL THEN a.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
+       CASE WHEN b.o_orderkey IS NULL THEN a.o_orderdate ELSE b.o_orderdate END AS o_orderdate,
+       CASE WHEN b.o_orderkey IS NULL THEN a.o_orderpriority ELSE b.o_orderpriority END AS o_orderpriority,
+       CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change_type
+FROM (SELECT {ORDER_COLS} FROM orders) a FULL JOIN b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice
+""",
+)
+def table_diff_q(spark, root):
+    """Difference of two plain tables: ``orders`` and a copy with rows changed, removed and added."""
+    orders = Mart(spark, root).orders.select(*ORDER_COLS.split(", "))
+    late = "o_orderstatus = 'P' AND o_orderpriority"
+    after = delete_rows(update_rows(orders, f"{late} = '1-URGENT'", {"o_totalprice": "o_totalprice * 2"}), f"{late} = '5-LOW'")
+    added = orders.where(f"{late} = '2-HIGH'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return table_diff(orders, after.unionByName(added), KEY)
+
+
+# A table whose columns change: v0 WRITE; v1 ADD region; v2 UPDATE of it; v3 RENAME o_custkey TO customer;
+# v4 DELETE priority '5-LOW'; v5 RENAME customer TO buyer; v6 RENAME region TO market.
+SCHEMA_TIMES = tuple(dt.datetime(2024, 2, d) for d in range(1, 8))
+_REGION = "CASE WHEN o_orderstatus = 'P' THEN o_orderpriority || '/' || o_orderstatus END"
+
+
+def _evolving(spark, root):
+    """The stored log, its schema history and its versions."""
+    orders = Mart(spark, root).orders.select(*ORDER_COLS.split(", "))
+    history = SchemaHistory.of(orders).add_column(1, "region", "string")
+    history = history.rename_column(3, "o_custkey", "customer").rename_column(5, "customer", "buyer").rename_column(6, "region", "market")
+    log = append_log(None, changelog.initial_log(orders, SCHEMA_TIMES[0]), history, 0)
+    versions = Versions(SCHEMA_TIMES)
+    region = {"region": "o_orderpriority || '/' || o_orderstatus"}
+    now = schema_as_of(log, history, KEY, versions, 1)
+    log = append_log(log, changelog.update_log(now, "o_orderstatus = 'P'", region, 2, SCHEMA_TIMES[2]), history, 2)
+    now = schema_as_of(log, history, KEY, versions, 3)
+    log = append_log(log, changelog.delete_log(now, DELETE_WHEN, 4, SCHEMA_TIMES[4]), history, 4)
+    return log, history, versions
+
+
+@query("schema_added_column", f"SELECT {ORDER_COLS}, CAST(NULL AS VARCHAR) AS region FROM orders")
+def schema_added_column(spark, root):
+    """As of the version that adds a column: all rows read NULL in it, though later versions fill it."""
+    log, history, versions = _evolving(spark, root)
+    return schema_as_of(log, history, KEY, versions, ts=dt.datetime(2024, 2, 2, 12))
+
+
+@query("schema_before_changes", f"SELECT {ORDER_COLS} FROM orders")
+def schema_before_changes(spark, root):
+    """As of version 0: the old names, without the column added later."""
+    log, history, versions = _evolving(spark, root)
+    return schema_as_of(log, history, KEY, versions, 0)
+
+
+@query("schema_renamed_column", f"SELECT {ORDER_COLS.replace('o_custkey', 'o_custkey AS customer')}, {_REGION} AS region FROM orders")
+def schema_renamed_column(spark, root):
+    """As of the first rename, after the update of the added column and before the delete."""
+    log, history, versions = _evolving(spark, root)
+    return schema_as_of(log, history, KEY, versions, 3)
+
+
+@query("schema_latest", f"SELECT {ORDER_COLS.replace('o_custkey', 'o_custkey AS buyer')}, {_REGION} AS market FROM orders WHERE o_orderpriority <> '5-LOW'")
+def schema_latest(spark, root):
+    """The table now: a column renamed twice, another renamed after its update, rows deleted in between."""
+    log, history, versions = _evolving(spark, root)
+    return schema_as_of(log, history, KEY, versions)

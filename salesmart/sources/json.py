@@ -76,8 +76,9 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_items(pages: DataFrame) -> DataFrame:
-    """All items of all pages, one row each; pages without items add no row."""
-    return pages.select(F.explode(F.col("page.items")).alias("v"))
+    """All items of all pages, one row each; pages without items, and those that are no JSON document, add no row."""
+    readable = pages.where(F.col("page._corrupt_record").isNull())
+    return readable.select(F.explode(F.col("page.items")).alias("v"))
 
 
 def counter(c: Column) -> Column:
@@ -123,21 +124,59 @@ def with_video_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def rejected_counters(flat_source: DataFrame) -> DataFrame:
-    """Number of items whose counter text is present but not a number."""
-    v = F.col("v")
+def _bad_counters(v: Column) -> Column:
+    """Counters of an item whose text is present but not a number."""
     bad = F.lit(0)
     for name in ("viewCount", "likeCount", "commentCount"):
         c = v["statistics"][name]
         bad = bad + F.when(c.isNotNull() & c.try_cast("long").isNull(), 1).otherwise(0)
-    return flat_source.agg(F.sum(bad).alias("rejected_counters"))
+    return bad
+
+
+def rejected_counters(flat_source: DataFrame) -> DataFrame:
+    """Number of counters whose text is present but not a number."""
+    return flat_source.agg(F.sum(_bad_counters(F.col("v"))).alias("rejected_counters"))
+
+
+def load_rejects(pages: DataFrame) -> DataFrame:
+    """``(n_pages, n_rejected, rejected_counters)`` of a load, in one pass: pages, those that are no JSON document, and
+    counters of the others that are no numbers."""
+    broken = F.col("page._corrupt_record").isNotNull()
+    items = F.coalesce("page.items", F.array().cast(PAGE["items"].dataType))
+    counters = F.when(broken, 0).otherwise(F.aggregate(items, F.lit(0), lambda n, v: n + _bad_counters(v))).cast("bigint")
+    return pages.agg(
+        F.count(F.lit(1)).alias("n_pages"), F.count_if(broken).alias("n_rejected"), F.coalesce(F.sum(counters), F.lit(0).cast("bigint")).alias("rejected_counters")
+    )
 
 
 def first_upload_playlist(channel_pages: DataFrame) -> DataFrame:
-    """``data["items"][0]["contentDetails"]["relatedPlaylists"]["uploads"]`` per page."""
-    schema = "items array<struct<contentDetails: struct<relatedPlaylists: struct<uploads: string>>>>"
-    parsed = channel_pages.select(F.from_json("value", schema).alias("p"))
-    return parsed.select(F.get(F.col("p.items"), 0)["contentDetails"]["relatedPlaylists"]["uploads"].alias("uploads"))
+    """The upload playlist of each channel answer: that of its first item, NULL where there is none.
+
+    Keeps the columns beside ``value`` and adds ``uploads`` and ``rejected``, true
+    for an answer that is no JSON document.
+    """
+    schema = "items array<struct<contentDetails: struct<relatedPlaylists: struct<uploads: string>>>>, _corrupt_record string"
+    parsed = channel_pages.withColumn("p", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    rejected = F.col("p._corrupt_record").isNotNull()
+    uploads = F.get(F.col("p.items"), 0)["contentDetails"]["relatedPlaylists"]["uploads"]
+    beside = [c for c in channel_pages.columns if c != "value"]
+    return parsed.select(*beside, F.when(~rejected, uploads).alias("uploads"), rejected.alias("rejected"))
+
+
+def chained_pages(list_pages: DataFrame) -> DataFrame:
+    """Landed list pages (page, playlist, token, value) at their places in the chains of their lists.
+
+    The next page is the one whose token ``value`` names (``nextPageToken``); a
+    page that is no JSON document names none and is told by ``rejected``.  See
+    ``operators.chains.page_chains`` for the columns added.
+    """
+    from salesmart.operators.chains import page_chains
+
+    page = F.from_json("value", PAGE, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = list_pages.withColumn("__page", page)
+    rejected = F.col("__page._corrupt_record").isNotNull()
+    tokens = parsed.select("page", "playlist", "token", F.when(~rejected, F.col("__page.nextPageToken")).alias("next_token"), rejected.alias("rejected"))
+    return page_chains(tokens, "page", "playlist", "token", "next_token")
 
 
 def playlist_video_ids(pages: DataFrame) -> DataFrame:
