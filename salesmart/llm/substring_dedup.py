@@ -3,16 +3,17 @@
 Two texts share a passage of ``window`` words where two suffixes of the texts share a prefix of that many words: a node
 of the suffix tree at that depth or deeper with leaves in both.  The tree is never built whole:
 
-1. *Prefixes.*  In every window one word position is its anchor: where the hash of the next ``gram`` words is
+1. *Copies.*  Of equal texts only the one with the smallest id goes on; all windows of the others are its windows.
+2. *Prefixes.*  In every window one word position is its anchor: where the hash of the next ``gram`` words is
    smallest.  Equal windows have equal anchors, so the suffixes whose windows share an anchor are a group that the
    prefix at the anchor names, and every suffix is in just one group.  Prefixes that occur in one document only are
    dropped before any text moves.
-2. *Contexts.*  Consecutive suffixes with one anchor travel as one piece of text, long enough for the windows of all.
+3. *Contexts.*  Consecutive suffixes with one anchor travel as one piece of text, long enough for the windows of all.
    Equal pieces are combined, so a group of copies is one piece with its smallest id.
-3. *Variable-length prefixes.*  A group with too many different pieces for a task is split by longer prefixes: its
+4. *Variable-length prefixes.*  A group with too many different pieces for a task is split by longer prefixes: its
    suffixes are dealt to narrower ranges of distance from the anchor, whose windows have more words in common (all of
    them in the last step).  Groups with one document are dropped again.
-4. *Subtrees.*  A task holds the suffixes of a few groups at a time and orders them by prefixes of doubling length; the
+5. *Subtrees.*  A task holds the suffixes of a few groups at a time and orders them by prefixes of doubling length; the
    classes of suffixes with ``window`` words in common are the deep nodes of the subtree, and the smallest id below a
    node is told to all its leaves.
 
@@ -167,9 +168,11 @@ def named(words: bytes) -> bytes:
 
 
 def cut_pieces(window: int, gram: int):
-    """(row, ord, text, prefixes) to the pieces (row, start, PIECE) of the runs whose prefix is listed."""
+    """(row, ord, text, prefixes) to the pieces of the runs whose prefix is listed: a row (row, start, piece, ord) for
+    each, and a row ``PIECE`` for each different one, combined within the task as far as ``PIECES`` allows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        different: dict[bytes, list] = {}
         for batch in batches:
             rows, orders = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
@@ -178,12 +181,26 @@ def cut_pieces(window: int, gram: int):
                 first, count, left, prefix = text.runs(window, gram)
                 for k in np.flatnonzero(np.isin(prefix, live.values.to_numpy())).tolist():
                     words = travelling(text.words(first[k], first[k] + count[k] + window - 1))
-                    out.append((row, int(first[k]), named(words), words, int(prefix[k]), int(left[k]), order, order))
+                    piece = named(words)
+                    out.append((row, int(first[k]), piece, None, None, None, order, None))
+                    same = different.get(piece)
+                    if same is None:
+                        different[piece] = [words, int(prefix[k]), int(left[k]), order, order]
+                    else:
+                        same[3:] = min(same[3], order), max(same[4], order)
                     if len(out) >= PIECES:
                         yield _batch(out, _CUT)
                         out = []
+                if len(different) >= 4 * PIECES:
+                    yield from told(different)
             if out:
                 yield _batch(out, _CUT)
+        yield from told(different)
+
+    def told(different: dict[bytes, list]) -> Iterator[pa.RecordBatch]:
+        if different:
+            yield _batch([(None, None, piece, *more) for piece, more in different.items()], _CUT)
+        different.clear()
 
     return cut
 
@@ -283,10 +300,11 @@ def subtrees(window: int):
     return grouped
 
 
-def cover_udf(window: int):
-    """Column function: (UTF-8 bytes, starts of windows to remove) to n_removed, kept_sha256, kept text and spans."""
+def cover_udf(window: int, with_text: bool):
+    """Column function: (UTF-8 bytes, starts of windows to remove) to n_removed, kept_sha256, spans and kept_text (null
+    unless ``with_text``)."""
 
-    @arrow_udf("n_removed bigint, kept_sha256 string, kept_text string, spans array<struct<begin: bigint, `end`: bigint>>")
+    @arrow_udf("n_removed bigint, kept_sha256 string, spans array<struct<begin: bigint, `end`: bigint>>, kept_text string")
     def covered(texts: pa.Array, windows: pa.Array) -> pa.Array:
         out = []
         for t, w in zip(texts, windows, strict=True):
@@ -297,42 +315,50 @@ def cover_udf(window: int):
             np.add.at(step, starts + window, -1)
             removed = np.cumsum(step[:-1]) > 0
             edges = np.flatnonzero(np.diff(np.r_[False, removed, False])).reshape(-1, 2)
-            stay = np.flatnonzero(~removed)
-            kept = b" ".join([text.raw[a:b] for a, b in zip(text.starts[stay].tolist(), text.ends[stay].tolist(), strict=True)])
-            out.append((len(removed) - len(stay), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8"), [{"begin": a, "end": b} for a, b in edges.tolist()]))
+            kept = b" ".join([b" ".join(text.words(a, b)) for a, b in gaps(edges, text.n)]).decode("utf-8") if with_text else None
+            out.append((*text.digest(removed), [{"begin": a, "end": b} for a, b in edges.tolist()], kept))
         columns = list(zip(*out, strict=True)) or [(), (), (), ()]
         spans = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        types = (pa.int64(), pa.string(), pa.string(), spans)
-        return pa.StructArray.from_arrays([pa.array(c, kind) for c, kind in zip(columns, types, strict=True)], ["n_removed", "kept_sha256", "kept_text", "spans"])
+        types = (pa.int64(), pa.string(), spans, pa.string())
+        return pa.StructArray.from_arrays([pa.array(c, kind) for c, kind in zip(columns, types, strict=True)], ["n_removed", "kept_sha256", "spans", "kept_text"])
 
     return covered
 
 
-def repeated_windows(texts: DataFrame, window: int, gram: int, most: int) -> DataFrame:
-    """(row, windows): the starts of the windows of each row that a smaller ``ord`` has, too, and its text.
+def gaps(spans: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """The ranges of ``n`` words that no span has."""
+    edges = np.r_[0, spans.ravel(), n].reshape(-1, 2)
+    return [(a, b) for a, b in edges.tolist() if a < b]
 
-    ``texts`` is landed and has row (unique), ord, text (bytes) and prefixes.
-    """
-    spark = texts.sparkSession
-    lanes = shuffle_width(spark)
-    at_anchor = texts.select("row", "ord", F.explode("prefixes").alias("prefix"))
+
+def listed_prefixes(firsts: DataFrame) -> DataFrame:
+    """(row, live): of each row the prefixes that another ``ord`` has, too."""
+    at_anchor = firsts.select("row", "ord", F.explode("prefixes").alias("prefix"))
     several = at_anchor.groupBy("prefix").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).where("low < high").select("prefix")
-    listed = looked_up(at_anchor, several, ["prefix"], F.col("row"), lanes).groupBy("row").agg(F.collect_list("prefix").alias("live"))
-    live = land(texts.select("row", "ord", "text").join(listed, "row"), "live")
-    cut = live.select("row", "ord", "text", "live").mapInArrow(cut_pieces(window, gram), f"row bigint, start int, {PIECE}")
-    pieces = land(cut, "pieces")
+    # A prefix that very many texts have is divided by the skew join of the adaptive plan: the rows are three numbers.
+    return at_anchor.select("row", "prefix").join(several, "prefix").groupBy("row").agg(F.collect_list("prefix").alias("live"))
 
+
+def repeated_windows(live: DataFrame, window: int, gram: int, most: int) -> DataFrame:
+    """(row, windows): the starts of the windows of each row that a smaller ``ord`` has, too.
+
+    ``live`` is landed and has row, ord, text (bytes) and the prefixes to look at; equal rows say the same.
+    """
+    lanes = shuffle_width(live.sparkSession)
+    cut = live.select("row", "ord", "text", "live").mapInArrow(cut_pieces(window, gram), f"row bigint, start int, {PIECE}")
+    cut = land(cut, "pieces")
     same = ["piece", "words", "prefix", "left"]
-    entries, width, levels = pieces, window - gram + 1, []
+    columns = [*same, "low", "high"]
+    entries, width, levels = cut.where("row is null").select(*columns), window - gram + 1, []
     links: list[DataFrame] = []
     while True:
         distinct = entries.groupBy(*same).agg(F.min("low").alias("low"), F.max("high").alias("high"))
         entries = land(distinct, "entries")
         sizes = entries.groupBy("prefix").agg(F.count(F.lit(1)).alias("pieces"), F.min("low").alias("lowest"), F.max("high").alias("highest"))
-        sizes = sizes.where("lowest < highest")
-        small = looked_up(entries, sizes.where(F.col("pieces") <= most).select("prefix"), ["prefix"], F.col("piece"), lanes)
-        columns = [*same, "low", "high"]
-        ordered = small.select(*columns).repartition(lanes, "prefix").sortWithinPartitions("prefix")
+        sizes = land(sizes.where("lowest < highest").select("prefix", "pieces"), "sizes")
+        # A small group has at most ``most`` rows, so its join needs no lanes.
+        small = entries.join(sizes.where(F.col("pieces") <= most).select("prefix"), "prefix", "left_semi").select(*columns)
+        ordered = small.repartition(lanes, "prefix").sortWithinPartitions("prefix")
         levels.append(land(ordered.mapInArrow(subtrees(window), FOUND), "found"))
         large = sizes.where(F.col("pieces") > most).select("prefix")
         if width == 1 or large.isEmpty():
@@ -348,16 +374,19 @@ def repeated_windows(texts: DataFrame, window: int, gram: int, most: int) -> Dat
     for link, above in zip(reversed(links), reversed(levels[:-1]), strict=True):
         of_parts = looked_up(link, found.select(F.col("piece").alias("child"), F.col("at").alias("_at"), "least"), ["child"], F.col("piece"), lanes)
         found = land(above.unionByName(of_parts.select("piece", (F.col("at") + F.col("_at")).alias("at"), "least")), "found")
-    hits = looked_up(pieces.select("row", "start", "piece", F.col("low").alias("ord")), found, ["piece"], F.col("row"), lanes)
+    at = cut.where("row is not null").select("row", "start", "piece", F.col("low").alias("ord"))
+    hits = looked_up(at, found, ["piece"], F.col("row"), lanes)
     starts = hits.select("row", "ord", F.posexplode("least").alias("nth", "first"), (F.col("start") + F.col("at")).alias("from"))
     starts = starts.where("first < ord").select("row", (F.col("from") + F.col("nth")).alias("window"))
-    windows = starts.groupBy("row").agg(F.collect_list("window").alias("windows"))
-    return live.select("row", "text").join(windows, "row")
+    return starts.groupBy("row").agg(F.collect_set("window").alias("windows"))
 
 
-def substring_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = GRAM, most: int = PIECES, payload: Column | None = None) -> DataFrame:
+def substring_report(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = GRAM, most: int = PIECES, payload: Column | None = None
+) -> DataFrame:
     """One row per row of ``df``: the id, n_words, n_removed, kept_sha256 (digest of the kept words joined by single
-    spaces), kept_text and spans (null where no word is removed; word positions, the maximal repeats).
+    spaces) and spans (word positions of the maximal repeats; null where no word is removed); with ``payload`` also
+    kept_text (null where no word is removed) and payload.
 
     A word is removed when it lies in a window of ``window`` words that starts in a row with a smaller id, too;
     windows are judged on the input.  A null text has no words, a text of fewer than ``window`` words none to remove.
@@ -365,16 +394,36 @@ def substring_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other (as the largest bigint).  Texts of any length are read whole, their words in slices.  Other columns are not
     read, unless in ``payload``; an empty table gives no rows.
     """
-    seen = prefixes_udf(window, min(gram, window))(utf8(F.col(text_col))).alias("seen")
-    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_LAST))).alias("ord")
+    gram = min(gram, window)
+    text = utf8(F.col(text_col))
+    order = F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_LAST))).alias("ord")
+    text_id = F.unhex(F.md5(text)).alias("text_id")
     more = [payload.alias("payload")] if payload is not None else []
-    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), key, utf8(F.col(text_col)).alias("text"), seen, *more)
-    rows = land(rows.select("row", "id", "ord", "text", "seen.*", *["payload" for _ in more]), "texts")
-    hit = repeated_windows(rows, window, min(gram, window), most)
-    hit = hit.select("row", cover_udf(window)(F.col("text"), F.col("windows")).alias("cover")).select("row", "cover.*")
-    found = rows.select("row", "id", "n_words", "sha", *["payload" for _ in more]).join(hit, "row", "left")
-    n = F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed")
-    return found.select("id", "n_words", n, F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept_text", "spans", *["payload" for _ in more])
+    base = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), order, text_id, prefixes_udf(window, gram)(text).alias("seen"), *more)
+    base = land(base.select("row", "id", "ord", "text_id", "seen.*", *["payload" for _ in more]), "words")
+    # Of equal texts the first row; rows that repeat its id share its result.
+    first = base.groupBy("text_id").agg(F.min(F.struct("ord", "row")).alias("first")).select("first.row")
+    firsts = land(base.select("row", "ord", "text_id", "prefixes").join(first, "row", "left_semi"), "firsts")
+    listed = firsts.select("row", "ord", "text_id").join(listed_prefixes(firsts), "row")
+    live = land(df.select(order, text_id, text.alias("text")).join(listed, ["ord", "text_id"]), "live")
+    windows = repeated_windows(live, window, gram, most)
+    cover = cover_udf(window, payload is not None)(F.col("text"), F.col("windows")).alias("cover")
+    hit = live.select("row", "text").join(windows, "row").select("row", cover).select("row", "cover.*").dropDuplicates(["row"])
+    known = firsts.select("row", "ord", "text_id").join(hit, "row", "left").withColumnRenamed("row", "of")
+    found = base.select("id", "ord", "text_id", "n_words", "sha", *["payload" for _ in more]).join(known, ["ord", "text_id"], "left")
+    # A copy of a text with a smaller id goes whole, if it has a window.
+    copy = F.col("of").isNull() & (F.col("n_words") >= window)
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("begin"), F.col("n_words").alias("end")))
+    out = [
+        "id",
+        "n_words",
+        F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("bigint"))).alias("n_removed"),
+        F.when(copy, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        F.when(copy, whole).otherwise(F.col("spans")).alias("spans"),
+    ]
+    if payload is not None:
+        out += [F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"), "payload"]
+    return found.select(*out)
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
