@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,10 +61,15 @@ class _Tokenizer:
         model, shown = self._whole.model, dict(enumerate(_byte_letters()))
         self._ids = PieceIds(pattern, lambda piece: [t.id for t in model.tokenize(piece.encode("utf-8").decode("latin-1").translate(shown))])
 
-    def packed(self, text: str) -> bytes:
-        if any(t in text for t in self._added):
-            return np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self._ids.packed(text)
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = np.zeros(len(texts), bool)
+        for t in self._added:
+            whole |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        others = self._ids.encoded(texts.filter(pa.array(~whole)))
+        for k in range(len(texts)):
+            yield np.array(self._whole.encode(texts[k].as_py(), add_special_tokens=False).ids, "<u4") if whole[k] else next(others)
 
 
 def _byte_letters() -> list[str]:
@@ -90,8 +96,8 @@ def cut_rows(path: str, pattern: str, end_id: int, capacity: int, slack: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             of, starts, lengths, sums, totals = [], [], [], [], []
-            for k, t in enumerate(batch.column(1)):
-                ids = memoryview(own.packed(t.as_py() or "") + end)
+            for k, found in enumerate(own.encoded(batch.column(1))):
+                ids = memoryview(found.tobytes() + end)
                 total = len(ids) // 4
                 at = 0
                 for n in cut(total, capacity, slack):
@@ -192,18 +198,22 @@ def harmonic_pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id"
     start (ids of the document before the piece), length, ids_crc32, doc_tokens,
     sequence_id and offset.  Each id lies in one piece, pieces of a sequence lie
     gapless from offset 0.  ``slack`` (default capacity/64) bounds the padding
-    of a filled sequence.  Repeated rows are packed as often as they occur,
-    null ids stay null, other columns are not read; an empty table gives none.
+    of a filled sequence.  A text of any length is tokenized whole and cut into
+    as many pieces as it needs; ties in length go by id and place.  Repeated rows
+    are packed as often as they occur, null ids stay null, other columns are not
+    read; an empty table gives none.
     """
     spark = df.sparkSession
     slack = capacity // 64 if slack is None else slack
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     # Landed: every later round works on these small rows, not on the texts.
-    pieces = land(rows.mapInArrow(cut_rows(path, pattern, end_id, capacity, slack), PIECE), "pieces")
+    cut_up = rows.mapInArrow(cut_rows(path, pattern, end_id, capacity, slack), PIECE)
+    # Numbered, so that repeated rows are dealt to all workers.
+    pieces = land(cut_up.withColumn("nth", F.monotonically_increasing_id()), "pieces")
 
     workers, level, placed = shuffle_width(spark), 0, []
     worker_bits = max(1, (workers - 1).bit_length())
-    todo, own = pieces, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)).cast("int")
+    todo, own = pieces, F.pmod(F.xxhash64("nth"), F.lit(workers)).cast("int")
     while True:
         spread = _classed(todo, own, capacity).repartitionById(workers, F.col("worker")).sortWithinPartitions("kind", "doc_id", "start", "length", "ids_crc32")
         filled = spread.mapInArrow(fill_classes(capacity, level, worker_bits), PLACED)
