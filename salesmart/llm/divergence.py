@@ -12,8 +12,7 @@ vocabulary, and none holds all sources of a language.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,19 +23,22 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import land, looked_up, shuffle_width, utf8
 
-# The bytes of a term, the unit of the probabilities, the least documents of a kept term.
-TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+# The unit of the probabilities, the least documents of a kept term, the reported terms.
 UNIT = 1_000_000_000
 MIN_DOCS = 3
 TOP = 200
+# Bytes of terms, A-Z lower-cased; all others become blanks.
+_TERMS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
+_BLANK = np.array([b == 32 for b in _TERMS])
 
 BLOCK = 4096  # terms of a block, on average
 TILE = 64  # groups of a tile, on average
-SLICE = 1 << 22  # bytes of a text whose terms are found at once
-HELD = 400_000  # terms counted before a task passes them on
-HELD_BYTES = 1 << 25
+SLICE = 1 << 22  # bytes of text whose terms are counted at once
+HELD = 1_000_000  # counts that a task combines before it passes them on
+HELD_BYTES = 1 << 26
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
+_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
 
 def slices(raw: bytes) -> Iterator[bytes]:
@@ -44,60 +46,110 @@ def slices(raw: bytes) -> Iterator[bytes]:
     at = 0
     while len(raw) - at > SLICE:
         end = at + SLICE
-        inside = TERM.match(raw, end)
-        end = inside.end() if inside else end
+        while True:  # to the next byte of no term
+            ahead = _BLANK[np.frombuffer(raw, np.uint8, min(SLICE, len(raw) - end), end)]
+            if ahead.any() or end + len(ahead) == len(raw):
+                end += int(ahead.argmax()) if ahead.any() else len(ahead)
+                break
+            end += len(ahead)
         yield raw[at:end]
         at = end
     yield raw[at:] if at else raw
 
 
+def counted(groups: list[int], texts: list[bytes]) -> pa.Table:
+    """(group, term, n, docs) of some texts, each of a group."""
+    split = pc.split_pattern(pa.array([t.translate(_TERMS) for t in texts], pa.large_binary()).cast(pa.large_string()), " ")
+    found = split.flatten()
+    real = pc.not_equal(found, "")
+    of = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[real.to_numpy(zero_copy_only=False)]
+    terms = found.filter(real).dictionary_encode()
+    size = max(1, len(terms.dictionary))
+    # Per text first, so that a text counts once among the documents of a term.
+    pairs, times = np.unique(of * size + terms.indices.to_numpy(), return_counts=True)
+    pairs, at = np.unique(np.array(groups, np.int64)[pairs // size] * size + pairs % size, return_inverse=True)
+    n = np.zeros(len(pairs), np.int64)
+    np.add.at(n, at, times)
+    term = terms.dictionary.take(pa.array(pairs % size)).cast(pa.string())
+    return pa.table({"group": pairs // size, "term": term, "n": n, "docs": np.bincount(at, minlength=len(pairs))})
+
+
 class Tally:
-    """Occurrences and documents of every term, per group; bounded by passing them on."""
+    """Occurrences and documents of every term, per group (lang, source); bounded by passing them on."""
 
     def __init__(self):
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        self.held = self.size = 0
+        self.number: dict[tuple[str, str], int] = {}
+        self.waiting: tuple[list[int], list[bytes]] = ([], [])
+        self.tables: list[pa.Table] = []
+        self.size = self.told = 0
 
     def add(self, group: tuple[str, str], raw: bytes) -> Iterator[pa.RecordBatch]:
-        n, docs = self.groups.setdefault(group, (Counter(), Counter()))
+        at = self.number.setdefault(group, len(self.number))
+        if len(raw) > SLICE:
+            yield from self._long(at, raw)
+            return
+        self.waiting[0].append(at)
+        self.waiting[1].append(raw)
+        self.size += len(raw)
+        if self.size > SLICE:
+            self._count()
+            if sum(t.num_rows for t in self.tables) > HELD or sum(t.nbytes for t in self.tables) > HELD_BYTES:
+                yield from self.rows()
+
+    def _long(self, group: int, raw: bytes) -> Iterator[pa.RecordBatch]:
+        """A long text by slices; which of its terms are new is known by their hashes, 16 bytes each."""
         seen: set[bytes] = set()
         for part in slices(raw):
-            found = TERM.findall(part.lower())
-            n.update(found)
-            new = set(found) - seen
-            docs.update(new)
-            seen |= new
-            self.held += len(new)
-            self.size += sum(map(len, new))
-            if self.held > HELD or self.size > HELD_BYTES:
+            found = counted([group], [part])
+            hashes = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in found["term"].to_pylist()]
+            new = np.array([h not in seen for h in hashes], np.int64)
+            seen.update(hashes)
+            self.tables.append(found.set_column(3, "docs", pa.array(new, pa.int64())))
+            if sum(t.num_rows for t in self.tables) > HELD or sum(t.nbytes for t in self.tables) > HELD_BYTES:
                 yield from self.rows()
-                n, docs = self.groups.setdefault(group, (Counter(), Counter()))
+
+    def _count(self) -> None:
+        if self.waiting[0]:
+            self.tables.append(counted(*self.waiting))
+        self.waiting, self.size = ([], []), 0
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """What is counted so far; a group gives a row with an empty term, too."""
-        for (lang, source), (n, docs) in self.groups.items():
-            terms = [b"", *n]
-            counts = [[0, *n.values()], [0, *(docs[t] for t in n)]]
-            same = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms), np.int64))), pa.array([source], pa.string()).take(pa.array(np.zeros(len(terms), np.int64)))]
-            columns = [*same, pa.array(terms, pa.binary()).cast(pa.string()), *(pa.array(c, pa.int64()) for c in counts)]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
-        self.groups, self.held, self.size = {}, 0, 0
+        """What is counted so far; a group not told before gives a row with an empty term, too."""
+        self._count()
+        names = list(self.number)
+        langs, sources = (pa.array([g[k] for g in names], pa.string()) for k in (0, 1))
+        new = len(names) - self.told
+        if new:
+            none = pa.array(np.zeros(new, np.int64))
+            yield pa.RecordBatch.from_arrays([langs[self.told :], sources[self.told :], pa.array([""] * new), none, none], schema=_COUNTS_ARROW)
+        self.told = len(names)
+        if self.tables:
+            held = pa.concat_tables(self.tables)
+            if len(self.tables) > 1:
+                held = held.group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(["group", "term", "n", "docs"])
+            held = held.combine_chunks()
+            group = held["group"].combine_chunks()
+            columns = [langs.take(group), sources.take(group), *(held[c].combine_chunks() for c in ("term", "n", "docs"))]
+            yield pa.RecordBatch.from_arrays(columns, schema=_COUNTS_ARROW)
+        self.tables = []
 
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, text as bytes) rows to ``COUNTS``, combined within the task."""
     tally = Tally()
     for batch in batches:
-        for lang, source, text in zip(*batch.columns, strict=True):
-            yield from tally.add((lang.as_py(), source.as_py()), text.as_py())
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            yield from tally.add((lang, source), text.as_py())
     yield from tally.rows()
 
 
 def term_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``COUNTS`` of every group; each group has a row with an empty term and zeros as well."""
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang_col, "lang"), (source_col, "source"))]
-    rows = df.select(*names, utf8(F.col(text_col)).alias("text"))
-    return rows.mapInArrow(count_terms, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows = df.select(*names, utf8(F.col(text_col)).alias("text")).mapInArrow(count_terms, COUNTS)
+    # The tasks have combined their counts already: dealt before the aggregate, which then combines once.
+    dealt = rows.repartition(shuffle_width(df.sparkSession), "lang", "source", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def interned(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -196,7 +248,9 @@ def price_tiles(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
 
 
 def p_of(n: str, scale: str):
-    return F.expr(f"1 + (cast({UNIT} as decimal(11,0)) * cast({n} + 1 as decimal(19,0))) div cast({scale} as decimal(19,0))")
+    """p of a count, exactly; in integers as long as they hold it."""
+    wide = f"(cast({UNIT} as decimal(11,0)) * cast({n} + 1 as decimal(19,0))) div cast({scale} as decimal(19,0))"
+    return F.expr(f"1 + if({n} < {(1 << 63) // UNIT - 2}, {UNIT} * ({n} + 1) div {scale}, {wide})")
 
 
 def divergence(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, top: int = TOP, block: int = BLOCK, tile: int = TILE) -> DataFrame:
@@ -211,9 +265,13 @@ def divergence(df: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     """
     counts = land(term_counts(df, text_col, lang_col, source_col), "terms")
     groups = counts.where("term = ''").select("lang", "source")
-    totals = counts.where("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("in_docs"))
-    kept = land(counts.where("term <> ''").join(totals.where(F.col("in_docs") >= min_docs), ["lang", "term"]).select("lang", "source", "term", "n", "total"), "kept")
-    langs = totals.where(F.col("in_docs") >= min_docs).groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
+    of_term = Window.partitionBy("lang", "term")
+    whole = {"total": F.sum("n").over(of_term), "in_docs": F.sum("docs").over(of_term)}
+    # One row of each term stands for it where terms are counted.
+    first = F.row_number().over(of_term.orderBy("source")) == 1
+    kept = counts.where("term <> ''").withColumn("first", first).withColumns(whole).where(F.col("in_docs") >= min_docs)
+    kept = land(kept.select("lang", "source", "term", "n", "total", "first"), "kept")
+    langs = kept.where("first").groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("lang_n"))
     tiles = groups.groupBy("lang").agg(F.expr(f"(count(1) + {tile - 1}) div {tile}").alias("tiles"))
     sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
     stats = groups.join(tiles, "lang").join(langs, "lang", "left").join(sizes, ["lang", "source"], "left").na.fill(0, ["v", "lang_n", "group_n"])
@@ -240,7 +298,7 @@ def _pairs(stats: DataFrame, kept: DataFrame) -> DataFrame:
     own_block = F.expr("pmod(xxhash64(term), blocks)").alias("block")
     leaves = _of_groups(kept, stats.select("lang", "source", "tile", "tiles", "blocks", "scale"))
     # Terms that two tiles lack still count, so the trees know how many terms their block has.
-    known = leaves.select("lang", "term", own_block).distinct().groupBy("lang", "block").agg(F.count(F.lit(1)).alias("n"))
+    known = leaves.where("first").groupBy("lang", own_block).agg(F.count(F.lit(1)).alias("n"))
     trees = trees.join(known, ["lang", "block"], "left").na.fill(0, ["n"])
     trees = trees.select("lang", "source", "tile", "tiles", "block", "scale", F.lit(None).cast("string").alias("term"), "n")
     leaves = leaves.select("lang", "source", "tile", "tiles", own_block, "scale", "term", "n")

@@ -85,25 +85,40 @@ def test_a_group_with_most_rows_and_a_long_text(spark, monkeypatch):
 
 
 def test_slices_cut_no_term(monkeypatch):
-    monkeypatch.setattr(module, "SLICE", 7)
     raw = "ab cdefghijklmnop q, éééééé r".encode()
-    assert b"".join(slices(raw)) == raw
-    assert [t for part in slices(raw) for t in module.TERM.findall(part)] == module.TERM.findall(raw)
+    for size in range(1, 40):
+        monkeypatch.setattr(module, "SLICE", size)
+        parts = list(slices(raw))
+        assert b"".join(parts) == raw
+        assert [t for part in parts for t in TERM.findall(part.decode())] == TERM.findall(raw.decode())
     assert list(slices(b"")) == [b""]
 
 
-def test_a_full_tally_is_passed_on(spark, monkeypatch):
+@pytest.mark.parametrize("size, held", [(1 << 22, 10**6), (20, 5), (60, 10**6), (3, 7)])
+def test_counts_of_a_task(monkeypatch, size, held):
     import pyarrow as pa
 
-    monkeypatch.setattr(module, "HELD", 5)
-    texts = [f"a b c d{'e' * k} f".encode() for k in range(9)]
-    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 9), pa.array(["s"] * 9), pa.array(texts, pa.binary())], ["lang", "source", "text"])
-    total, docs = Counter(), Counter()
+    monkeypatch.setattr(module, "SLICE", size)
+    monkeypatch.setattr(module, "HELD", held)
+    texts = ["", *(f"A b c{'é' * (k % 4)}-d_E b{k} \x7f zZ" for k in range(40)), "  ", "x" * 70]
+    rows = [(f"l{k % 2}", f"s{k % 3}", t) for k, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2].encode() for r in rows], pa.binary())], ["lang", "source", "text"])
+    n, docs, groups = Counter(), Counter(), set()
     for out in module.count_terms(iter([batch])):
         for r in out.to_pylist():
-            total[r["term"]] += r["n"]
-            docs[r["term"]] += r["docs"]
-    assert total["a"] == docs["a"] == 9 and docs["deee"] == 1 and "" in total
+            key = (r["lang"], r["source"], r["term"])
+            if r["term"] == "":
+                assert key not in groups
+                groups.add(key)
+            n[key] += r["n"]
+            docs[key] += r["docs"]
+    want_n, want_docs = Counter(), Counter()
+    for lang, source, text in rows:
+        terms = TERM.findall(text.translate(LOWER))
+        want_n.update((lang, source, t) for t in terms)
+        want_docs.update((lang, source, t) for t in set(terms))
+    assert groups == {(lang, source, "") for lang, source, _ in rows}
+    assert +n == want_n and +docs == want_docs
 
 
 @pytest.mark.parametrize("trees, ids", [(2, 1), (3, 5), (6, 64), (4, 100)])
