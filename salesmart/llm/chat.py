@@ -204,7 +204,9 @@ def format_chats(
     case and by ``ALIASES``; a null or other role is unknown.  A null text is
     empty, a null turn comes first, rows that tie in the turn (repeated rows
     too) are turns of their own, and rows with a null conversation make one
-    conversation.  Markers of the template within a text are defused.  Other
+    conversation.  A conversation of any length is repaired in parts, by matrices
+    of costs between them; of repairs of equal cost the first by the order of
+    actions is taken.  Markers of the template within a text are defused.  Other
     columns are not read; an empty table gives an empty result.
     """
     width = shuffle_width(df.sparkSession)

@@ -123,7 +123,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``keep`` names the row of a group that stays, the ``largest`` or
     ``smallest`` id.  A null id loses to any other; a group of null ids only
     keeps one of its rows and has a null keep_id.  Rows that repeat the kept id
-    within a group are kept once.  Other columns of ``df`` are not read, unless
+    within a group are kept once.  Texts of any length are digested whole, empty
+    ones are a group like others.  Other columns of ``df`` are not read, unless
     in ``payload``.  An empty table gives an empty result.
     """
     if keep not in ("largest", "smallest"):

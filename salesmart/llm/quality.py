@@ -133,9 +133,11 @@ def judge_udf(limits: Limits, with_text: bool):
 def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """Counts and verdict of every row (``JUDGED`` without the text); a row per row, whole texts.
 
-    A null text has no words: all counts are 0, ``base_failed`` is true and
-    ``kept`` false.  Repeated rows and null ids are judged as they come; other
-    columns are not read.
+    A null or empty text has no words: all counts are 0, ``base_failed`` is true
+    and ``kept`` false.  A text of any length is judged whole, in one task; each
+    of its three-word windows costs a few dozen bytes there.  Repeated rows and
+    null ids are judged as they come; other columns are not read; an empty table
+    gives no rows.
     """
     rows = df.select(F.col(id_col), judge_udf(limits, with_text=False)(F.col(text_col)).alias("_judged"))
     return rows.select(id_col, "_judged.*").drop("clean_text")
@@ -145,6 +147,8 @@ def quality_filter(df: DataFrame, text_col: str = "text", limits: Limits = Limit
     """The kept rows of ``df`` with their failing lines removed; all columns, names and types as they were.
 
     ``length_col``, where given, is set to the length of a text that changed.
+    Rows with a null or empty text go; repeated rows are kept or go alike; the
+    rules of ``quality_report`` hold, and an empty table stays empty.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     # Else the filter would be pushed below, and every text judged twice.

@@ -71,8 +71,9 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Fingerprints that differ in at most ``max_bits`` bits are linked, equal ones
     included; a null text counts as empty.  A null id belongs to the component
-    of its text but is never its name, unless all ids there are null.  Repeated
-    rows stay; other columns are not read; an empty table gives an empty result.
+    of its text but is never its name, unless all ids there are null.  Texts of
+    any length are read whole, empty ones have fingerprint 0.  Repeated rows
+    stay; other columns are not read; an empty table gives an empty result.
     """
     rows = land(df.select(F.col(id_col).cast("bigint").alias("id"), fingerprint_udf(shingle)(utf8(F.col(text_col))).alias("fp")), "prints")
     return named(rows, max_bits).select("id", "fp", "component_id")

@@ -108,7 +108,8 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", ur
     """One row per row of ``df``: id, host, path, rule and verdict (block or allow).
 
     A null URL or one without ``://`` has an empty host and path; all such rows
-    form one host, which no rule fits.  Repeated rows are judged alike and all
+    form one host, which no rule fits.  URLs of any length are judged; of rules
+    of equal length the first holds.  Repeated rows are judged alike and all
     returned, null ids too; other columns are not read; an empty table gives an
     empty result.
     """
