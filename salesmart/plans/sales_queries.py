@@ -255,12 +255,26 @@ def star_join_drop(spark, root):
     ).select("o_orderkey", "o_orderdate", "n_name", "r_name")
 
 
-@query("column_names", "SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS column_name, (SELECT COUNT(*) FROM lineitem) AS rows")
+# Type names of the scan for the type names of the oracle's own description of the table.
+_TYPES_SQL = "CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END"
+_LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query(
+    "column_names",
+    f"""
+WITH c AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n_values, count(*) - count({c}) AS n_nulls FROM lineitem" for c in _LINE_COLUMNS)})
+SELECT column_name, {_TYPES_SQL} AS data_type, n_values, n_nulls FROM (DESCRIBE lineitem) JOIN c USING (column_name)
+""",
+)
 def column_names(spark, root):
-    """``df.columns`` with the table's row count."""
+    """The columns of a scan with their types, and how many values and nulls each holds."""
     li = Mart(spark, root).lineitem
-    names = F.explode(F.array(*[F.lit(c) for c in li.columns]))
-    return li.agg(F.count(F.lit(1)).alias("rows")).select(names.alias("column_name"), "rows")
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.count(F.col(c)).alias("n_values"), F.count_if(F.col(c).isNull()).alias("n_nulls"))
+        for c, t in li.dtypes
+    ]
+    return li.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 @query(
