@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -53,6 +54,10 @@ class BytePairCodec:
         """Ids of a whole text, each match of the pattern encoded separately, as unsigned 32-bit integers."""
         return self._ids.packed(text)
 
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text of an array, in order."""
+        return self._ids.encoded(texts)
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
 
@@ -191,11 +196,10 @@ def round_trip_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc
     def digest(texts: pa.Array) -> pa.Array:
         own = codec(path, pattern)
         counts, encoded, decoded = [], [], []
-        for t in texts:
-            packed = own.packed(t.as_py() or "")
-            counts.append(len(packed) // 4)
-            encoded.append(hashlib.sha256(packed).hexdigest())
-            decoded.append(hashlib.sha256(own.decode(np.frombuffer(packed, "<u4").tolist())).hexdigest())
+        for ids in own.encoded(texts):
+            counts.append(len(ids))
+            encoded.append(hashlib.sha256(ids.tobytes()).hexdigest())
+            decoded.append(hashlib.sha256(own.decode(ids.tolist())).hexdigest())
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return df.select(F.col(id_col), digest(F.col(text_col)).alias("_digest")).select(id_col, "_digest.*")
