@@ -11,8 +11,8 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_queries_are_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
-    assert {q.split("_")[0] + "_" for q in QUERIES} == names and len(QUERIES) == 10
+    names = {f"op{n}_" for n in range(1, 14)}
+    assert {q.split("_")[0] + "_" for q in QUERIES} == names and len(QUERIES) == 13
     assert set(entry.queries()) >= {*QUERIES, "pipeline"}
     assert set(ORACLE) <= set(entry.oracle_sql())
 
