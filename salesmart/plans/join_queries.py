@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from salesmart.operators.heavy_join import join_heavy
 from salesmart.operators.joins import full_join_ordered, join_on, orphan_facts, unmatched_dims
 from salesmart.plans.catalog import query
 from salesmart.plans.mart import Mart
@@ -195,3 +196,17 @@ def having_total(spark, root):
     """Group filter after aggregation (HAVING total > threshold)."""
     totals = _customer_totals(spark, root, UNKNOWN_CUSTOMER)
     return totals.filter(F.col("TotalSales") > HAVING_MIN).orderBy(F.col("TotalSales").desc())
+
+
+@query(
+    "join_heavy_keys",
+    """
+SELECT l_orderkey, l_linenumber, l_suppkey, s_suppkey, s_name, s_nationkey
+FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+""",
+)
+def join_heavy_keys(spark, root):
+    """Facts with their suppliers: suppliers of over a hundredth of all lines are sent to the lines, the rest is shuffled."""
+    m = Mart(spark, root)
+    facts = m.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
+    return join_heavy(facts, m.supplier.select("s_suppkey", "s_name", "s_nationkey"), "l_suppkey", "s_suppkey", "left", share=0.01)
