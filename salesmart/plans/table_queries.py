@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from salesmart.operators import changelog
+from salesmart.operators.append_once import append_once
 from salesmart.operators.changelog import Versions, add_column, delete_rows, rename_column, update_rows
 from salesmart.operators.schema_history import SchemaHistory, append_log, as_of as schema_as_of
 from salesmart.operators.table_diff import table_diff
@@ -273,7 +274,7 @@ WITH b AS (
   SELECT {ORDER_COLS.replace("o_totalprice", "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice")}
   FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
   UNION ALL
-  SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+  SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
   WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH')
 SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN a.o_custkey ELSE b.o_custkey END AS o_custkey,
        CASE WHEN b.o_orderkey IS NULL THEN a.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
@@ -290,7 +291,7 @@ def table_diff_q(spark, root):
     orders = Mart(spark, root).orders.select(*ORDER_COLS.split(", "))
     late = "o_orderstatus = 'P' AND o_orderpriority"
     after = delete_rows(update_rows(orders, f"{late} = '1-URGENT'", {"o_totalprice": "o_totalprice * 2"}), f"{late} = '5-LOW'")
-    added = orders.where(f"{late} = '2-HIGH'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    added = orders.where(f"{late} = '2-HIGH'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     return table_diff(orders, after.unionByName(added), KEY)
 
 
@@ -341,3 +342,23 @@ def schema_latest(spark, root):
     """The table now: a column renamed twice, another renamed after its update, rows deleted in between."""
     log, history, versions = _evolving(spark, root)
     return schema_as_of(log, history, KEY, versions)
+
+
+@query(
+    "append_once",
+    f"""
+SELECT {ORDER_COLS} FROM orders
+UNION ALL
+SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'P'
+""",
+)
+def append_once_q(spark, root):
+    """A landed table after the same append ran twice: rows whose keys it holds already, and new ones, each once."""
+    orders = Mart(spark, root).orders.select(*ORDER_COLS.split(", "))
+    path = own_path(spark, "orders_appended")
+    orders.write.parquet(path)
+    pending = orders.where("o_orderstatus = 'P'")
+    incoming = pending.unionByName(pending.withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    for _ in range(2):
+        append_once(path, incoming, KEY)
+    return spark.read.schema(orders.schema).parquet(path)
