@@ -39,31 +39,51 @@ def _length(docs: DataFrame) -> str | None:
 
 @stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, without their failing lines."""
+    """Documents that the quality rules keep, without their failing lines.
+
+    Null and empty texts go; texts of any length are judged whole; repeated rows, null ids and further columns stay as
+    they are; an empty table stays empty.
+    """
     return quality_filter(docs, length_col=_length(docs))
 
 
 @stage
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the largest id."""
+    """One document of each group of equal texts, the one with the largest id.
+
+    Null and empty texts are equal; a null id loses to any other; of rows that repeat the kept id one stays; texts of any
+    length are digested whole; further columns stay; an empty table stays empty.
+    """
     return exact_dedup(docs)
 
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near texts, the one with the smallest id."""
+    """One document of each component of near texts, the one with the smallest id.
+
+    Texts without a word are one component; null ids are chosen last, ties by the order of landing; texts of any length
+    are read whole; further columns stay; an empty table stays empty.
+    """
     return near_dedup(docs)
 
 
 @stage
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked in their texts."""
+    """All documents, with secrets masked in their texts.
+
+    Null, empty and clean texts stay as they are, as do all rows, repeated ones too, and further columns; overlapping
+    secrets become one mask; texts of any length are scanned whole; an empty table stays empty.
+    """
     return redact_secrets(docs, length_col=_length(docs))
 
 
 @stage
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in the training sequences."""
+    """The pieces of all documents and their places in the training sequences.
+
+    A null or empty text is its end id alone; repeated rows are packed as often as they occur, null ids stay null; texts
+    of any length are cut into as many pieces as they need; further columns are not read; an empty table gives none.
+    """
     return harmonic_pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
