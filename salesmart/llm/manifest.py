@@ -133,9 +133,8 @@ def proofs(manifest: Manifest) -> DataFrame:
     """Every leaf with its proof: the columns of ``leaves``, subroot, root and path, the segments from the leaf's run
     up to the root.  A level whose run is the node alone has an empty segment; a lone leaf has none below its subroot."""
     spark = manifest.leaves.sparkSession
-    here = spark.range(1).select(F.lit(manifest.root).alias("digest"), F.lit(0).cast("bigint").alias("idx"), F.array().cast(_SEGMENTS).alias("path"))
-    if manifest.root is None:
-        here = here.limit(0)
+    here = spark.range(0 if manifest.root is None else 1)
+    here = land(here.select(F.lit(manifest.root).alias("digest"), F.lit(0).cast("bigint").alias("idx"), F.array().cast(_SEGMENTS).alias("path")), "root")
     for n, level in reversed(list(enumerate(manifest.top_store))):
         here = land(descend(here, level), f"top-path{n}")
     # From here on each group's requests, from the level at which its subroot stands.
