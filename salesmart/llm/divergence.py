@@ -34,8 +34,8 @@ _BLANK = np.array([b == 32 for b in _TERMS])
 BLOCK = 4096  # terms of a block, on average
 TILE = 64  # groups of a tile, on average
 SLICE = 1 << 22  # bytes of text whose terms are counted at once
-HELD = 1_000_000  # counts that a task combines before it passes them on
-HELD_BYTES = 1 << 26
+HELD = 500_000  # counts that a task combines before it passes them on
+HELD_BYTES = 1 << 25
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 _COUNTS_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
