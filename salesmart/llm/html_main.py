@@ -57,6 +57,19 @@ OTHER = re.compile(
     r"|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|breadcrumbs?|menu"
     r"|nav|navbar|navigation|sidebar|footer|masthead|comments?|commentlist|respond|replies|disqus|widget|toolbar|pagination)(?:$|[^a-z])"
 ).search
+# Within the article only names made of nothing but such words, at least one of the first kind, say so ("related-posts",
+# not "related-work").
+_OTHER_WORDS = frozenset(
+    "ad ads advert adverts advertisement banner promo promoted sponsor sponsored cookie cookies consent notice notices alert popup modal overlay"
+    " newsletter subscribe signup login share sharing social related recommended breadcrumb breadcrumbs menu nav navbar navigation sidebar"
+    " footer masthead comment comments commentlist respond replies disqus widget toolbar pagination".split()
+)
+_PLACE_WORDS = frozenset(
+    "a area article articles bar block bottom box buttons center container content entry form global header icons inner inline item items"
+    " left links list main media mid middle more outer page panel post posts primary right secondary section site slot small stories story"
+    " thread top unit wrap wrapper".split()
+)
+_PARTS = re.compile(r"[a-z]+").findall
 # Names that tell what an element has beside it, not what it is ("no-sidebar").
 _ABOUT = re.compile(r"(?:no|has|with|without|is)-").match
 # An open element of the first kind ends when one of the second begins inside it.
@@ -170,7 +183,7 @@ def walk(page: str):
             out = above.out or name in DROPPED or (name == "header" and not above.main)
             token = ".".join([name, *sorted(_DIGITS.sub("N", n) for n in names)])
             path = f"{above.path}/{token}" if len(stack) <= DEPTH else above.path
-            named = names and name not in ("html", "body") and not own and OTHER(" ".join(n for n in names if not _ABOUT(n)))
+            named = names and name not in ("html", "body") and not own and _something_else(names, above.main)
             stack.append(_Element(name, path, out, path if named else above.other, above.main or own))
             yield "open", stack[-1], ""
         elif name == "br":
@@ -181,6 +194,15 @@ def walk(page: str):
         yield "text", stack[-1], page[at:]
 
 
+def _something_else(names: list[str], in_article: bool) -> bool:
+    """Whether names of an element say that it is something else than the article."""
+    names = [n for n in names if not _ABOUT(n)]
+    if not in_article:
+        return OTHER(" ".join(names)) is not None
+    parts = [set(_PARTS(n)) for n in names]
+    return any(p & _OTHER_WORDS and p <= _OTHER_WORDS | _PLACE_WORDS for p in parts)
+
+
 _MASK = (1 << 64) - 1
 _NUMBER = Cache(lambda s: int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
 
@@ -508,8 +530,10 @@ def extract_main(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Character references are decoded, white space inside a block becomes one
     space, blocks are joined in page order by one newline.  Null, empty and
     broken pages give what can be read of them, at least an empty text; a null
-    URL belongs to the host without a name.  Repeated rows stay; other columns
-    are not read; an empty table gives an empty result.
+    URL belongs to the host without a name.  A page of any length is read whole,
+    in linear time; of equally deep candidates for a host's slot the first path is
+    taken.  Repeated rows stay; other columns are not read; an empty table gives
+    an empty result.
     """
     own = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     found = slots(templates(own, "id", "url", "html", how))

@@ -133,3 +133,13 @@ def test_nested_broken_quotes_take_linear_time(piece):
     began = time.process_time()
     h.main_text(piece * 20_000, None)
     assert time.process_time() - began < 20
+
+
+def test_article_blocks_with_names_that_hold_a_listed_word():
+    """Inside the article a name drops a branch only when it is made of listed words."""
+    body = "".join(
+        f'<div class="{name}">{text}</div>'
+        for name, text in (("share-price", "A b"), ("related-work", "C d"), ("ad-hoc", "E f"), ("user-comments-policy", "G"), ("related-posts", "no"), ("comments", "no"), ("ad-slot ad-slot-2", "no"))
+    )
+    page = f"<html><body><nav>Home</nav><div class='content sidebar'>x</div><article><h1>T</h1>{body}<p>Z</p></article></body></html>"
+    assert h.main_text(page, None) == "T\nA b\nC d\nE f\nG\nZ"
