@@ -21,10 +21,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-WORDS = re.compile(r"[^\W\d_]+").findall
+_WORDS = re.compile(r"[^\W\d_]+").findall
 UNKNOWN = "und"
 
 
+def WORDS(text: str) -> list[str]:
+    """Runs of letters; numerals and other signs that are no letters (``½``, ``²``, ``Ⅷ``) divide them."""
+    words = _WORDS(text)
+    if text.isascii() or all(map(str.isalpha, words)):
+        return words
+    return [w for word in words for w in "".join(c if c.isalpha() else " " for c in word).split()]
+
+
 @dataclass(frozen=True)
 class Sample:
     """The rows that training may read: for each language at most ``rows`` texts of at most ``chars`` characters, by id hash."""
@@ -338,8 +346,9 @@ def identify(
     (default: crc32 of the id as text, mod 4, is 2; false for a null id) and
     whose label is not null; predictions use the text alone.  A null text, or
     one without a letter, gives ``und`` with score 0, as do all texts where no
-    row can be learned from.  Rows repeat as they come; an empty table gives an
-    empty result.
+    row can be learned from.  Every word of a text of any length counts; of
+    equally likely languages the first by name is told.  Rows repeat as they
+    come; other columns are not read; an empty table gives an empty result.
     """
     if held_out is None:
         held_out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

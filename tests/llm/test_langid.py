@@ -116,3 +116,13 @@ def test_sample_keeps_its_bounds(spark):
     assert [t for t, lang in got if lang == "fr"] == [("mot " * 30)[:40]]
     with pytest.raises(ValueError):
         langid.training_rows(df, "doc_id", "text", "lang", F.lit(True), langid.Sample(languages=2))
+
+
+def test_numerals_are_no_letters(spark):
+    """No letter gives und, whatever digits and numerals there are."""
+    assert langid.WORDS("12 ½ ² Ⅷ ① _") == []
+    assert langid.WORDS("x² naïve ½a_b ß") == ["x", "naïve", "a", "b", "ß"]
+    rows = [(i, "the house and the garden " * 8, "en") for i in range(8)] + [(i, "das haus und der garten " * 8, "de") for i in range(8, 16)]
+    df = spark.createDataFrame([*rows, (99, "12 ½ ² Ⅷ ①", None)], "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df).collect()}
+    assert found[99] == "und" and found[0] == "en"
